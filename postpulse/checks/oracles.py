@@ -9,6 +9,7 @@ from postpulse.functions import lexicon as lx
 from postpulse.functions.scores import normal_quantile
 from postpulse.sources.sample_posts import OPENINGS, TAGS
 
+NOT_KEPT = rf"[^\x20-\x7E{''.join(lx.INDIC_BLOCKS.values())}]+"
 AS_OF = "2024-01-31 00:00:00"
 DAY = 86_400_000_000
 MINUTE = 60_000_000
@@ -79,7 +80,7 @@ SELECT * EXCLUDE (t, t1, narrow, decoded), {cut(cut(_simple, enc.LINE_BREAK, chr
 
 def clean(column: str) -> str:
     """The default steps after encoding repair."""
-    return f"trim({cut(cut('lower(' + cut(column, lx.URL) + ')', lx.NOT_KEPT), f'[{lx.SPACE}]+', ' ')}, ' ')"
+    return f"trim({cut(cut('lower(' + cut(column, lx.URL) + ')', NOT_KEPT), f'[{lx.SPACE}]+', ' ')}, ' ')"
 
 
 CTE["texts"] = f"""
@@ -235,20 +236,20 @@ SELECT CASE WHEN n > 10000 THEN 60 WHEN n > 5000 THEN 30 WHEN n > 2000 THEN 15 W
 FROM (SELECT count(*) AS n FROM tweets)"""
 
 CTE["log"] = """
-SELECT event_id AS request_id, user_id AS client, ts, epoch_us(ts) AS at, event_type <> 'error' AS ok, value AS response_time FROM events"""
+SELECT event_id AS request_id, user_id AS client, ts, epoch_us(ts) AS ats, event_type <> 'error' AS ok, value AS response_time FROM events"""
 
 
 def audit(per_minute: int, per_hour: int, client: str) -> str:
     def trailing(what: str, span: int) -> str:
-        return f"{what} OVER (PARTITION BY client ORDER BY at RANGE BETWEEN {span} PRECEDING AND {1 if what.startswith('count') else 0} PRECEDING)"
+        return f"{what} OVER (PARTITION BY client ORDER BY ats RANGE BETWEEN {span} PRECEDING AND {1 if what.startswith('count') else 0} PRECEDING)"
 
     return f"""
 SELECT request_id, client, calls_minute, calls_hour, calls_minute >= {per_minute} OR calls_hour >= {per_hour} AS limited,
-  greatest(CASE WHEN calls_minute >= {per_minute} THEN {MINUTE} - (at - oldest_minute) ELSE 0 END,
-    CASE WHEN calls_hour >= {per_hour} THEN {60 * MINUTE} - (at - oldest_hour) ELSE 0 END) / 1e6 AS wait_seconds
-FROM (SELECT request_id, client, at, {trailing('count(*)', MINUTE)} AS calls_minute, {trailing('count(*)', 60 * MINUTE)} AS calls_hour,
-  {trailing('min(at)', MINUTE)} AS oldest_minute, {trailing('min(at)', 60 * MINUTE)} AS oldest_hour
-  FROM (SELECT request_id, {client} AS client, at FROM log JOIN events ON event_id = request_id))"""
+  greatest(CASE WHEN calls_minute >= {per_minute} THEN {MINUTE} - (ats - oldest_minute) ELSE 0 END,
+    CASE WHEN calls_hour >= {per_hour} THEN {60 * MINUTE} - (ats - oldest_hour) ELSE 0 END) / 1e6 AS wait_seconds
+FROM (SELECT request_id, client, ats, {trailing('count(*)', MINUTE)} AS calls_minute, {trailing('count(*)', 60 * MINUTE)} AS calls_hour,
+  {trailing('min(ats)', MINUTE)} AS oldest_minute, {trailing('min(ats)', 60 * MINUTE)} AS oldest_hour
+  FROM (SELECT request_id, {client} AS client, ats FROM log JOIN events ON event_id = request_id))"""
 
 
 CTE["audit_users"] = audit(1, 2, "user_id")

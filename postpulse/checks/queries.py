@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postpulse.checks.oracles import AS_OF, COMPOSITE, FEATURES, WEIGHTS, clean, cut, present, query, r6, zscore
+from postpulse.checks.oracles import AS_OF, COMPOSITE, FEATURES, NOT_KEPT, WEIGHTS, clean, cut, present, query, r6, zscore
 from postpulse.config import RequestConfig, SelectionConfig, TextConfig
 from postpulse.functions import cleaning, encoding, features, scores
 from postpulse.functions import lexicon as lx
@@ -206,12 +206,12 @@ def narrow(df: DataFrame) -> DataFrame:
 
 @register(
     "save_tweets",
-    f'{NARROW}, CAST("timestamp" AS DATE) AS date, CAST(date_part(\'hour\', "timestamp") AS INTEGER) AS hour FROM tweets',
+    f'{NARROW}, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date, CAST(date_part(\'hour\', "timestamp") AS INTEGER) AS hour FROM tweets',
 )
 def save_tweets(spark, folder):
     path = scratch_path(spark, "posts")
     storage.save_tweets(posts(spark, folder), path)
-    return spark.read.parquet(path).select("tweet_id", "timestamp", "like_count", "date", "hour")
+    return spark.read.parquet(path).select("tweet_id", "timestamp", "like_count", F.col("date").cast("string").alias("date"), "hour")
 
 
 @register("save_table", f"{NARROW} FROM tweets UNION ALL {NARROW} FROM tweets WHERE like_count > 50")
@@ -274,19 +274,19 @@ def dated(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(
     "retention_filter",
-    'SELECT tweet_id, CAST("timestamp" AS DATE) AS date FROM tweets WHERE CAST("timestamp" AS DATE) >= DATE \'2024-01-16\'',
+    'SELECT tweet_id, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date FROM tweets WHERE CAST("timestamp" AS DATE) >= DATE \'2024-01-16\'',
 )
 def retention_filter(spark, folder):
-    return storage.retention_filter(dated(spark, folder), AS_OF, 15).select("tweet_id", "date")
+    return storage.retention_filter(dated(spark, folder), AS_OF, 15).select("tweet_id", F.col("date").cast("string").alias("date"))
 
 
 @register(
     "retention_expired",
-    """SELECT CAST("timestamp" AS DATE) AS date, count(*) AS row_count FROM tweets
+    """SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date, count(*) AS row_count FROM tweets
     WHERE CAST("timestamp" AS DATE) < DATE '2024-01-16' GROUP BY ALL""",
 )
 def retention_expired(spark, folder):
-    return storage.expired_dates(dated(spark, folder), AS_OF, 15)
+    return storage.expired_dates(dated(spark, folder), AS_OF, 15).withColumn("date", F.col("date").cast("string"))
 
 
 @register("write_clean", "SELECT tweet_id, content_clean, content_hash FROM cleaned")
@@ -421,15 +421,15 @@ text_query("clean_remove_mentions", cleaning.remove_mentions, cut(_content, lx.M
 text_query("clean_remove_hashtags", cleaning.remove_hashtags, cut(_content, lx.HASHTAG))
 text_query("clean_remove_emoji", cleaning.remove_emoji, cut(_content, lx.EMOJI_CHAR))
 text_query("clean_lowercase", F.lower, f"lower({_content})")
-text_query("clean_strip_nonprintable", cleaning.strip_nonprintable, cut(_content, lx.NOT_KEPT))
+text_query("clean_strip_nonprintable", cleaning.strip_nonprintable, cut(_content, NOT_KEPT))
 text_query("clean_strip_nonascii", lambda c: cleaning.strip_nonprintable(c, False), cut(_content, lx.NOT_ASCII))
 text_query("clean_collapse_ws", cleaning.collapse_whitespace, f"trim({cut(_content, f'[{lx.SPACE}]+', ' ')}, ' ')")
 
 
 @register("repair_encoding", "SELECT tweet_id, repaired FROM repaired")
 def repair_encoding(spark, folder):
-    content = F.coalesce("content", F.lit(""))
-    return posts(spark, folder).select("tweet_id", encoding.repair_encoding(content).alias("repaired"))
+    df = posts(spark, folder).select("tweet_id", F.coalesce("content", F.lit("")).alias("repaired"))
+    return encoding.repair_encoding(df, "repaired")
 
 
 @register("normalize_nfc", f"SELECT tweet_id, nfc_normalize({_content}) AS text FROM tweets")
@@ -445,7 +445,7 @@ def clean_text(spark, folder):
 @register("clean_documents", f"SELECT doc_id, {clean('text')} AS content_clean FROM documents")
 def clean_documents(spark, folder):
     documents = spark.read.parquet(f"{folder}/documents.parquet")
-    return documents.select("doc_id", cleaning.clean_text(F.col("text"), TextConfig(fix_encoding=False)).alias("content_clean"))
+    return cleaning.clean_text(documents, "text", cfg=TextConfig(fix_encoding=False)).select("doc_id", "content_clean")
 
 
 # --- features -----------------------------------------------------------------------------------
@@ -501,7 +501,7 @@ def clean_dataframe(spark, folder):
 
 @register("dedupe_by_hash", "SELECT tweet_id, \"timestamp\", content_hash FROM cleaned")
 def dedupe_by_hash(spark, folder):
-    df = posts(spark, folder).withColumn("content_hash", features.content_hash(cleaning.clean_text(F.col("content"))))
+    df = cleaning.clean_text(posts(spark, folder)).withColumn("content_hash", features.content_hash(F.col("content_clean")))
     return dedupe.dedupe_by_hash(df.select("tweet_id", "timestamp", "content_hash"))
 
 

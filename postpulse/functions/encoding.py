@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -30,11 +30,22 @@ CONTROL = r"[\x00-\x08\x0b\x0e-\x1f\x7f\x{206a}-\x{206f}\x{feff}\x{fff9}-\x{fffc
 
 # Latin-1 text in which a UTF-8 lead byte is followed by a continuation byte.
 ALL_LATIN1 = r"^[\x00-\x{FF}]*$"
+LEAD_THEN_ANY = r"[\x{C2}-\x{F4}][^\x00-\x7F]"
 LEAD_THEN_TAIL = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
+# Without such a character none of the character steps applies.
+SIMPLIFIABLE = (
+    r"[\x00-\x08\x0b\x0d-\x1f\x7f\x85\x{02bc}\x{2018}-\x{201f}\x{2028}\x{2029}\x{206a}-\x{206f}"
+    r"\x{3000}\x{fb00}-\x{fb06}\x{feff}-\x{ff5e}\x{fff9}-\x{fffc}]"
+)
 # No character outside this class changes under NFC or combines with a neighbour.
 NFC_CANDIDATE = r"[^\x00-\x{02FF}\x{2010}-\x{2125}]"
 
 
+def is_ascii(text: Column) -> Column:
+    """One byte per character. Far cheaper than a search for a character class."""
+    return F.octet_length(text) == F.length(text)
+
+
 def unescape_entities(text: Column) -> Column:
     """Undo HTML entities, unless the text looks like markup."""
     plain = text
@@ -43,16 +54,25 @@ def unescape_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")) & ~F.contains(text, F.lit("<")), plain).otherwise(text)
 
 
-def repair_mojibake(text: Column) -> Column:
+def repair_mojibake(df: DataFrame, name: str) -> DataFrame:
     """UTF-8 that was once decoded as Latin-1 or Windows-1252, decoded properly.
 
     Only texts whose every character fits one byte, and whose bytes are valid UTF-8, change.
     """
-    narrow = F.translate(text, CP1252_CHARS, LATIN1_CONTROLS)
+    narrow, raw = F.col("_narrow"), F.col("_raw")
     suspect = F.regexp_like(narrow, F.lit(LEAD_THEN_TAIL)) & F.regexp_like(narrow, F.lit(ALL_LATIN1))
-    # encode() raises on a character that does not fit, so only suspects may reach it.
-    raw = F.encode(F.when(suspect, narrow), "ISO-8859-1")
-    return F.when(suspect & F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(text)
+    return (
+        df.withColumn(
+            "_narrow",
+            F.when(
+                ~is_ascii(F.col(name)) & F.regexp_like(F.col(name), F.lit(LEAD_THEN_ANY)), F.translate(F.col(name), CP1252_CHARS, LATIN1_CONTROLS)
+            ),
+        )
+        # encode() raises on a character that does not fit, so only suspects may reach it.
+        .withColumn("_raw", F.encode(F.when(suspect, narrow), "ISO-8859-1"))
+        .withColumn(name, F.when(F.is_valid_utf8(raw.cast("string")), F.decode(raw, "UTF-8")).otherwise(F.col(name)))
+        .drop("_narrow", "_raw")
+    )
 
 
 def simplify_characters(text: Column) -> Column:
@@ -64,12 +84,12 @@ def simplify_characters(text: Column) -> Column:
     return F.regexp_replace(text, CONTROL, "")
 
 
-def repair_encoding(text: Column) -> Column:
-    repaired = repair_mojibake(unescape_entities(text))
-    # Plain ASCII needs none of the character steps but the control characters.
-    return F.when(
-        F.regexp_like(repaired, F.lit(r"[^\x20-\x7E\n\t]")), simplify_characters(repaired)
-    ).otherwise(repaired)
+def repair_encoding(df: DataFrame, name: str) -> DataFrame:
+    """Repair the text column ``name``. Each step is a projection of its own: as one nested
+    expression, a step that reads its input several times would repeat all the steps below."""
+    df = repair_mojibake(df.withColumn(name, unescape_entities(F.col(name))), name)
+    special = F.regexp_like(F.col(name), F.lit(SIMPLIFIABLE))
+    return df.withColumn(name, F.when(special, simplify_characters(F.col(name))).otherwise(F.col(name)))
 
 
 def normalize_nfc(text: Column) -> Column:
@@ -81,5 +101,5 @@ def normalize_nfc(text: Column) -> Column:
     def compose(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
-    candidate = F.regexp_like(text, F.lit(NFC_CANDIDATE))
+    candidate = ~is_ascii(text) & F.regexp_like(text, F.lit(NFC_CANDIDATE))
     return F.coalesce(compose(F.when(candidate, text)), text)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from postpulse.config import TextConfig
 from postpulse.functions import lexicon as lx
+from postpulse.functions.cleaning import may_have_url
+from postpulse.functions.encoding import is_ascii
 
 
 def char_count(text: Column) -> Column:
@@ -38,28 +40,31 @@ def count_char(text: Column, char: str) -> Column:
 
 
 def uppercase_ratio(text: Column) -> Column:
-    capitals = F.length(F.regexp_replace(text, r"[^\p{Lu}]", "")).cast("double")
+    capitals = (F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}+", ""))).cast("double")
     return F.when(F.length(text) == 0, 0.0).otherwise(F.try_divide(capitals, F.length(text)))
 
 
 def has_emoji(text: Column) -> Column:
-    return F.regexp_like(text, F.lit(lx.EMOJI_CHAR))
+    return ~is_ascii(text) & F.regexp_like(text, F.lit(lx.EMOJI_CHAR))
 
 
 def has_mention(text: Column) -> Column:
-    return F.regexp_like(text, F.lit(lx.MENTION))
+    return F.contains(text, F.lit("@")) & F.regexp_like(text, F.lit(lx.MENTION))
 
 
 def has_hashtag(text: Column) -> Column:
-    return F.regexp_like(text, F.lit(lx.HASHTAG))
+    return F.contains(text, F.lit("#")) & F.regexp_like(text, F.lit(lx.HASHTAG))
 
 
 def has_url(text: Column) -> Column:
-    return F.regexp_like(text, F.lit(lx.URL))
+    return may_have_url(text) & F.regexp_like(text, F.lit(lx.URL))
 
 
 def script_flags(text: Column) -> dict[str, Column]:
-    flags = {f"has_{name}": F.regexp_like(text, F.lit(f"[{block}]")) for name, block in lx.INDIC_BLOCKS.items()}
+    flags = {
+        f"has_{name}": ~is_ascii(text) & F.regexp_like(text, F.lit(f"[{block}]"))
+        for name, block in lx.INDIC_BLOCKS.items()
+    }
     flags["has_any_indian_language"] = reduce(or_, flags.values())
     return flags
 

@@ -32,7 +32,9 @@ URL = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 MENTION = rf"@[{WORD}]+"
 HASHTAG = rf"#[{WORD}]+"
 EMOJI_CHAR = rf"[{EMOJI}]"
-NOT_KEPT = rf"[^\x20-\x7E{''.join(INDIC_BLOCKS.values())}]+"
+# What is outside printable ASCII and the five scripts, listed as ranges: Java evaluates
+# this several times faster than the negated union. Tamil to Malayalam are adjacent.
+NOT_KEPT = r"[\x00-\x1F\x7F-\x{08FF}\x{0980}-\x{0B7F}\x{0D80}-\x{10FFFF}]+"
 NOT_ASCII = r"[^\x00-\x7F]+"
 TOKEN = rf"[{WORD}]{{2,}}"
 

@@ -14,7 +14,7 @@ from postpulse.schemas import COUNTS
 
 
 def add_clean_text(posts: DataFrame, cfg: TextConfig = TextConfig()) -> DataFrame:
-    return posts.withColumn("content_clean", clean_text(F.col("content"), cfg))
+    return clean_text(posts, cfg=cfg)
 
 
 def add_features(posts: DataFrame, cfg: TextConfig = TextConfig()) -> DataFrame:

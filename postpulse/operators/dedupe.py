@@ -4,23 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dedupe_by_hash(
     df: DataFrame, hash_col: str = "content_hash", order: Sequence[str] = ("timestamp", "tweet_id")
 ) -> DataFrame:
-    """Keep the earliest row of each hash.
+    """Keep the earliest row of each hash, rows without a time last.
 
-    ``min_by`` combines before the shuffle, so a hash shared by a large part of the table
-    (all blank posts, say) sends one row per task and not the whole group.
+    For a rank limited like this Spark keeps one row per hash in each task before the shuffle
+    (WindowGroupLimit), so a hash shared by a large part of the table, such as that of all
+    blank posts, does not gather in one task.
     """
-    present = [c for c in order if c in df.columns]
-    # NULL sorts first inside a struct; the flag puts rows without a time last.
-    rank = F.struct(*[part for c in present for part in (F.col(c).isNull(), F.col(c))])
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(F.col(hash_col).alias("_key")).agg(F.min_by(row, rank).alias("_row")).select("_row.*")
+    first = Window.partitionBy(hash_col).orderBy(*[F.asc_nulls_last(c) for c in order if c in df.columns])
+    return df.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def dedupe_report(df: DataFrame, hash_col: str = "content_hash") -> DataFrame:

@@ -18,6 +18,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than the cluster has cores, such as one small file. A
+    scan of many splits is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_totals(df: DataFrame, *aggregates: Column) -> DataFrame:
     """Add global aggregates of ``df`` to each of its rows (a one-row broadcast)."""
     return df.crossJoin(F.broadcast(df.agg(*aggregates)))

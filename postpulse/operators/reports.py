@@ -26,8 +26,13 @@ def signals_by_hour_day(df: DataFrame, value_col: str = "composite_signal") -> D
     hours = [f"h{h:02d}" for h in range(24)]
     means = (
         df.where(F.col("timestamp").isNotNull())
-        .groupBy(F.weekday("timestamp").alias("day_number"))
-        .pivot(F.concat(F.lit("h"), F.date_format("timestamp", "HH")), hours)
+        .select(
+            F.weekday("timestamp").alias("day_number"),
+            F.concat(F.lit("h"), F.date_format("timestamp", "HH")).alias("hour"),
+            value_col,
+        )
+        .groupBy("day_number")
+        .pivot("hour", hours)
         .agg(F.avg(value_col))
     )
     return weekdays.join(means, "day_number", "left").select("day_number", "day", *hours).orderBy("day_number")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postpulse.operators.frames import spread
+
 # Opening sentence by event number modulo 8.
 OPENINGS = (
     "Nifty looking BULLISH today! buy the rally",
@@ -64,7 +66,7 @@ def make_tweets(events: DataFrame, documents: DataFrame) -> DataFrame:
 
 def read_tweets(spark: SparkSession, folder: str) -> DataFrame:
     return make_tweets(
-        spark.read.parquet(f"{folder}/events.parquet"), spark.read.parquet(f"{folder}/documents.parquet")
+        spread(spark.read.parquet(f"{folder}/events.parquet")), spark.read.parquet(f"{folder}/documents.parquet")
     )
 
 

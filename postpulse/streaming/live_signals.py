@@ -63,8 +63,9 @@ def start_stream_composite(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        partition_overwrite(batch.withColumn("batch_id", F.lit(batch_id)), totals_path, ["batch_id"])
-        stored = spark.read.parquet(totals_path).drop("batch_id")
+        closed = batch.withColumn("batch_id", F.lit(batch_id))
+        partition_overwrite(closed, totals_path, ["batch_id"])
+        stored = spark.read.schema(closed.schema).parquet(totals_path).drop("batch_id")
         if not stored.isEmpty():
             finish_totals(stored, settings).write.mode("overwrite").parquet(signals_path)
 
