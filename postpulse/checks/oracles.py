@@ -204,6 +204,13 @@ CTE["totals7"] = totals("scored", 7)
 CTE["filled7"] = filled("totals7", 7)
 CTE["derived7"] = DERIVED.format(source="filled7")
 
+CTE["last_day"] = """
+SELECT * FROM filled WHERE "timestamp" >= TIMESTAMP '2024-01-30'
+QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY "timestamp", tweet_id) = 1"""
+CTE["last_scored"] = signals("last_day")
+CTE["last_totals"] = totals("last_scored", 60)
+CTE["last_filled"] = filled("last_totals", 60)
+
 # Scores of every post, duplicates kept, for the stream.
 CTE["all_scored"] = signals("filled")
 CTE["all_totals"] = totals("all_scored", 60)

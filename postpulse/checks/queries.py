@@ -656,22 +656,25 @@ def signal_summary(spark, folder):
     return rounded(reports.signal_summary(finished(spark, folder)))
 
 
-@register(
-    "signal_histogram",
-    f"""SELECT bin, {r6('low + bin * (high - low) / 50')} AS bin_start, {r6('low + (bin + 1) * (high - low) / 50')} AS bin_end,
-    count(value) AS n FROM (SELECT unnest(range(50)) AS bin)
-    CROSS JOIN (SELECT min(value) AS low, max(value) AS high FROM events)
-    LEFT JOIN (SELECT value, least(CAST(floor((value - l) / ((h - l) / 50)) AS BIGINT), 49) AS b
-      FROM events CROSS JOIN (SELECT min(value) AS l, max(value) AS h FROM events)) ON b = bin
-    GROUP BY bin, low, high""",
-)
+def histogram_sql(source: str) -> str:
+    bounds = f"(SELECT min(value) AS low, max(value) AS high FROM {source})"
+    return f"""SELECT bin, {r6('low + bin * (high - low) / 50')} AS bin_start, {r6('low + (bin + 1) * (high - low) / 50')} AS bin_end,
+    count(value) AS n FROM (SELECT unnest(range(50)) AS bin) CROSS JOIN {bounds}
+    LEFT JOIN (SELECT value, least(CAST(floor((value - low) / ((high - low) / 50)) AS BIGINT), 49) AS b
+      FROM {source} CROSS JOIN {bounds}) ON b = bin
+    GROUP BY bin, low, high"""
+
+
+@register("signal_histogram", histogram_sql("events"))
 def signal_histogram(spark, folder):
     return rounded(reports.signal_histogram(spark.read.parquet(f"{folder}/events.parquet"), "value"))
 
 
-@register("composite_histogram")
+@register("composite_histogram", histogram_sql(f"(SELECT {r6('composite_signal')} AS value FROM windows)"))
 def composite_histogram(spark, folder):
-    return rounded(reports.signal_histogram(finished(spark, folder)))
+    """Rounded first, so that both engines cut the same values at the edges."""
+    signal = rounded(finished(spark, folder).select("composite_signal"))
+    return rounded(reports.signal_histogram(cut_lineage(signal)))
 
 
 @register(
@@ -850,9 +853,15 @@ def latest_windows(spark, folder):
 # --- incremental and streaming ------------------------------------------------------------------------------------------
 
 
-@register("incremental_run")
+@register(
+    "incremental_run",
+    " UNION ALL ".join(
+        f"SELECT \"timestamp\", tweet_count, {r6('sentiment_signal')} AS avg_sentiment FROM {source} WHERE \"timestamp\" {side}"
+        for source, side in (("filled60", "< TIMESTAMP '2024-01-30'"), ("last_filled", ">= TIMESTAMP '2024-01-30'"))
+    ),
+)
 def incremental_run(spark, folder):
-    """The last two days scored again over a table that already holds the whole month."""
+    """The last day scored again over a table that already holds the whole month."""
     path = scratch_path(spark, "incremental")
     df = posts(spark, folder)
     full_run.run_incremental(df, path, AS_OF, HOURS)

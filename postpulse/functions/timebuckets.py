@@ -29,12 +29,9 @@ def with_bucket(df: DataFrame, width_minutes: int, ts_col: str = "timestamp", na
     width = width_minutes * MINUTE
     if DAY % width == 0:
         return dated.withColumn(name, at - F.pmod(at, F.lit(width)))
-    first = dated.agg(F.min(at).alias("_first")).select((F.col("_first") - F.pmod("_first", F.lit(DAY))).alias("_origin"))
-    return (
-        dated.crossJoin(F.broadcast(first))
-        .withColumn(name, at - F.pmod(at - F.col("_origin"), F.lit(width)))
-        .drop("_origin")
-    )
+    first = dated.agg(F.min(at)).scalar()
+    origin = first - F.pmod(first, F.lit(DAY))
+    return dated.withColumn(name, at - F.pmod(at - origin, F.lit(width)))
 
 
 def bucket_spine(buckets: DataFrame, width_minutes: int, name: str = "bucket", chunk: int = 4096) -> DataFrame:

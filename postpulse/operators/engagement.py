@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postpulse.operators.frames import with_totals
 from postpulse.schemas import ENGAGEMENT
 
 # Weight of each normalised count.
@@ -16,8 +17,8 @@ WEIGHTS = {
 def minmax_normalize(df: DataFrame, columns: tuple[str, ...] = ENGAGEMENT) -> DataFrame:
     """Add ``<column>_normalized`` in [0, 1]; NULL where the column is constant or never positive."""
     present = [c for c in columns if c in df.columns]
-    bounds = df.agg(
-        *[F.min(c).alias(f"_min_{c}") for c in present], *[F.max(c).alias(f"_max_{c}") for c in present]
+    bounded = with_totals(
+        df, *[F.min(c).alias(f"_min_{c}") for c in present], *[F.max(c).alias(f"_max_{c}") for c in present]
     )
     scaled = {
         f"{c}_normalized": F.when(
@@ -27,7 +28,7 @@ def minmax_normalize(df: DataFrame, columns: tuple[str, ...] = ENGAGEMENT) -> Da
         for c in present
     }
     helpers = [f"_{side}_{c}" for side in ("min", "max") for c in present]
-    return df.crossJoin(F.broadcast(bounds)).withColumns(scaled).drop(*helpers)
+    return bounded.withColumns(scaled).drop(*helpers)
 
 
 def engagement_score(df: DataFrame) -> DataFrame:

@@ -25,9 +25,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def totals_of(df: DataFrame, *aggregates: Column) -> Column:
+    """Global aggregates of ``df`` as one struct: a scalar subquery, which runs once and
+    leaves no join in the plan that uses it."""
+    return df.agg(F.struct(*aggregates).alias("totals")).scalar()
+
+
 def with_totals(df: DataFrame, *aggregates: Column) -> DataFrame:
-    """Add global aggregates of ``df`` to each of its rows (a one-row broadcast)."""
-    return df.crossJoin(F.broadcast(df.agg(*aggregates)))
+    """Add global aggregates of ``df`` to each of its rows."""
+    return df.withColumn("_totals", totals_of(df, *aggregates)).select("*", "_totals.*").drop("_totals")
 
 
 def with_ordinal(df: DataFrame, order: Sequence[Column], name: str = "ordinal", total: str = "total_rows") -> DataFrame:

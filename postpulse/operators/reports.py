@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postpulse.functions.timebuckets import micros
+from postpulse.operators.frames import totals_of
 
 DAY_NAMES = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 SERIES = {
@@ -35,11 +36,16 @@ def signals_by_hour_day(df: DataFrame, value_col: str = "composite_signal") -> D
         .pivot("hour", hours)
         .agg(F.avg(value_col))
     )
-    return weekdays.join(means, "day_number", "left").select("day_number", "day", *hours).orderBy("day_number")
+    return weekdays.join(means, "day_number", "left").select(
+        F.col("day_number").cast("bigint").alias("day_number"), "day", *hours
+    ).orderBy("day_number")
 
 
 def signal_summary(df: DataFrame, value_col: str = "composite_signal") -> DataFrame:
-    """One row: count, strength, volatility, share of positive values, moments and quartiles."""
+    """One row: count, strength, volatility, share of positive values, moments and quartiles.
+
+    Quartiles are exact and meant for a window table, whose rows the calendar bounds.
+    """
     value = F.col(value_col)
     return df.agg(
         F.count("*").alias("signal_windows"),
@@ -60,23 +66,20 @@ def signal_histogram(df: DataFrame, value_col: str = "composite_signal", bins: i
     """Counts of equal-width bins between minimum and maximum; the last bin is closed. Empty
     bins are listed with 0."""
     values = df.where(F.col(value_col).isNotNull())
-    bounds = values.agg(F.min(value_col).alias("low"), F.max(value_col).alias("high"))
-    width = (F.col("high") - F.col("low")) / bins
+    bounds = totals_of(values, F.min(value_col).alias("low"), F.max(value_col).alias("high"))
+    low = bounds.getField("low")
+    width = (bounds.getField("high") - low) / bins
+    place = F.floor(F.try_divide(F.col(value_col) - low, width))
     counted = (
-        values.crossJoin(F.broadcast(bounds))
-        .select(
-            F.coalesce(
-                F.least(F.floor(F.try_divide(F.col(value_col) - F.col("low"), width)), F.lit(bins - 1)), F.lit(0)
-            ).cast("bigint").alias("bin")
-        )
+        values.select(F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("bigint").alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("n"))
     )
-    edges = df.sparkSession.range(bins).withColumnRenamed("id", "bin").crossJoin(F.broadcast(bounds))
-    return edges.join(counted, "bin", "left").select(
+    every_bin = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    return every_bin.join(counted, "bin", "left").select(
         "bin",
-        (F.col("low") + F.col("bin") * width).alias("bin_start"),
-        (F.col("low") + (F.col("bin") + 1) * width).alias("bin_end"),
+        (low + F.col("bin") * width).alias("bin_start"),
+        (low + (F.col("bin") + 1) * width).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
@@ -128,5 +131,4 @@ def recent_window(windows: DataFrame, hours: int = 24, as_of: str | None = None)
     at = micros(F.col("timestamp"))
     if as_of is not None:
         return windows.where(at >= micros(F.lit(as_of).cast("timestamp")) - span).select(*columns)
-    newest = windows.agg(F.max(at).alias("_newest"))
-    return windows.crossJoin(F.broadcast(newest)).where(at >= F.col("_newest") - span).select(*columns)
+    return windows.where(at >= windows.agg(F.max(at)).scalar() - span).select(*columns)

@@ -101,10 +101,9 @@ def fit_vocabulary(
     Terms rank by occurrences; equal ones alphabetically.
     """
     stats = term_stats(term_counts(posts, text_col, id_col, cfg, stop_words))
-    n_docs = posts.agg(F.count("*").alias("n_docs"))
     kept = (
         stats.where(F.col("doc_freq") >= cfg.min_df)
-        .crossJoin(F.broadcast(n_docs))
+        .withColumn("n_docs", posts.agg(F.count("*")).scalar())
         .where(F.col("doc_freq") <= cfg.max_df * F.col("n_docs"))
         .orderBy(F.desc("term_freq"), "term")
         .limit(cfg.max_features)
@@ -151,10 +150,9 @@ def tfidf_row_stats(
         F.coalesce(F.sum("weight"), F.lit(0.0)).alias("_sum"),
         F.coalesce(F.sum(F.col("weight") * F.col("weight")), F.lit(0.0)).alias("_squares"),
     )
-    width = model.agg(F.count("*").alias("_width"))
     total = F.coalesce(F.try_divide(F.col("_sum"), F.sqrt("_squares")), F.lit(0.0))
     squares = F.when(F.col("_squares") > 0, 1.0).otherwise(0.0)
-    sized = per_post.crossJoin(F.broadcast(width)).withColumn("tfidf_sum", total)
+    sized = per_post.withColumns({"_width": model.agg(F.count("*")).scalar(), "tfidf_sum": total})
     mean = F.coalesce(F.try_divide(F.col("tfidf_sum"), F.col("_width")), F.lit(0.0))
     spread = F.coalesce(F.try_divide(squares, F.col("_width")), F.lit(0.0)) - mean * mean
     return sized.select(
