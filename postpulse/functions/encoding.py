@@ -32,13 +32,11 @@ CONTROL = r"[\x00-\x08\x0b\x0e-\x1f\x7f\x{206a}-\x{206f}\x{feff}\x{fff9}-\x{fffc
 ALL_LATIN1 = r"^[\x00-\x{FF}]*$"
 LEAD_THEN_ANY = r"[\x{C2}-\x{F4}][^\x00-\x7F]"
 LEAD_THEN_TAIL = r"[\x{C2}-\x{F4}][\x{80}-\x{BF}]"
-# Without such a character none of the character steps applies.
-SIMPLIFIABLE = (
-    r"[\x00-\x08\x0b\x0d-\x1f\x7f\x85\x{02bc}\x{2018}-\x{201f}\x{2028}\x{2029}\x{206a}-\x{206f}"
-    r"\x{3000}\x{fb00}-\x{fb06}\x{feff}-\x{ff5e}\x{fff9}-\x{fffc}]"
-)
-# No character outside this class changes under NFC or combines with a neighbour.
-NFC_CANDIDATE = r"[^\x00-\x{02FF}\x{2010}-\x{2125}]"
+# Texts without such a character need none of the character steps: plain ASCII and Western
+# letters. Few ranges, because every character of every text is tested against each.
+UNUSUAL = r"[\x00-\x09\x0b-\x1f\x7f-\x9f\x{02bc}-\x{10FFFF}]"
+# No other character changes under NFC or combines with a neighbour.
+NFC_CANDIDATE = r"[\x{0300}-\x{200F}\x{2126}-\x{10FFFF}]"
 
 
 def is_ascii(text: Column) -> Column:
@@ -88,8 +86,8 @@ def repair_encoding(df: DataFrame, name: str) -> DataFrame:
     """Repair the text column ``name``. Each step is a projection of its own: as one nested
     expression, a step that reads its input several times would repeat all the steps below."""
     df = repair_mojibake(df.withColumn(name, unescape_entities(F.col(name))), name)
-    special = F.regexp_like(F.col(name), F.lit(SIMPLIFIABLE))
-    return df.withColumn(name, F.when(special, simplify_characters(F.col(name))).otherwise(F.col(name)))
+    unusual = F.regexp_like(F.col(name), F.lit(UNUSUAL))
+    return df.withColumn(name, F.when(unusual, simplify_characters(F.col(name))).otherwise(F.col(name)))
 
 
 def normalize_nfc(text: Column) -> Column:
