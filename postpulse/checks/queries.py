@@ -59,8 +59,13 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return clean_ops.clean_dataframe(posts(spark, folder))
 
 
+def stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned posts, materialised for queries that read them more than once."""
+    return cut_lineage(cleaned(spark, folder))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return signals.individual_signals(cleaned(spark, folder), time_decay=False)
+    return full_run.scored_posts(posts(spark, folder))
 
 
 def windows(spark: SparkSession, folder: str, minutes: int = 60) -> DataFrame:
@@ -68,7 +73,7 @@ def windows(spark: SparkSession, folder: str, minutes: int = 60) -> DataFrame:
 
 
 def finished(spark: SparkSession, folder: str) -> DataFrame:
-    return signals.generate_signals(cleaned(spark, folder))
+    return full_run.posts_to_signals(posts(spark, folder))
 
 
 def log(spark: SparkSession, folder: str) -> DataFrame:
@@ -358,7 +363,7 @@ def query_hashtags(spark, folder):
     f"SELECT tweet_id, {r6('engagement_score')} AS engagement_score FROM weighted WHERE engagement_score >= 0.4005",
 )
 def query_min_engagement(spark, folder):
-    found = tables.query_data(engagement.normalize_data(cleaned(spark, folder)), min_engagement=0.4005)
+    found = tables.query_data(engagement.normalize_data(stored(spark, folder)), min_engagement=0.4005)
     return rounded(found.select("tweet_id", "engagement_score"))
 
 
@@ -522,12 +527,12 @@ _normalised = [f"{c}_normalized" for c in engagement.WEIGHTS]
     "SELECT tweet_id, " + ", ".join(f"{r6(c)} AS {c}" for c in _normalised) + " FROM normalized",
 )
 def minmax_normalize(spark, folder):
-    return rounded(engagement.minmax_normalize(cleaned(spark, folder)).select("tweet_id", *_normalised))
+    return rounded(engagement.minmax_normalize(stored(spark, folder)).select("tweet_id", *_normalised))
 
 
 @register("engagement_score", f"SELECT tweet_id, {r6('engagement_score')} AS engagement_score FROM weighted")
 def engagement_score(spark, folder):
-    return rounded(engagement.normalize_data(cleaned(spark, folder)).select("tweet_id", "engagement_score"))
+    return rounded(engagement.normalize_data(stored(spark, folder)).select("tweet_id", "engagement_score"))
 
 
 @register(
@@ -544,7 +549,9 @@ def engagement_proxy(spark, folder):
 
 def signal_query(name: str, *columns: str) -> None:
     def run(spark, folder):
-        df = signals.individual_signals(cleaned(spark, folder), time_decay="time_decay" in columns)
+        timed = "time_decay" in columns
+        source = stored(spark, folder) if timed else cleaned(spark, folder)
+        df = signals.individual_signals(source, time_decay=timed)
         return rounded(df.select("tweet_id", *columns))
 
     doubles = ("weighted_sentiment", "urgency_signal", "market_focus_signal", "time_decay", "engagement_proxy")
@@ -571,7 +578,7 @@ signal_query(
     f"SELECT tweet_id, {r6('sign(sentiment_score) * engagement_score')} AS weighted_sentiment FROM weighted",
 )
 def sig_weighted_by_score(spark, folder):
-    df = signals.individual_signals(engagement.normalize_data(cleaned(spark, folder)), time_decay=False)
+    df = signals.individual_signals(engagement.normalize_data(stored(spark, folder)), time_decay=False)
     return rounded(df.select("tweet_id", "weighted_sentiment"))
 
 
@@ -630,6 +637,12 @@ def composite_signal(spark, folder):
     return rounded(signals.composite_signal(windows(spark, folder, 7)).select("timestamp", "composite_signal"))
 
 
+@register("generate_from_clean", measures(FINISHED, "windows"))
+def generate_from_clean(spark, folder):
+    """From a stored table of cleaned posts, as the staged run does."""
+    return rounded(signals.generate_signals(stored(spark, folder)).select("timestamp", *FINISHED))
+
+
 @register("generate_signals", measures(FINISHED, "windows"))
 def generate_signals(spark, folder):
     return rounded(finished(spark, folder).select("timestamp", *FINISHED))
@@ -758,12 +771,12 @@ def term_stats(spark, folder):
 
 @register("fit_vocabulary", "SELECT term, doc_freq, term_freq, n_docs FROM vocabulary")
 def fit_vocabulary(spark, folder):
-    return tfidf.fit_vocabulary(cleaned(spark, folder)).select("term", "doc_freq", "term_freq", "n_docs")
+    return tfidf.fit_vocabulary(stored(spark, folder)).select("term", "doc_freq", "term_freq", "n_docs")
 
 
 @register("idf", f"SELECT term, {r6('idf')} AS idf FROM vocabulary")
 def idf(spark, folder):
-    return rounded(tfidf.fit_vocabulary(cleaned(spark, folder)).select("term", "idf"))
+    return rounded(tfidf.fit_vocabulary(stored(spark, folder)).select("term", "idf"))
 
 
 def fitted(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -791,7 +804,7 @@ def tfidf_row_stats(spark, folder):
 @register("save_model", f"SELECT term, doc_freq, term_freq, {r6('idf')} AS idf, n_docs FROM vocabulary")
 def save_model(spark, folder):
     path = scratch_path(spark, "model")
-    storage.save_model(tfidf.fit_vocabulary(cleaned(spark, folder)), path)
+    storage.save_model(tfidf.fit_vocabulary(stored(spark, folder)), path)
     return rounded(storage.load_model(spark, path))
 
 

@@ -43,7 +43,10 @@ def normal_quantile(confidence: float) -> float:
 def wilson_bounds(mean_signal: Column, n: Column, confidence: float = 0.95) -> tuple[Column, Column]:
     """Wilson interval of a mean in [-1, 1] read as a share of positive posts; (0, 0) for n = 0."""
     z = normal_quantile(confidence)
-    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (mean_signal + 1) / 2))
+    # greatest() and least() would pass over a NULL.
+    share = F.when(
+        mean_signal.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), (mean_signal + 1) / 2))
+    )
     count = F.nullif(n.cast("double"), F.lit(0.0))
     spread = 1 + z * z / count
     centre = (share + z * z / (2 * count)) / spread

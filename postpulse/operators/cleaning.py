@@ -56,7 +56,11 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.withColumns(typed) if typed else df
 
 
+def featurise(posts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Clean text, features, filled values and types. Works row by row, without a shuffle."""
+    return coerce_types(fill_missing(add_features(add_clean_text(posts, settings.text), settings.text)))
+
+
 def clean_dataframe(posts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    cleaned = add_features(add_clean_text(posts, settings.text), settings.text)
-    cleaned = coerce_types(fill_missing(cleaned))
+    cleaned = featurise(posts, settings)
     return dedupe_by_hash(cleaned) if settings.deduplicate else cleaned

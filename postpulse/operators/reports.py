@@ -69,9 +69,10 @@ def signal_histogram(df: DataFrame, value_col: str = "composite_signal", bins: i
     bounds = totals_of(values, F.min(value_col).alias("low"), F.max(value_col).alias("high"))
     low = bounds.getField("low")
     width = (bounds.getField("high") - low) / bins
-    place = F.floor(F.try_divide(F.col(value_col) - low, width))
+    # Without a spread everything falls into the first bin.
+    place = F.coalesce(F.floor(F.try_divide(F.col(value_col) - low, width)), F.lit(0))
     counted = (
-        values.select(F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("bigint").alias("bin"))
+        values.select(F.least(place, F.lit(bins - 1)).cast("bigint").alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("n"))
     )

@@ -19,7 +19,10 @@ from postpulse.session import cut_lineage
 
 MINUTE = 60_000_000
 HOUR = 3_600_000_000
-SALTS = 32
+
+
+def _hour(at: Column) -> Column:
+    return F.floor(at / HOUR).cast("bigint")
 
 
 def rate_audit(log: DataFrame, cfg: RequestConfig = RequestConfig()) -> DataFrame:
@@ -33,7 +36,7 @@ def rate_audit(log: DataFrame, cfg: RequestConfig = RequestConfig()) -> DataFram
     oldest call inside it is a minimum that grows from the newest call backwards.
     """
     call = log.select("request_id", "client", micros(F.col("ts")).alias("at"))
-    hour = F.floor(F.col("at") / HOUR).cast("bigint")
+    hour = _hour(F.col("at"))
     places = F.array(
         F.struct(hour.alias("hour"), F.lit(True).alias("own")),
         F.struct((hour + 1).alias("hour"), F.lit(False).alias("own")),
@@ -67,33 +70,46 @@ def rate_audit(log: DataFrame, cfg: RequestConfig = RequestConfig()) -> DataFram
 
 
 def endpoint_health(log: DataFrame) -> DataFrame:
-    """Counts, response times, last events and trailing failures of each endpoint."""
+    """Counts, response times, last events and trailing failures of each endpoint.
+
+    Everything is first summed per endpoint and hour, so that a busy endpoint is no more
+    than its hours. Failures after the last success are those of later hours, which are
+    summed already, and those later in the same hour, for which the log is read once more.
+    """
     event = log.select(
-        F.col("client").alias("endpoint"), "ts", "ok", "response_time",
+        F.col("client").alias("endpoint"), "ts", "ok", "response_time", _hour(micros(F.col("ts"))).alias("hour"),
         F.struct("ts", "request_id").alias("place"),
     )
-    # One row per endpoint, read twice: materialised, so that the log is not scanned again.
-    totals = cut_lineage(event.groupBy("endpoint").agg(
-        F.count_if("ok").alias("success_count"),
-        F.count_if(~F.col("ok")).alias("failure_count"),
-        F.coalesce(F.sum(F.when(F.col("ok"), F.col("response_time"))), F.lit(0.0)).alias("total_response_time"),
-        F.max("ts").alias("last_used"),
-        F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_success"),
-        F.max(F.when(~F.col("ok"), F.col("ts"))).alias("last_failure"),
-        F.max(F.when(F.col("ok"), F.col("place"))).alias("last_ok"),
-    ))
-    # Failures after the last success. The few endpoint rows are repeated once per salt, so
-    # that the failures of one busy endpoint spread over that many tasks.
-    salted = totals.select("endpoint", "last_ok", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    failures = event.where(~F.col("ok")).select(
-        "endpoint", "place", F.pmod(F.hash("place"), F.lit(SALTS)).alias("salt")
+    hours = cut_lineage(
+        event.groupBy("endpoint", "hour").agg(
+            F.count_if("ok").alias("success_count"),
+            F.count_if(~F.col("ok")).alias("failure_count"),
+            F.coalesce(F.sum(F.when(F.col("ok"), F.col("response_time"))), F.lit(0.0)).alias("total_response_time"),
+            F.max("ts").alias("last_used"),
+            F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_success"),
+            F.max(F.when(~F.col("ok"), F.col("ts"))).alias("last_failure"),
+            F.max(F.when(F.col("ok"), F.col("place"))).alias("last_ok"),
+        )
+    )
+    sums = ("success_count", "failure_count", "total_response_time")
+    totals = hours.groupBy("endpoint").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        *[F.max(c).alias(c) for c in ("last_used", "last_success", "last_failure", "last_ok")],
+    )
+    last = totals.select("endpoint", F.col("last_ok").alias("mark"), _hour(micros(F.col("last_ok.ts"))).alias("mark_hour"))
+    later_hours = (
+        hours.join(last, "endpoint")
+        .where(F.col("mark").isNull() | (F.col("hour") > F.col("mark_hour")))
+        .select("endpoint", F.col("failure_count").alias("n"))
     )
-    trailing = (
-        failures.join(salted, ["endpoint", "salt"])
-        .where(F.col("last_ok").isNull() | (F.col("place") > F.col("last_ok")))
-        .groupBy("endpoint")
-        .agg(F.count("*").alias("consecutive_failures"))
+    same_hour = (
+        event.where(~F.col("ok"))
+        .join(last.withColumnRenamed("mark_hour", "hour"), ["endpoint", "hour"])
+        .where(F.col("place") > F.col("mark"))
+        .select("endpoint", F.lit(1).cast("bigint").alias("n"))
     )
+    trailing = later_hours.unionByName(same_hour).groupBy("endpoint").agg(F.sum("n").alias("consecutive_failures"))
+    attempts = F.col("success_count") + F.col("failure_count")
     return (
         totals.drop("last_ok")
         .join(trailing, "endpoint", "left")
@@ -101,9 +117,7 @@ def endpoint_health(log: DataFrame) -> DataFrame:
             {
                 "consecutive_failures": F.coalesce("consecutive_failures", F.lit(0)),
                 "mean_response_time": F.try_divide(F.col("total_response_time"), F.col("success_count")),
-                "success_rate": F.try_divide(
-                    F.col("success_count").cast("double"), F.col("success_count") + F.col("failure_count")
-                ),
+                "success_rate": F.try_divide(F.col("success_count").cast("double"), attempts),
             }
         )
     )

@@ -6,15 +6,32 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postpulse.config import Settings
-from postpulse.operators.cleaning import clean_dataframe
+from postpulse.operators.cleaning import clean_dataframe, featurise
+from postpulse.operators.dedupe import dedupe_by_hash
 from postpulse.operators.reports import signal_summary
-from postpulse.operators.signals import generate_signals
+from postpulse.operators.signals import aggregate_signals, finish_windows, generate_signals, individual_signals
+from postpulse.session import cut_lineage
 from postpulse.sinks import storage
 from postpulse.sources.selection import collect_posts, since_day
 
 
+def scored_posts(posts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Signals of the cleaned posts without duplicates.
+
+    Scores depend on their own row only, so they are computed before duplicates are removed:
+    what that shuffles is then a few numbers and the hash of each post instead of its text.
+    """
+    scored = individual_signals(featurise(posts, settings), time_decay=False)
+    return dedupe_by_hash(scored) if settings.deduplicate else scored
+
+
 def posts_to_signals(posts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return generate_signals(clean_dataframe(posts, settings), settings)
+    """Raw posts to the finished window table in one go."""
+    if settings.signals.normalize_engagement:
+        # The range of the counts is that of the posts without duplicates.
+        return generate_signals(cut_lineage(clean_dataframe(posts, settings)), settings)
+    windows = aggregate_signals(scored_posts(posts, settings), settings.signals.window_minutes)
+    return finish_windows(windows, settings.signals)
 
 
 def run_full(

@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postpulse.config import SelectionConfig
-from postpulse.operators.frames import BROADCAST_ROWS
+from postpulse.operators.frames import BROADCAST_ROWS, with_ordinal
 from postpulse.session import cut_lineage
 from postpulse.sources.tables import has_any_hashtag
 
-SALTS = 32
+# Parts that a source's candidates are ranked in before they are ranked together.
+PARTS = 1024
+# Up to this cap Spark drops rows beyond it in each task (spark.sql.optimizer.windowGroupLimitThreshold).
+LIMITED_CAP = 1000
 
 
 def since_day(as_of: str, hours: int) -> Column:
@@ -51,6 +54,10 @@ def union_sources(posts: DataFrame, cfg: SelectionConfig, as_of: str, hours: int
     )
 
 
+def newest_first() -> list[Column]:
+    return [F.desc("timestamp"), F.asc("tweet_id")]
+
+
 def source_cap(cfg: SelectionConfig) -> Column:
     return F.when(
         F.startswith(F.col("matched_source"), F.lit("hashtag:")), F.lit(cfg.max_tweets_per_hashtag)
@@ -60,19 +67,33 @@ def source_cap(cfg: SelectionConfig) -> Column:
 def cap_per_source(matched: DataFrame, cfg: SelectionConfig) -> DataFrame:
     """The newest posts of each source, up to its cap.
 
-    Ranked first within salted parts of a source and then over the parts' survivors, so that
-    the last step sees at most cap x parts rows of a source however many it matched.
+    Each task forwards at most the cap of its own rows of a source. They are ranked first in
+    parts, each made of some tasks' rows, and then over the parts' survivors, so that no task
+    receives more than a source's cap times the parts, or times the tasks of a part.
     """
-    newest = [F.desc("timestamp"), F.asc("tweet_id")]
+    if cfg.max_tweets_per_hashtag > LIMITED_CAP:
+        return _cap_by_position(matched, cfg)
     limit = cfg.max_tweets_per_hashtag
-    parts = matched.withColumn("_salt", F.pmod(F.xxhash64("tweet_id"), F.lit(SALTS)))
-    in_part = Window.partitionBy("matched_source", "_salt").orderBy(*newest)
-    in_source = Window.partitionBy("matched_source").orderBy(*newest)
-    survivors = parts.withColumn("_n", F.row_number().over(in_part)).where(F.col("_n") <= limit).drop("_n", "_salt")
+    parts = matched.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
+    in_part = Window.partitionBy("matched_source", "_part").orderBy(*newest_first())
+    in_source = Window.partitionBy("matched_source").orderBy(*newest_first())
+    survivors = parts.withColumn("_n", F.row_number().over(in_part)).where(F.col("_n") <= limit).drop("_n", "_part")
     ranked = survivors.withColumn("_n", F.row_number().over(in_source)).where(F.col("_n") <= limit)
     return ranked.where(F.col("_n") <= source_cap(cfg)).drop("_n")
 
 
+def _cap_by_position(matched: DataFrame, cfg: SelectionConfig) -> DataFrame:
+    """The same for large caps: positions in the global order, less where each source starts."""
+    placed = with_ordinal(matched, [F.col("matched_source"), *newest_first()])
+    # One row per configured source.
+    starts = placed.groupBy("matched_source").agg(F.min("ordinal").alias("_start"))
+    return (
+        placed.join(F.broadcast(starts), "matched_source")
+        .where(F.col("ordinal") - F.col("_start") < source_cap(cfg))
+        .select(*matched.columns)
+    )
+
+
 def stop_at_target(capped: DataFrame, min_tweets: int) -> DataFrame:
     """Whole sources in order, until enough posts are collected."""
     counts = capped.groupBy("source_no").agg(F.count("*").alias("n"))

@@ -25,8 +25,7 @@ def windowed_stream(posts: DataFrame, settings: Settings = Settings(), delay: st
         .withWatermark("timestamp", delay)
         .dropDuplicatesWithinWatermark(["tweet_id"])
     )
-    featured = cleaning.add_features(cleaning.add_clean_text(fresh, settings.text), settings.text)
-    scored = signals.individual_signals(cleaning.fill_missing(featured), time_decay=False)
+    scored = signals.individual_signals(cleaning.featurise(fresh, settings), time_decay=False)
     totals = scored.groupBy(F.window("timestamp", width).alias("w")).agg(
         *[F.avg(c).alias(c) for c in signals.MEANS],
         *[F.sum(c).alias(c) for c in signals.SUMS],
