@@ -7,10 +7,9 @@ import hashlib
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from postpulse.config import Settings, TextConfig
-from postpulse.functions import cleaning, encoding, features
+from postpulse.functions import encoding
 from postpulse.operators.cleaning import add_clean_text, add_features, clean_dataframe, coerce_types, fill_missing
 
 

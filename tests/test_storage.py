@@ -96,6 +96,7 @@ def test_partition_columns_by_cardinality(spark):
     report = {r["column"]: r.distinct_count for r in storage.partition_col_report(df, names).collect()}
     assert report == {"one": 1, "two": 2, "n99": 99, "n100": 100, "many": 100, "with_null": 2, "none": 0}
     assert storage.pick_partition_cols(df, ["absent"]) == []
+    assert storage.pick_partition_cols(df, ["many"]) == []
 
 
 def test_append_leaves_old_files(spark, posts, tmp_path):
