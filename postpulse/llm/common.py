@@ -7,8 +7,9 @@ between documents is by id, rows without an id last, then by a hash of the text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,13 +37,16 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame, keep: Callable[[DataFrame], Column]) -> DataFrame:
-    """The rows of ``docs`` for whose (doc_id, text) the keyed ``decisions`` say so, with all their columns."""
-    kept = decisions.where(keep(decisions)).select(*KEY).distinct()
-    name = free_name(docs, "_row_hash")
-    rows = docs.withColumn(name, F.xxhash64("text"))
-    on = rows["doc_id"].eqNullSafe(kept[ID]) & (rows[name] == kept[HASH])
-    return rows.join(kept, on, "left_semi").drop(name)
+def keep_where(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame:
+    """The rows of ``docs`` whose text passes ``keep``, with all their columns and without a shuffle."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask = [keep(text) for text in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postpulse.llm.common import keep_where
+
 WINDOW = 10
 BLOCK_PATTERNS = 50_000
 
@@ -64,20 +66,24 @@ def _spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
     return [(int(points[starts[a]]), int(points[ends[b]])) for a, b in zip(first, last)]
 
 
+def _machine(block: list[tuple[str, list[str]]]) -> ahocorasick.Automaton:
+    machine = ahocorasick.Automaton()
+    for pattern, items in block:
+        machine.add_word(f" {pattern} ", (len(pattern) + 2, items))
+    machine.make_automaton()
+    return machine
+
+
 def _scanner(shared):
     """Scans rows of (doc_id, text, spans and items so far) for one block of patterns."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = ahocorasick.Automaton()
-        for pattern, items in shared.value:
-            machine.add_word(f" {pattern} ", (len(pattern) + 2, items))
-        if len(machine):
-            machine.make_automaton()
+        machine = _machine(shared.value)
         for batch in batches:
             hits, names = [], []
             for text, before, known in zip(batch["text"], batch["hits"], batch["items"]):
                 found, seen = list(before), set(known)
-                words = words_of(text) if len(machine) else []
+                words = words_of(text)
                 if words:
                     line = f" {b' '.join(words).decode('latin-1')} "
                     ends = None
@@ -113,29 +119,45 @@ def find_contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_patterns: int = BLOCK_PATTERNS
 ) -> DataFrame:
     """Words, hit words, items and spans of each document."""
-    spark = docs.sparkSession
     scanned = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text",
         F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"),
     )
     schema = "doc_id bigint, text string, hits array<int>, items array<string>"
+    for shared in _blocks(patterns(benchmark, window), block_patterns):
+        scanned = scanned.mapInPandas(_scanner(shared), schema)
+    return scanned.mapInPandas(_finish, FOUND)
+
+
+def _blocks(found: DataFrame, size: int) -> Iterator:
+    """Broadcasts of at most ``size`` patterns. They arrive partition by partition; the driver holds one block at a time."""
     block: list[tuple[str, list[str]]] = []
-    # Patterns arrive partition by partition; the driver holds one block at a time.
-    for row in patterns(benchmark, window).toLocalIterator():
+    for row in found.toLocalIterator():
         block.append((row.pattern, list(row["items"])))
-        if len(block) == block_patterns:
-            scanned, block = scanned.mapInPandas(_scanner(spark.sparkContext.broadcast(block)), schema), []
+        if len(block) == size:
+            yield found.sparkSession.sparkContext.broadcast(block)
+            block = []
     if block:
-        scanned = scanned.mapInPandas(_scanner(spark.sparkContext.broadcast(block)), schema)
-    return scanned.mapInPandas(_finish, FOUND)
+        yield found.sparkSession.sparkContext.broadcast(block)
+
+
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_patterns: int = BLOCK_PATTERNS
+) -> DataFrame:
+    """``docs`` without the documents that contain a pattern; all columns are kept as they are."""
+    for shared in _blocks(patterns(benchmark, window), block_patterns):
+        docs = keep_where(docs, _clean(shared))
+    return docs
+
 
+def _clean(shared):
+    """Whether no pattern occurs in a text."""
+    machines = []
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents that contain a pattern."""
-    from postpulse.llm.common import HASH, ID, keep_rows
+    def clean(text: str | None) -> bool:
+        if not machines:
+            machines.append(_machine(shared.value))
+        words = words_of(text)
+        return not words or next(machines[0].iter(f" {b' '.join(words).decode('latin-1')} "), None) is None
 
-    found = find_contamination(docs.select("doc_id", "text"), benchmark, window)
-    dirty = found.where("n_hit > 0").select(F.col("doc_id").alias(ID)).distinct()
-    ids = docs.select(F.col("doc_id").alias(ID), F.xxhash64("text").alias(HASH))
-    clean = ids.join(dirty, ids[ID].eqNullSafe(dirty[ID]), "left_anti")
-    return keep_rows(docs, clean, lambda d: F.lit(True))
+    return clean

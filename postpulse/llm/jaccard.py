@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import shuffle_partitions, stored
+from postpulse.llm.common import free_name, shuffle_partitions, stored
 
 WIDTH = 4
 PERCENT = 85
@@ -310,9 +310,8 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 
 def keep_one_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents that are in a class of another, smaller id. A NULL id is kept."""
-    from postpulse.llm.common import free_name
-
+    """``docs`` without the documents whose class has a smaller id. Documents without an id are kept."""
     classes = jaccard_classes(docs, width, percent)
-    gone = classes.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    name = free_name(docs, "_gone")
+    gone = classes.where("component_id < doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")

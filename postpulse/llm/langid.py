@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postpulse.llm.common import keep_where
+
 BITS = 15
 DIMS = 1 << BITS
 SAMPLE_PER_LANG = 1000
@@ -173,23 +175,24 @@ def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with the columns ``lang_pred`` and ``score``, which must be free names."""
+    """doc_id, lang_pred and score of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [shared.value.predict(text) for text in batch["text"]]
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "_tx": batch["_tx"], "lang_pred": [o[0] for o in out], "score": [o[1] for o in out]}
-            )
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": [o[0] for o in out], "score": [o[1] for o in out]})
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_tx"), "text")
-    return rows.mapInPandas(run, "doc_id bigint, _tx bigint, lang_pred string, score double")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return rows.mapInPandas(run, "doc_id bigint, lang_pred string, score double")
 
 
 def keep_recognised(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """``docs`` whose language is recognised with a score of ``least`` or more."""
-    from postpulse.llm.common import ID, keep_rows
+    """``docs`` whose language is recognised with a score of ``least`` or more; all columns are kept as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(text: str | None) -> bool:
+        lang, score = shared.value.predict(text)
+        return lang != UNKNOWN and score >= least
 
-    found = predict(docs, model).withColumnRenamed("doc_id", ID)
-    return keep_rows(docs, found, lambda d: (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return keep_where(docs, keep)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postpulse.llm import class_lm, decontaminate, jaccard, langid, packing
+from postpulse.llm import (
+    class_lm, decontaminate, jaccard, langid, licenses, line_dedup, packing, secrets, simhash, substring_dedup,
+)
 from postpulse.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,16 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@register
+def op1_line_dedup(spark, folder):
+    kept = line_dedup.drop_repeated_runs(documents(spark, folder), keep_empty=True)
+    lines = F.filter(F.split("text", "\n"), line_dedup.filled)
+    return kept.select(
+        "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_kept"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 @register
 def op2_decontamination(spark, folder):
     found = decontaminate.find_contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
@@ -54,6 +66,31 @@ def op5_lm_scoring(spark, folder):
     )
 
 
+@register
+def op6_license_scan(spark, folder):
+    return licenses.scan_licenses(documents(spark, folder)).select(
+        "doc_id", F.array_join("licenses", ",").alias("licenses"), "whole_text", "n_lines"
+    )
+
+
+@register
+def op7_secret_scan(spark, folder):
+    found = secrets.find_secrets(documents(spark, folder))
+    as_text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    base = F.filter("spans", lambda s: s["kind"] != "format")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(F.array_join(F.transform(base, as_text), ",").cast("binary"), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", as_text), ",").alias("spans"),
+    )
+
+
+@register
+def op8_simhash(spark, folder):
+    return simhash.fingerprint_documents(documents(spark, folder))
+
+
 @register
 def op9_language_id(spark, folder):
     docs = documents(spark, folder)
@@ -62,3 +99,10 @@ def op9_language_id(spark, folder):
     return langid.predict(docs, model).select(
         "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+@register
+def op10_substring_dedup(spark, folder):
+    return substring_dedup.remove_repeats(documents(spark, folder)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
