@@ -5,10 +5,12 @@ T = ceil(t / (1 + t) * (a + b)) shingles, so a document is found by reading inve
 often enough. Lists are split as DivideSkip does: the long ones are set aside and probed by binary search, the short ones are merged.
 
 1. Documents with equal sets form one class by their digest; one document of each, the smallest, goes on.
-2. The lengths of all inverted lists are counted. The ``LONG_LISTS`` longest (a bound on what is broadcast) come last in the
-   order of shingles. The order only steers the work: any order finds every link.
+2. The lengths of inverted lists are counted, over all documents, for the shingles whose hash lies in the lowest ``UNIVERSE`` of
+   its range. Shingles are ordered by that length; those without a count follow, and the ``LONG_LISTS`` longest (a
+   bound on what is broadcast) come last. The order only steers the work: any order finds every link.
 3. Of a set of n shingles, only the first n - ceil(t * n) + 1 in this order are merged: two similar sets share one of
-   these. Their lists give connected families, a superset of the links, without listing pairs.
+   these. A document with that many shingles of its own needs no search at all. The remaining lists give connected families,
+   a superset of the links, without listing pairs.
 4. A family is searched in blocks: each block of documents is indexed, and each block of the family is streamed through it.
    Inside, lists beyond the merge threshold are probed, and documents which are linked already are not compared again,
    so a block pair gives at most a spanning forest.
@@ -38,6 +40,8 @@ PERCENT = 85
 LONG_LISTS = 200_000
 #: Shingles that occur in fewer sets are never long.
 LEAST_LONG = 32
+#: Share of the shingles whose lists are counted; well above the share 1 - t that is merged.
+UNIVERSE = 0.35
 #: Documents of a block.
 BLOCK = 1500
 
@@ -74,6 +78,11 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return total[np.concatenate(([True], total[1:] != total[:-1]))]
 
 
+def counted(own: np.ndarray) -> np.ndarray:
+    """Those of the sorted shingles whose lists are counted."""
+    return own[: np.searchsorted(own, np.uint64(int(UNIVERSE * (1 << 64))))]
+
+
 def prefix_size(n: int, percent: int) -> int:
     """Shingles of which two similar sets share at least one."""
     return n - (percent * n + 99) // 100 + 1
@@ -97,14 +106,14 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int = LEAST_LONG) -> np.ndarray:
-    """The shingles (first 40 bits) with the longest inverted lists, longest last. All sets are counted."""
+    """The shingles (first 40 bits) with the longest inverted lists, longest last. Counted over all documents."""
     buckets = 4 * shuffle_partitions(texts.sparkSession)
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
             for text in batch["text"]:
-                held.append(shingles(text, width) >> np.uint64(24))
+                held.append(counted(shingles(text, width)) >> np.uint64(24))
                 size += len(held[-1])
                 if size > 2_000_000:
                     yield cut(held)
@@ -115,7 +124,7 @@ def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int
     def cut(held):
         """Sorted values, by ranges; each range as the bytes of its steps, which compress well."""
         values = np.sort(np.concatenate(held))
-        bounds = np.searchsorted(values, (np.arange(1, buckets) * ((1 << 40) / buckets)).astype(np.uint64))
+        bounds = np.searchsorted(values, (np.arange(1, buckets) * (UNIVERSE * (1 << 40) / buckets)).astype(np.uint64))
         out = []
         for bucket, part in enumerate(np.split(values, bounds)):
             if len(part):
@@ -142,39 +151,48 @@ def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int
 
 
 def merged_lists(texts: DataFrame, long: np.ndarray, width: int, percent: int) -> DataFrame:
-    """The lists that are merged: of each set the first shingles, rare ones first.
-
-    Each task combines what it holds of a list: (shingle, its smallest document), and (NULL, document, tie) for the others.
-    """
+    """(shingle, doc) of the lists that are merged: of each set the first shingles in the order, without those of one document."""
     at = np.argsort(long)
     shared = texts.sparkSession.sparkContext.broadcast((long[at], at))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values, places = shared.value
         for batch in batches:
-            firsts = []
+            parts, spares = [], []
             for text in batch["text"]:
                 own = shingles(text, width)
-                order = own
-                if len(values) and len(own):
-                    short = own >> np.uint64(24)
+                first = counted(own)
+                rank = np.zeros(len(first), np.int64)
+                if len(values) and len(first):
+                    short = first >> np.uint64(24)
                     spot = np.minimum(np.searchsorted(values, short), len(values) - 1)
                     rank = np.where(values[spot] == short, places[spot] + 1, 0)
-                    order = own[np.lexsort((own, rank))]
-                firsts.append(order[: prefix_size(len(own), percent)] if len(own) else own)
-            if not firsts:
-                continue
-            docs, terms = np.repeat(batch["doc"].to_numpy(), [len(f) for f in firsts]), np.concatenate(firsts)
-            by = np.lexsort((docs, terms))
-            docs, terms = docs[by], terms[by]
-            new = np.concatenate(([True], terms[1:] != terms[:-1]))[: len(terms)]
-            heads = docs[new][np.cumsum(new) - 1] if len(terms) else docs
-            yield pd.DataFrame({"shingle": pd.array(terms[new].view(np.int64), "Int64"), "doc": docs[new], "tie": docs[new]})
-            ties = np.unique(np.stack([heads, docs], 1)[heads != docs], axis=0)
-            if len(ties):
-                yield pd.DataFrame({"shingle": pd.array([None] * len(ties), "Int64"), "doc": ties[:, 1], "tie": ties[:, 0]})
+                usual = first[rank == 0]
+                spare = len(usual) - prefix_size(len(own), percent) if len(own) else 0
+                # What the counted shingles can't fill comes from the others: by hash, the long ones last.
+                late = np.concatenate((own[len(first) :], first[np.argsort(rank, kind="stable")][len(usual) :]))[: max(0, -spare)]
+                parts += [usual, late]
+                spares += [spare, -len(own) - 1]
+            sizes = [len(p) for p in parts]
+            yield pd.DataFrame(
+                {
+                    "shingle": np.concatenate(parts).view(np.int64) if parts else [],
+                    "doc": np.repeat(np.repeat(batch["doc"].to_numpy(), 2), sizes), "spare": np.repeat(spares, sizes),
+                    "late": np.repeat(np.tile([False, True], len(parts) // 2), sizes),
+                }
+            )
 
-    return texts.select("doc", "text").mapInPandas(run, "shingle bigint, doc bigint, tie bigint")
+    rows = texts.select("doc", "text").mapInPandas(run, "shingle bigint, doc bigint, spare int, late boolean")
+    n = F.count("*").over(Window.partitionBy("shingle", "late"))
+    kept = rows.withColumn("n", n).where("late OR n > 1")
+    # Late rows are few, and sorted in with a length beyond all others.
+    of_doc = kept.groupBy("doc").agg(
+        F.array_sort(F.collect_list(F.struct(F.when(F.col("late"), F.lit(1 << 60)).otherwise(F.col("n")).alias("n"), "shingle"))).alias("own"),
+        F.max("spare").alias("spare"),
+    )
+    # ``spare`` of the counted ones can stay unused, if that many are its own.
+    size = F.size("own") - F.greatest(F.col("spare"), F.lit(0))
+    return of_doc.where(size > 0).select(F.explode(F.slice("own", F.lit(1), size)).alias("s"), "doc").select("s.shingle", "doc")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -264,15 +282,16 @@ def links_between(index: list[np.ndarray], queries: list[np.ndarray], same: bool
     return found
 
 
-def family_links(families: DataFrame, width: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) inside families of (root, doc, text)."""
-    # A family is dealt into blocks by a hash of the document; each pair of blocks is a task's group.
-    sized = families.groupBy("root").agg(F.count("*").alias("_n"))
-    blocks = families.join(sized, "root").withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
+def family_links(members: DataFrame, texts: DataFrame, width: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) inside families, given as (root, doc)."""
+    # A family is dealt into blocks by a hash of the document; each pair of blocks is a group of its own.
+    sized = members.groupBy("root").agg(F.count("*").alias("_n")).where("_n > 1")
+    blocks = members.join(sized, "root").withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
     blocks = blocks.withColumn("_own", F.pmod(F.xxhash64("doc"), F.col("_blocks")).cast("int"))
-    dealt = blocks.select(
-        "root", "doc", "text", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    ).select("root", "doc", "text", "_own", F.least("_own", "_other").alias("_x"), F.greatest("_own", "_other").alias("_y"))
+    dealt = blocks.select("root", "doc", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
+        "root", "doc", "_own", F.least("_own", "_other").alias("_x"), F.greatest("_own", "_other").alias("_y")
+    )
+    dealt = dealt.join(texts, "doc").dropDuplicates(["root", "doc", "_x", "_y"])
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         x, y = group["_x"].iloc[0], group["_y"].iloc[0]
@@ -296,15 +315,13 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     reps = sets.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = stored(reps, "reps")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), "text").where("doc_id IS NOT NULL")
-    lists = stored(merged_lists(texts, long_lists(texts, width), width, percent), "lists")
+    lists = merged_lists(texts, long_lists(texts, width), width, percent)
     # Each document of a list is tied to the smallest one.
     head = F.min("doc").over(Window.partitionBy("shingle"))
-    ties = lists.where("shingle IS NOT NULL").select("doc", head.alias("tie")).where("doc > tie").distinct()
-    families = components(ties.union(lists.where("shingle IS NULL").select("doc", "tie")), "tie", "doc")
+    families = components(lists.select("doc", head.alias("tie")).where("doc > tie"), "tie", "doc")
     # Of equal sets only one document is compared; the others share its class by their digest.
-    members = families.join(reps, families["node"] == reps["rep"], "left_semi")
-    found = texts.withColumnRenamed("doc", "node").join(members, "node").dropDuplicates(["node"])
-    linked = components(family_links(found.select("root", F.col("node").alias("doc"), "text"), width, percent))
+    members = stored(families.join(reps, families["node"] == reps["rep"], "left_semi"), "members")
+    linked = components(family_links(members.select("root", F.col("node").alias("doc")), texts, width, percent))
     named = reps.join(linked, reps["rep"] == linked["node"], "left").select("digest", F.coalesce("root", "rep").alias("component_id"))
     return sets.join(named, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
