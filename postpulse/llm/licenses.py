@@ -92,7 +92,7 @@ def known_digests(spark: SparkSession) -> DataFrame:
 def find_licenses(docs: DataFrame) -> DataFrame:
     """Matches: key, unit (text, paragraph or line), its number from 0, and the licence."""
     low = F.lower("_text")
-    marked = keyed(docs).distinct().where(low.contains(MARKERS[0]) | low.contains(MARKERS[1]))
+    marked = keyed(docs).where(low.contains(MARKERS[0]) | low.contains(MARKERS[1])).distinct()
 
     def parts(kind: str, pieces: Column) -> Column:
         return F.transform(pieces, lambda x, i: F.struct(F.lit(kind).alias("unit"), i.alias("number"), x.alias("raw")))

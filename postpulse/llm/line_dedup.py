@@ -62,7 +62,7 @@ def runs(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW) -> DataFrame
 
 def repeated_lines(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW) -> DataFrame:
     """Key and number of each line that belongs to a later occurrence of a run."""
-    every = stored(runs(keyed(docs).distinct(), grams, window), "runs")
+    every = stored(runs(keyed(docs), grams, window), "runs")
     shared = every.groupBy("print").agg(F.min("spot").alias("lo"), F.max("spot").alias("hi")).where("lo != hi").select("print")
     matched = every.join(shared, "print", "left_semi")
     place = F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), F.col(HASH).alias("tx"), F.col("start").alias("start"))
@@ -80,9 +80,11 @@ def _without(docs: DataFrame, gone: DataFrame, keep_empty: bool) -> DataFrame:
     gone = stored(gone, "gone")
     # Lines of the touched documents only.
     touched = gone.select(*KEY).distinct()
-    texts = keyed(docs).distinct()
+    texts = keyed(docs)
     same = texts[ID].eqNullSafe(touched[ID]) & (texts[HASH] == touched[HASH])
     lines = texts.join(touched, same, "left_semi").select(*KEY, F.posexplode(F.split("_text", "\n")).alias("i", "x"))
+    # Repeated rows give their lines once.
+    lines = lines.dropDuplicates([*KEY, "i"])
     marks = gone.select(F.col(ID).alias("_gid"), F.col(HASH).alias("_gtx"), F.col("i").alias("_gi"))
     on = lines[ID].eqNullSafe(marks["_gid"]) & (lines[HASH] == marks["_gtx"]) & (lines["i"] == marks["_gi"])
     marked = lines.join(marks, on, "left").select(
