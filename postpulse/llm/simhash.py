@@ -95,9 +95,10 @@ def find_near(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> Da
 def with_next(docs: DataFrame) -> DataFrame:
     """Key, text, its length, its successor's key and the edited text: the last third replaced by the start of the next
     document in descending order of ids; the first follows the last."""
-    texts = keyed(docs).distinct()
+    # Repeated rows go along; the aggregate over terms brings them together without changing a majority.
+    texts = keyed(docs)
     keys = with_ordinal(
-        texts.select(*KEY, F.coalesce(F.length("_text"), F.lit(0)).alias("n_chars")), [F.col(ID).desc_nulls_last(), F.col(HASH)], "_place", "_all"
+        texts.select(*KEY, F.coalesce(F.length("_text"), F.lit(0)).alias("n_chars")).distinct(), [F.col(ID).desc_nulls_last(), F.col(HASH)], "_place", "_all"
     )
     after = keys.select(F.pmod(F.col("_place") - 1, F.col("_all")).alias("_place"), F.col(ID).alias("_nid"), F.col(HASH).alias("_ntx"))
     pairs = keys.join(after, "_place").select(*KEY, "n_chars", "_nid", "_ntx")
