@@ -42,6 +42,8 @@ LONG_LISTS = 200_000
 LEAST_LONG = 32
 #: Share of the shingles whose lists are counted; well above the share 1 - t that is merged.
 UNIVERSE = 0.35
+#: Ids that are broadcast to find the texts of families; beyond it, texts are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Documents of a block.
 BLOCK = 1500
 
@@ -291,6 +293,8 @@ def family_links(members: DataFrame, texts: DataFrame, width: int, percent: int,
     dealt = blocks.select("root", "doc", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
         "root", "doc", "_own", F.least("_own", "_other").alias("_x"), F.greatest("_own", "_other").alias("_y")
     )
+    if members.count() <= BROADCAST_IDS:
+        texts = texts.join(F.broadcast(members.select("doc")), "doc", "left_semi")
     dealt = dealt.join(texts, "doc").dropDuplicates(["root", "doc", "_x", "_y"])
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
