@@ -37,6 +37,24 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def map_texts(df: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.DataType]], passed: int = 1) -> DataFrame:
+    """The first ``passed`` columns as they are, and the columns that ``make`` returns for lists of all but the first.
+
+    Ids stay in Arrow, so that NULLs among them don't turn whole numbers into floating-point ones.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = make(*[batch.column(i).to_pylist() for i in range(1, batch.num_columns)])
+            columns = [pa.array(c, kind) for c, (_, kind) in zip(made, fields.values())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:passed], *columns], [*names, *fields])
+
+    names = df.columns[:passed]
+    kinds = dict(df.dtypes)
+    schema = [f"`{c}` {kinds[c]}" for c in names] + [f"{c} {kind}" for c, (kind, _) in fields.items()]
+    return df.mapInArrow(run, ", ".join(schema))
+
+
 def keep_where(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame:
     """The rows of ``docs`` whose text passes ``keep``, with all their columns and without a shuffle."""
     at = docs.columns.index("text")

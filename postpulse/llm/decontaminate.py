@@ -20,10 +20,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import keep_where
+from postpulse.llm.common import keep_where, map_texts
 
 WINDOW = 10
 BLOCK_PATTERNS = 50_000
@@ -31,7 +32,12 @@ BLOCK_PATTERNS = 50_000
 #: Lower-cases A-Z and turns every byte that is no word byte into a blank. Bytes of UTF-8 beyond ASCII belong to words.
 FOLD = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in bytes(range(256)).lower())
 
-FOUND = "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start:int,end:int>>"
+ITEMS = ("array<string>", pa.list_(pa.string()))
+SO_FAR = {"hits": ("array<int>", pa.list_(pa.int32())), "items": ITEMS}
+FOUND = {
+    "n_words": ("bigint", pa.int64()), "n_hit": ("bigint", pa.int64()), "items": ITEMS,
+    "spans": ("array<struct<start:int,end:int>>", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+}
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -75,44 +81,43 @@ def _machine(block: list[tuple[str, list[str]]]) -> ahocorasick.Automaton:
 
 
 def _scanner(shared):
-    """Scans rows of (doc_id, text, spans and items so far) for one block of patterns."""
+    """Adds what one block of patterns finds to the hits and items so far."""
+    machines = []
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = _machine(shared.value)
-        for batch in batches:
-            hits, names = [], []
-            for text, before, known in zip(batch["text"], batch["hits"], batch["items"]):
-                found, seen = list(before), set(known)
-                words = words_of(text)
-                if words:
-                    line = f" {b' '.join(words).decode('latin-1')} "
-                    ends = None
-                    for end, (length, items) in machine.iter(line):
-                        if ends is None:
-                            ends = np.cumsum([len(w) + 1 for w in words])
-                        last = int(np.searchsorted(ends, end))
-                        first = int(np.searchsorted(ends, end - length + 1, side="right"))
-                        found += (first, last + 1)
-                        seen.update(items)
-                hits.append(found)
-                names.append(sorted(seen))
-            yield batch.assign(hits=hits, items=names)
+    def scan(texts: list, before: list, known: list) -> tuple[list, list]:
+        if not machines:
+            machines.append(_machine(shared.value))
+        hits, names = [], []
+        for text, found, items in zip(texts, before, known):
+            seen, words = set(items), words_of(text)
+            if words:
+                line = f" {b' '.join(words).decode('latin-1')} "
+                ends = None
+                for end, (length, own) in machines[0].iter(line):
+                    if ends is None:
+                        ends = np.cumsum([len(w) + 1 for w in words])
+                    last = int(np.searchsorted(ends, end))
+                    first = int(np.searchsorted(ends, end - length + 1, side="right"))
+                    found += (first, last + 1)
+                    seen.update(own)
+            hits.append(found)
+            names.append(sorted(seen))
+        return hits, names
 
     return scan
 
 
-def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        totals, counts, spans = [], [], []
-        for text, hits in zip(batch["text"], batch["hits"]):
-            words = words_of(text)
-            hit = np.zeros(len(words), bool)
-            for a, b in zip(hits[0::2], hits[1::2]):
-                hit[a:b] = True
-            totals.append(len(words))
-            counts.append(int(hit.sum()))
-            spans.append([{"start": a, "end": b} for a, b in _spans(text, hit)] if len(hits) else [])
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": totals, "n_hit": counts, "items": batch["items"], "spans": spans})
+def _finish(texts: list, hits: list, items: list) -> tuple[list, list, list, list]:
+    totals, counts, spans = [], [], []
+    for text, found in zip(texts, hits):
+        words = words_of(text)
+        hit = np.zeros(len(words), bool)
+        for a, b in zip(found[0::2], found[1::2]):
+            hit[a:b] = True
+        totals.append(len(words))
+        counts.append(int(hit.sum()))
+        spans.append([{"start": a, "end": b} for a, b in _spans(text, hit)] if found else [])
+    return totals, counts, items, spans
 
 
 def find_contamination(
@@ -123,10 +128,9 @@ def find_contamination(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text",
         F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"),
     )
-    schema = "doc_id bigint, text string, hits array<int>, items array<string>"
     for shared in _blocks(patterns(benchmark, window), block_patterns):
-        scanned = scanned.mapInPandas(_scanner(shared), schema)
-    return scanned.mapInPandas(_finish, FOUND)
+        scanned = map_texts(scanned, _scanner(shared), SO_FAR, passed=2)
+    return map_texts(scanned, _finish, FOUND)
 
 
 def _blocks(found: DataFrame, size: int) -> Iterator:

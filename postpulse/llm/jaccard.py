@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import free_name, shuffle_partitions, stored
+from postpulse.llm.common import free_name, map_texts, shuffle_partitions, stored
 
 WIDTH = 4
 PERCENT = 85
@@ -93,18 +94,12 @@ def prefix_size(n: int, percent: int) -> int:
 def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles and a digest of the set for each row."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [shingles(t, width) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets],
-                    "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                }
-            )
+    def make(texts: list) -> tuple[list, list]:
+        sets = [shingles(t, width) for t in texts]
+        return [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id bigint, n_shingles bigint, digest binary")
+    return map_texts(rows, make, {"n_shingles": ("bigint", pa.int64()), "digest": ("binary", pa.binary())})
 
 
 def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int = LEAST_LONG) -> np.ndarray:

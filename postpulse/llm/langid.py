@@ -17,10 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import keep_where
+from postpulse.llm.common import keep_where, map_texts
 
 BITS = 15
 DIMS = 1 << BITS
@@ -178,13 +179,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [shared.value.predict(text) for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": [o[0] for o in out], "score": [o[1] for o in out]})
+    def make(texts: list) -> tuple:
+        return tuple(zip(*[shared.value.predict(text) for text in texts])) or ([], [])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInPandas(run, "doc_id bigint, lang_pred string, score double")
+    return map_texts(rows, make, {"lang_pred": ("string", pa.string()), "score": ("double", pa.float64())})
 
 
 def keep_recognised(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:

@@ -18,9 +18,12 @@ from dataclasses import dataclass, field
 from math import log, sqrt
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postpulse.llm.common import map_texts
+
 #: Kinds in their order, and the patterns.
 KINDS = ("assign", "access", "hex", "format")
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -179,24 +182,26 @@ def learned_spans(text: str, base: list[tuple[int, int, str, str]], automata: di
     return found
 
 
-SPANS = "doc_id bigint, spans array<struct<kind:string,start:int,end:int>>"
+SPANS = (
+    "array<struct<kind:string,start:int,end:int>>",
+    pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
+)
 
 
 def scan(docs: DataFrame, automata: dict[str, Automaton]) -> DataFrame:
     """All spans of each row, by start."""
     shared = docs.sparkSession.sparkContext.broadcast(automata)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for text in batch["text"]:
-                base = base_spans(text) if text else []
-                every = base + (learned_spans(text, base, shared.value) if text else [])
-                every.sort(key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
-                out.append([{"kind": s[2], "start": s[0], "end": s[1]} for s in every])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": out})
-
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(run, SPANS)
+    def make(texts: list) -> tuple[list]:
+        out = []
+        for text in texts:
+            base = base_spans(text) if text else []
+            every = base + (learned_spans(text, base, shared.value) if text else [])
+            every.sort(key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+            out.append([{"kind": s[2], "start": s[0], "end": s[1]} for s in every])
+        return (out,)
+
+    return map_texts(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), make, {"spans": SPANS})
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:

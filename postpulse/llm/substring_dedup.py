@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import stored
+from postpulse.llm.common import map_texts, stored
 from postpulse.llm.fm_index import FMIndex, matching_windows
 from postpulse.llm.jaccard import FACTORS, WordHashes
 
@@ -189,24 +189,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_tx"), "text")
     joined = rows.join(spans, (rows["doc_id"] == spans["doc"]) & (rows["_tx"] == spans["tx"]), "left").select("doc_id", "text", "spans")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for doc, text, found in zip(batch["doc_id"], batch["text"], batch["spans"]):
-                words = words_of(text)
-                if found is None:
-                    out.append((doc, len(words), 0, [], b" ".join(words).decode()))
-                    continue
+    def make(texts: list, every: list) -> tuple[list, list, list, list]:
+        totals, removed, spans, kept = [], [], [], []
+        for text, found in zip(texts, every):
+            words, ranges, gone = words_of(text), [], None
+            if found:
                 marks = np.zeros(len(words) + 1, np.int64)
                 np.add.at(marks, [s["lo"] for s in found], 1)
                 np.add.at(marks, [s["hi"] for s in found], -1)
                 gone = np.cumsum(marks)[:-1] > 0
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
                 ranges = [{"lo": int(a), "hi": int(b)} for a, b in edges.reshape(-1, 2)]
-                out.append((doc, len(words), int(gone.sum()), ranges, b" ".join([w for w, g in zip(words, gone) if not g]).decode()))
-            frame = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "spans", "kept"])
-            yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
-
-    return joined.mapInPandas(
-        run, "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<lo:int,hi:int>>, kept string"
-    )
+            totals.append(len(words))
+            removed.append(0 if gone is None else int(gone.sum()))
+            spans.append(ranges)
+            kept.append(b" ".join(words if gone is None else [w for w, g in zip(words, gone) if not g]).decode())
+        return totals, removed, spans, kept
+
+    ranges = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+    fields = {
+        "n_words": ("bigint", pa.int64()), "n_removed": ("bigint", pa.int64()),
+        "spans": ("array<struct<lo:int,hi:int>>", ranges), "kept": ("string", pa.string()),
+    }
+    return map_texts(joined, make, fields)
