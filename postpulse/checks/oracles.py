@@ -50,7 +50,7 @@ CTE: dict[str, str] = {}
 
 CTE["tweets"] = f"""
 SELECT CAST(event_id AS VARCHAR) AS tweet_id, 'user_' || CAST(user_id AS VARCHAR) AS username,
-  CASE WHEN event_id % 50 <> 0 THEN {case(8, OPENINGS)}
+  CASE WHEN event_id % 50 <> 0 OR text IS NOT NULL THEN {case(8, OPENINGS)}
     || CASE WHEN event_id % 4 = 0 THEN ' https://ex.co/p' || event_id ELSE '' END
     || CASE WHEN event_id % 8 = 1 THEN ' @desk #Nifty50' ELSE '' END
     || CASE WHEN event_id % 20 = 7 THEN ' नमस्ते दुनिया' ELSE '' END

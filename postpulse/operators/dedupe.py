@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def dedupe_by_hash(
-    df: DataFrame, hash_col: str = "content_hash", order: Sequence[str] = ("timestamp", "tweet_id")
+    df: DataFrame, hash_col: str = "content_hash", order: Sequence[str] = ("timestamp", "tweet_id", "matched_source")
 ) -> DataFrame:
     """Keep the earliest row of each hash, rows without a time last.
 

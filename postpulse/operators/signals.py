@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postpulse.config import Settings, SignalConfig
@@ -121,12 +121,20 @@ def confidence_intervals(windows: DataFrame, confidence: float = 0.95) -> DataFr
 
 def zscore_components(windows: DataFrame, columns: tuple[str, ...] = tuple(COMPOSITE_WEIGHTS)) -> DataFrame:
     """Add ``<column>_z``: distance from the mean over windows in sample standard deviations."""
-    stats = [F.avg(c).alias(f"_avg_{c}") for c in columns] + [F.stddev_samp(c).alias(f"_std_{c}") for c in columns]
+    # Sums of decimals don't depend on the order of rows, so that a repeated run stores equal values.
+    def total(value: Column) -> Column:
+        return F.sum(value.cast("decimal(38,15)")).cast("double")
+
+    means = [(total(F.col(c)) / F.count(c)).alias(f"_avg_{c}") for c in columns]
+    stats = [
+        F.when(F.count(c) > 1, F.sqrt(total((F.col(c) - F.col(f"_avg_{c}")) ** 2) / (F.count(c) - 1))).alias(f"_std_{c}")
+        for c in columns
+    ]
     scaled = {
         f"{c}_z": (F.col(c) - F.col(f"_avg_{c}")) / (F.col(f"_std_{c}") + F.lit(1e-10)) for c in columns
     }
     helpers = [f"_{stat}_{c}" for stat in ("avg", "std") for c in columns]
-    return with_totals(windows, *stats).withColumns(scaled).drop(*helpers)
+    return with_totals(with_totals(windows, *means), *stats).withColumns(scaled).drop(*helpers)
 
 
 def composite_signal(windows: DataFrame) -> DataFrame:

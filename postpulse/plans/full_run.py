@@ -65,7 +65,12 @@ def incremental_posts(posts: DataFrame, as_of: str, hours: int = 1) -> DataFrame
 
 
 def run_incremental(posts: DataFrame, path: str, as_of: str, hours: int = 1, settings: Settings = Settings()) -> DataFrame:
-    """Score the look-back and replace its days in the signals table at ``path``."""
-    windows = posts_to_signals(incremental_posts(posts, as_of, hours), settings)
-    storage.partition_overwrite(windows.withColumn("date", F.to_date("timestamp")), path, ["date"])
-    return posts.sparkSession.read.parquet(path)
+    """Score the look-back and replace its days in the signals table at ``path``, also those that no longer have posts."""
+    spark = posts.sparkSession
+    windows = cut_lineage(posts_to_signals(incremental_posts(posts, as_of, hours), settings).withColumn("date", F.to_date("timestamp")))
+    storage.partition_overwrite(windows, path, ["date"])
+    days = F.explode(F.sequence(F.to_date(since_day(as_of, hours)), F.to_date(F.lit(as_of))))
+    # One row for each day of the look-back.
+    empty = spark.range(1).select(days.alias("date")).join(windows.select("date").distinct(), "date", "left_anti")
+    storage.drop_partitions(spark, path, "date", [r.date for r in empty.collect()])
+    return spark.read.parquet(path)

@@ -101,6 +101,14 @@ def partition_overwrite(df: DataFrame, path: str, columns: Sequence[str], compre
     writer.mode("overwrite").parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    """Remove partitions of a table, as far as it has them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for value in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={value}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def append_single(df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Append to an unpartitioned table: new part files, no rewrite of the old ones."""
     df.write.option("compression", compression).mode("append").parquet(path)

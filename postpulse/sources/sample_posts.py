@@ -24,7 +24,7 @@ TAGS = ("#Nifty50,#Stocks", "#Sensex", "#BankNifty,#Intraday", None, "#Market",
 
 def make_tweets(events: DataFrame, documents: DataFrame) -> DataFrame:
     """One post per event. The document that shares the event's number, if any, is appended
-    in full, so that every document is part of exactly one post."""
+    in full, so that every document is part of exactly one post. Of the other posts, some are blank."""
     n = F.col("event_id")
 
     def pick(values: tuple, modulus: int) -> Column:
@@ -52,7 +52,7 @@ def make_tweets(events: DataFrame, documents: DataFrame) -> DataFrame:
     return events.join(documents.select("doc_id", "text", "lang"), n == F.col("doc_id"), "left").select(
         number.alias("tweet_id"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("username"),
-        F.when(n % 50 != 0, content).alias("content"),
+        F.when((n % 50 != 0) | F.col("text").isNotNull(), content).alias("content"),
         F.col("ts").alias("timestamp"),
         F.coalesce("lang", F.lit("en")).alias("language"),
         F.split(pick(TAGS, 6), ",").alias("hashtags"),

@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postpulse.config import SelectionConfig
-from postpulse.operators.frames import BROADCAST_ROWS, with_ordinal
 from postpulse.session import cut_lineage
 from postpulse.sources.tables import has_any_hashtag
 
 # Parts that a source's candidates are ranked in before they are ranked together.
 PARTS = 1024
 # Up to this cap Spark drops rows beyond it in each task (spark.sql.optimizer.windowGroupLimitThreshold).
-LIMITED_CAP = 1000
 
 
 def since_day(as_of: str, hours: int) -> Column:
@@ -71,8 +69,6 @@ def cap_per_source(matched: DataFrame, cfg: SelectionConfig) -> DataFrame:
     parts, each made of some tasks' rows, and then over the parts' survivors, so that no task
     receives more than a source's cap times the parts, or times the tasks of a part.
     """
-    if cfg.max_tweets_per_hashtag > LIMITED_CAP:
-        return _cap_by_position(matched, cfg)
     limit = cfg.max_tweets_per_hashtag
     parts = matched.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
     in_part = Window.partitionBy("matched_source", "_part").orderBy(*newest_first())
@@ -82,18 +78,6 @@ def cap_per_source(matched: DataFrame, cfg: SelectionConfig) -> DataFrame:
     return ranked.where(F.col("_n") <= source_cap(cfg)).drop("_n")
 
 
-def _cap_by_position(matched: DataFrame, cfg: SelectionConfig) -> DataFrame:
-    """The same for large caps: positions in the global order, less where each source starts."""
-    placed = with_ordinal(matched, [F.col("matched_source"), *newest_first()])
-    # One row per configured source.
-    starts = placed.groupBy("matched_source").agg(F.min("ordinal").alias("_start"))
-    return (
-        placed.join(F.broadcast(starts), "matched_source")
-        .where(F.col("ordinal") - F.col("_start") < source_cap(cfg))
-        .select(*matched.columns)
-    )
-
-
 def stop_at_target(capped: DataFrame, min_tweets: int) -> DataFrame:
     """Whole sources in order, until enough posts are collected."""
     counts = capped.groupBy("source_no").agg(F.count("*").alias("n"))
@@ -107,9 +91,6 @@ def collect_posts(
     posts: DataFrame, as_of: str, hours: int | None = None, cfg: SelectionConfig = SelectionConfig()
 ) -> DataFrame:
     """A collection run over a stored corpus."""
-    capped = cap_per_source(union_sources(posts, cfg, as_of, hours or cfg.time_window_hours), cfg)
-    sources = len(cfg.hashtags) + len(cfg.search_terms)
-    if sources * cfg.max_tweets_per_hashtag <= BROADCAST_ROWS:
-        # Bounded by the caps, and read twice: for the counts and for the rows.
-        capped = cut_lineage(capped)
-    return stop_at_target(capped, cfg.min_tweets_target).drop("source_no")
+    capped = cap_per_source(union_sources(posts, cfg, as_of, cfg.time_window_hours if hours is None else hours), cfg)
+    # Bounded by the caps, and read twice: for the counts and for the rows.
+    return stop_at_target(cut_lineage(capped), cfg.min_tweets_target).drop("source_no")

@@ -161,3 +161,8 @@ def test_full_and_incremental_runs(spark, data, tmp_path):
     path = str(tmp_path / "incremental")
     first = rows(full_run.run_incremental(given_posts(spark, data), path, AS_OF, 24))
     assert rows(full_run.run_incremental(given_posts(spark, data), path, AS_OF, 24)) == first
+    # A day whose posts are gone leaves the table.
+    full_run.run_incremental(given_posts(spark, data), path, AS_OF, 48)
+    kept = given_posts(spark, data).where("CAST(timestamp AS DATE) = DATE '2024-01-30'")
+    again = full_run.run_incremental(kept, path, AS_OF, 48)
+    assert {str(r.date) for r in again.select("date").distinct().collect()} == {"2024-01-30"}
