@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from postpulse.llm.common import HASH, ID, KEY, free_name, keyed, stored
 
 GRAMS = 2
+#: Keys of touched documents that are broadcast; beyond it, texts are joined by a shuffle.
+BROADCAST_KEYS = 2_000_000
 WINDOW = 3
 
 
@@ -79,7 +81,10 @@ def drop_repeated_runs(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW
 def _without(docs: DataFrame, gone: DataFrame, keep_empty: bool) -> DataFrame:
     gone = stored(gone, "gone")
     # Lines of the touched documents only.
-    touched = gone.select(*KEY).distinct()
+    touched = stored(gone.select(*KEY).distinct(), "touched")
+    small = touched.count() <= BROADCAST_KEYS
+    if small:
+        touched = F.broadcast(touched)
     texts = keyed(docs)
     same = texts[ID].eqNullSafe(touched[ID]) & (texts[HASH] == touched[HASH])
     lines = texts.join(touched, same, "left_semi").select(*KEY, F.posexplode(F.split("_text", "\n")).alias("i", "x"))
@@ -94,12 +99,15 @@ def _without(docs: DataFrame, gone: DataFrame, keep_empty: bool) -> DataFrame:
     kept = marked.withColumn("cut", F.coalesce(F.last("own", ignorenulls=True).over(upto), F.lit(False)))
     left = F.array_sort(F.collect_list(F.when(~F.col("cut"), F.struct("i", "x"))))
     rest = kept.groupBy(*KEY).agg(
-        F.array_join(F.transform(left, lambda s: s["x"]), "\n").alias("_rest"), (F.count_if(F.col("cut") & F.col("own").isNotNull())).alias("_cut")
-    ).select(F.col(ID).alias("_rid"), F.col(HASH).alias("_rtx"), "_rest", "_cut")
+        F.array_join(F.transform(left, lambda s: s["x"]), "\n").alias("_rest")
+    ).select(F.col(ID).alias("_rid"), F.col(HASH).alias("_rtx"), "_rest")
     name = free_name(docs, "_row_hash")
     rows = docs.withColumn(name, F.xxhash64("text"))
-    joined = rows.join(rest, rows["doc_id"].eqNullSafe(rest["_rid"]) & (rows[name] == rest["_rtx"]), "left")
+    on_touched = rows["doc_id"].eqNullSafe(touched[ID]) & (rows[name] == touched[HASH])
+    # Untouched rows stay where they are while the keys of the touched ones fit a broadcast.
+    whole, changed = rows.join(touched, on_touched, "left_anti"), rows.join(touched, on_touched, "left_semi")
+    joined = changed.join(rest, changed["doc_id"].eqNullSafe(rest["_rid"]) & (changed[name] == rest["_rtx"]))
     if not keep_empty:
-        joined = joined.where(rest["_rid"].isNull() & rest["_cut"].isNull() | filled(rest["_rest"]))
-    text = F.when(rest["_cut"].isNull(), rows["text"]).otherwise(rest["_rest"])
-    return joined.select(*[text.alias(c) if c == "text" else rows[c] for c in docs.columns])
+        joined = joined.where(filled(rest["_rest"]))
+    new = joined.select(*[rest["_rest"].alias(c) if c == "text" else changed[c] for c in docs.columns])
+    return whole.drop(name).union(new)
