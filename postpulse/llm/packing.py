@@ -35,10 +35,10 @@ from postpulse.session import cut_lineage
 CAPACITY = 4096
 SEPARATOR = 1
 #: Chunks whose ids each worker keeps.
-MEMORY = 900_000
+MEMORY = 400_000
 PUNCTUATION = ".,;:!?|%&$*#"
 #: Bytes of text encoded at once.
-SLICE = 12 << 20
+SLICE = 6 << 20
 
 
 class ChunkEncoder:
