@@ -119,16 +119,16 @@ def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int
             yield cut(held)
 
     def cut(held):
-        """Sorted values, by ranges; each range as the bytes of its steps, which compress well."""
-        values = np.sort(np.concatenate(held))
+        """Distinct values with their counts, by ranges; each range as the bytes of its steps, which compress well."""
+        values, times = np.unique(np.concatenate(held), return_counts=True)
         bounds = np.searchsorted(values, (np.arange(1, buckets) * (UNIVERSE * (1 << 40) / buckets)).astype(np.uint64))
         out = []
-        for bucket, part in enumerate(np.split(values, bounds)):
+        for bucket, (part, n) in enumerate(zip(np.split(values, bounds), np.split(times.astype("<u4"), bounds))):
             if len(part):
                 steps = np.diff(part, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
                 planes = np.ascontiguousarray(steps.T[:5]).tobytes()
-                out.append((bucket, zlib.compress(planes, 1)))
-        return pd.DataFrame(out, columns=["bucket", "values"])
+                out.append((bucket, zlib.compress(planes, 1), zlib.compress(n.tobytes(), 1)))
+        return pd.DataFrame(out, columns=["bucket", "values", "times"])
 
     def count(group: pd.DataFrame) -> pd.DataFrame:
         parts = []
@@ -137,11 +137,13 @@ def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int
             steps = np.zeros((planes.shape[1], 8), np.uint8)
             steps[:, :5] = planes.T
             parts.append(np.cumsum(steps.view("<u8").ravel()))
-        values, n = np.unique(np.concatenate(parts), return_counts=True)
+        times = np.concatenate([np.frombuffer(zlib.decompress(data), "<u4") for data in group["times"]])
+        values, at = np.unique(np.concatenate(parts), return_inverse=True)
+        n = np.bincount(at, times).astype(np.int64)
         many = n >= least
         return pd.DataFrame({"value": values[many].astype(np.int64), "n": n[many]})
 
-    sent = texts.select("text").mapInPandas(send, "bucket int, values binary")
+    sent = texts.select("text").mapInPandas(send, "bucket int, values binary, times binary")
     lists = sent.groupBy("bucket").applyInPandas(count, "value bigint, n bigint")
     rows = lists.orderBy(F.desc("n"), "value").limit(bound).collect()  # at most ``bound`` rows
     return np.array([r.value for r in rows][::-1], np.uint64)
@@ -180,7 +182,9 @@ def merged_lists(texts: DataFrame, long: np.ndarray, width: int, percent: int) -
             )
 
     rows = texts.select("doc", "text").mapInPandas(run, "shingle bigint, doc bigint, spare int, late boolean")
-    n = F.count("*").over(Window.partitionBy("shingle", "late"))
+    # Late rows need no length. Their lists may be long, so each goes to a task of its own choice.
+    spread = F.when(F.col("late"), F.xxhash64("shingle", "doc")).otherwise(F.col("shingle"))
+    n = F.count("*").over(Window.partitionBy(spread, "late"))
     kept = rows.withColumn("n", n).where("late OR n > 1")
     # Late rows are few, and sorted in with a length beyond all others.
     of_doc = kept.groupBy("doc").agg(
@@ -314,10 +318,10 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     reps = sets.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = stored(reps, "reps")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc"), "text").where("doc_id IS NOT NULL")
-    lists = merged_lists(texts, long_lists(texts, width), width, percent)
-    # Each document of a list is tied to the smallest one.
-    head = F.min("doc").over(Window.partitionBy("shingle"))
-    families = components(lists.select("doc", head.alias("tie")).where("doc > tie"), "tie", "doc")
+    lists = stored(merged_lists(texts, long_lists(texts, width), width, percent), "lists")
+    # Each document of a list is tied to the smallest one. A long list is aggregated by tasks first, and split by the join.
+    heads = lists.groupBy("shingle").agg(F.min("doc").alias("tie"))
+    families = components(lists.join(heads, "shingle").where("doc > tie").select("tie", "doc"), "tie", "doc")
     # Of equal sets only one document is compared; the others share its class by their digest.
     members = stored(families.join(reps, families["node"] == reps["rep"], "left_semi"), "members")
     linked = components(family_links(members.select("root", F.col("node").alias("doc")), texts, width, percent))
