@@ -47,7 +47,7 @@ def signal_summary(df: DataFrame, value_col: str = "composite_signal") -> DataFr
     Quartiles are exact and meant for a window table, whose rows the calendar bounds.
     """
     value = F.col(value_col)
-    return df.agg(
+    summary = df.agg(
         F.count("*").alias("signal_windows"),
         F.avg(F.abs(value)).alias("avg_signal_strength"),
         F.stddev_samp(value).alias("signal_volatility"),
@@ -56,10 +56,10 @@ def signal_summary(df: DataFrame, value_col: str = "composite_signal") -> DataFr
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-        F.percentile(value, 0.25).alias("q25"),
-        F.percentile(value, 0.5).alias("median"),
-        F.percentile(value, 0.75).alias("q75"),
+        F.percentile(value, [0.25, 0.5, 0.75]).alias("_quartiles"),
     )
+    quartiles = {name: F.get("_quartiles", F.lit(i)) for i, name in enumerate(("q25", "median", "q75"))}
+    return summary.withColumns(quartiles).drop("_quartiles")
 
 
 def signal_histogram(df: DataFrame, value_col: str = "composite_signal", bins: int = 50) -> DataFrame:

@@ -129,8 +129,12 @@ def tfidf_vectors(
     stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS,
 ) -> DataFrame:
     """(id, term, tfidf), each post scaled to length 1. ``id_col`` is unique, so a window
-    holds at most ``max_features`` rows."""
-    weights = _weights(posts, model, text_col, id_col, cfg, stop_words, "inner")
+    holds at most ``max_features`` rows.
+
+    Texts are dealt by id before their terms are listed: they are smaller than the pairs, which then stay where they are.
+    """
+    dealt = posts.select(id_col, text_col).repartition(id_col)
+    weights = _weights(dealt, model, text_col, id_col, cfg, stop_words, "inner")
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
     return weights.select(id_col, "term", (F.col("weight") / norm).alias("tfidf"))
 

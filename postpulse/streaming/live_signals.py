@@ -17,16 +17,18 @@ def windowed_stream(posts: DataFrame, settings: Settings = Settings(), delay: st
     """Totals per window of a (streaming) posts table.
 
     Repeated deliveries of a post are dropped by id. Content duplicates need all of history
-    and stay with the batch run.
+    and stay with the batch run. Scores depend on their own row only, so they come first: what
+    the removal of repeats shuffles is then a few numbers of each post instead of its text.
     """
     width = f"{settings.signals.window_minutes} minutes"
+    timed = posts.where(F.col("timestamp").isNotNull())
+    scored = signals.individual_signals(cleaning.featurise(timed, settings), time_decay=False)
     fresh = (
-        posts.where(F.col("timestamp").isNotNull())
+        scored.select("tweet_id", "timestamp", *signals.MEANS, *signals.SUMS)
         .withWatermark("timestamp", delay)
         .dropDuplicatesWithinWatermark(["tweet_id"])
     )
-    scored = signals.individual_signals(cleaning.featurise(fresh, settings), time_decay=False)
-    totals = scored.groupBy(F.window("timestamp", width).alias("w")).agg(
+    totals = fresh.groupBy(F.window("timestamp", width).alias("w")).agg(
         *[F.avg(c).alias(c) for c in signals.MEANS],
         *[F.sum(c).alias(c) for c in signals.SUMS],
         F.count("*").alias("tweet_count"),

@@ -50,6 +50,15 @@ def test_closed_windows_equal_the_batch(spark, data, feed, tmp_path):
     assert min(missing) > max(got)
 
 
+def test_no_text_reaches_the_state(spark, feed):
+    totals = live_signals.windowed_stream(jsonl.flatten_tweets(jsonl.stream_jsonl(spark, feed)))
+    lines = totals._jdf.queryExecution().analyzed().toString().splitlines()
+    # Operators are listed from the last to the first: repeats, watermark, the columns kept, then the scores.
+    repeats = next(i for i, line in enumerate(lines) if "Deduplicate" in line)
+    assert not any("content" in line for line in lines[: repeats + 3])
+    assert any("content" in line for line in lines[repeats + 3 :])
+
+
 def test_composite_is_rebuilt_from_stored_windows(spark, data, feed, tmp_path):
     raw = jsonl.stream_jsonl(spark, feed, files_per_trigger=2)
     query = live_signals.start_stream_composite(

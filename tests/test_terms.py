@@ -95,6 +95,9 @@ def test_only_term_totals_are_shuffled(spark):
     model = tfidf.fit_vocabulary(posts)
     vectors = tfidf.tfidf_vectors(posts, model)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in vectors
+    # Texts are dealt by id below the listing of terms, and the pairs above it stay in place.
+    assert vectors.count("Exchange hashpartitioning(tweet_id") == 1
+    assert vectors.index("Window") < vectors.index("Generate") < vectors.index("Exchange hashpartitioning(tweet_id")
 
 
 def test_hot_term(spark):
