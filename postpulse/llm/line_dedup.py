@@ -1,15 +1,17 @@
 """Repeated runs of lines, found by winnowing over line hashes; DataFrame functions only.
 
-A run is ``grams + window - 1`` consecutive non-blank lines of a text. Each pair (``grams``) of neighbouring lines is hashed, and of every
-``window`` consecutive hashes the smallest, the rightmost among equals, is a fingerprint. Two equal runs choose the same
-fingerprint at the same place, so a run that occurs twice has a fingerprint that occurs twice: only these go on. Places with
-a common fingerprint are joined and extended both ways, to all runs that contain it; of equal runs the first
-stays (smallest document, then first line), and the lines of all later ones are deleted. Overlapping runs
-make up longer ones, so that every repeated passage of at least that many lines goes, and nothing shorter.
+A unit is the smallest run of consecutive non-blank lines that must be found. With ``least``, it is a run from a line on, or up to a line, that
+has just ``least`` words: often a single line; every eight characters of a line count as a word at least, for scripts without blanks.
+A text of fewer words is one unit. Without ``least``, all runs of ``grams + window - 1`` lines are units. Each line (or ``grams`` neighbouring ones)
+is hashed, and of the hashes of a unit the smallest, the rightmost among equals, is a fingerprint. Two equal units choose the same
+fingerprint at the same place, so a unit that occurs twice has a fingerprint that occurs twice: only these go on. Places with
+a common fingerprint are joined and extended both ways, to all units that contain it; of equal units the first
+stays (smallest document, then first line), and the lines of all later ones are deleted. Overlapping units
+make up longer runs, so that every repeated passage of at least a unit goes, and nothing shorter.
 
 Lines are compared as they are. A blank line goes with the line before it.
 
-Defined results: NULL text stays NULL and has no lines; texts with fewer lines than a run, empty ones included,
+Defined results: NULL text stays NULL and has no lines; texts without lines, and without ``least`` those with fewer lines than a run,
 stay as they are; rows equal in id and text are one document and keep or lose the same lines; documents without an id come last. An
 empty table gives no rows. All columns of the input are kept, only ``text`` changes.
 """
@@ -25,6 +27,10 @@ GRAMS = 2
 #: Keys of touched documents that are broadcast; beyond it, texts are joined by a shuffle.
 BROADCAST_KEYS = 2_000_000
 WINDOW = 3
+#: Words of the shortest passage that ``op1_line_dedup`` removes.
+LEAST = 8
+#: As many characters of a line count as a word at least.
+LETTERS = 8
 
 
 def filled(line: Column) -> Column:
@@ -62,9 +68,63 @@ def runs(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW) -> DataFrame
     )
 
 
-def repeated_lines(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW) -> DataFrame:
-    """Key and number of each line that belongs to a later occurrence of a run."""
-    every = stored(runs(keyed(docs), grams, window), "runs")
+def passages(docs: DataFrame, least: int) -> DataFrame:
+    """All units of ``least`` words of the keyed ``docs``, as ``runs`` gives them.
+
+    A run of ``least`` words or more is the union of its units: a line has the unit up to it, or that from it on, inside the run, or
+    lies in the unit that starts the run. No line is without words, so a unit has ``least`` lines at most.
+    """
+    lines = F.transform(F.split("_text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    rows = docs.select(*KEY, F.filter(lines, lambda s: filled(s["x"])).alias("_lines")).where(F.size("_lines") > 0)
+
+    def words(x: Column) -> Column:
+        blanks = F.size(F.split(F.btrim(x, F.lit(" \t\r")), r"[ \t\r]+"))
+        return F.greatest(blanks, F.floor(F.length(x) / LETTERS).cast("int"))
+
+    rows = rows.select(
+        *KEY, F.transform("_lines", lambda s: s["i"]).alias("_at"),
+        F.transform("_lines", lambda s, i: F.struct(F.xxhash64(s["x"]).alias("f"), (-i).alias("p"))).alias("_h"),
+        F.transform("_lines", lambda s: F.xxhash64(F.lit("second"), s["x"])).alias("_g"),
+        F.transform("_lines", lambda s: words(s["x"])).alias("_n"), F.size("_lines").alias("_size"),
+    )
+
+    def length(part: Column) -> Column:
+        """Lines of ``part`` that have ``least`` words; 0 if all have fewer."""
+        add = lambda a, n: F.when(a["n"] >= least, a).otherwise(F.struct((a["n"] + n).alias("n"), (a["k"] + 1).alias("k")))
+        empty = F.struct(F.lit(0).alias("n"), F.lit(0).alias("k"))
+        return F.aggregate(part, empty, add, lambda a: F.when(a["n"] >= least, a["k"]).otherwise(0))
+
+    # Units as numbers: first line and length.
+    base = least + 1
+    places = F.sequence(F.lit(0), F.col("_size") - 1)
+    from_line = F.transform(places, lambda i: F.struct(i.alias("i"), length(F.slice("_n", i + 1, least)).alias("k")))
+
+    def before(j: Column) -> Column:
+        low = F.greatest(j + 1 - least, F.lit(0))
+        k = length(F.reverse(F.slice("_n", low + 1, j - low + 1)))
+        return F.struct((j + 1 - k).alias("i"), k.alias("k"))
+
+    codes = lambda units: F.transform(F.filter(units, lambda u: u["k"] > 0), lambda u: u["i"].cast("bigint") * base + u["k"])
+    found = F.array_union(codes(from_line), codes(F.transform(places, before)))
+    rows = rows.withColumn("_units", found).withColumn("_units", F.when(F.size("_units") > 0, F.col("_units")).otherwise(F.array(F.col("_size").cast("bigint"))))
+
+    def unit(code: Column) -> Column:
+        first, k = F.floor(code / base).cast("int"), (code % base).cast("int")
+        part = F.slice("_h", first + 1, k)
+        return F.struct(
+            first.alias("start"), F.array_min(part).alias("best"), F.slice("_at", first + 1, k).alias("at"),
+            F.xxhash64(F.transform(part, lambda h: h["f"])).alias("w1"), F.xxhash64(F.slice("_g", first + 1, k)).alias("w2"),
+        )
+
+    return rows.select(*KEY, F.explode(F.transform("_units", unit)).alias("r")).select(
+        *KEY, F.col("r.start").alias("start"), F.col("r.best.f").alias("print"),
+        F.xxhash64(ID, HASH, "r.best.p").alias("spot"), F.col("r.at").alias("at"), F.col("r.w1").alias("w1"), F.col("r.w2").alias("w2"),
+    )
+
+
+def repeated_lines(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW, least: int | None = None) -> DataFrame:
+    """Key and number of each line that belongs to a later occurrence of a unit."""
+    every = stored(passages(keyed(docs), least) if least else runs(keyed(docs), grams, window), "runs")
     shared = every.groupBy("print").agg(F.min("spot").alias("lo"), F.max("spot").alias("hi")).where("lo != hi").select("print")
     matched = every.join(shared, "print", "left_semi")
     place = F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), F.col(HASH).alias("tx"), F.col("start").alias("start"))
@@ -73,9 +133,11 @@ def repeated_lines(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW) ->
     return later.select(*KEY, F.explode("at").alias("i")).distinct()
 
 
-def drop_repeated_runs(docs: DataFrame, grams: int = GRAMS, window: int = WINDOW, keep_empty: bool = False) -> DataFrame:
+def drop_repeated_runs(
+    docs: DataFrame, grams: int = GRAMS, window: int = WINDOW, keep_empty: bool = False, least: int | None = None
+) -> DataFrame:
     """``docs`` without the repeated lines. Texts of which nothing is left go, or with ``keep_empty`` become empty."""
-    return _without(docs, repeated_lines(docs, grams, window), keep_empty)
+    return _without(docs, repeated_lines(docs, grams, window, least), keep_empty)
 
 
 def _without(docs: DataFrame, gone: DataFrame, keep_empty: bool) -> DataFrame:

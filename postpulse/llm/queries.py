@@ -27,7 +27,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def op1_line_dedup(spark, folder):
-    kept = line_dedup.drop_repeated_runs(documents(spark, folder), keep_empty=True)
+    kept = line_dedup.drop_repeated_runs(documents(spark, folder), keep_empty=True, least=line_dedup.LEAST)
     lines = F.filter(F.split("text", "\n"), line_dedup.filled)
     return kept.select(
         "doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_kept"),

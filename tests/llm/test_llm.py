@@ -169,6 +169,34 @@ def test_line_runs_equal_definition(docs, corpus):
     assert {r.doc_id for r in kept.collect()} >= {d for d, t in corpus if got[d].strip() or not t.strip()}
 
 
+def test_short_repeated_passages_go(spark, docs, corpus):
+    """Every run of 8 words or more that occurs earlier goes, however few its lines; so do copies of short texts."""
+    more = [(500, "one two three\n\nfour five six\nseven eight\nown line"), (501, "other\none two three\nfour five six\nseven eight"),
+            (502, "short text"), (503, "short text"), (504, "中" * 70), (505, "x\n" + "中" * 70), (506, "short\ntext"), (507, "own line\nshort text")]
+    lines = {d: t.split("\n") for d, t in corpus + more}
+    size = lambda x: max(len(x.strip(" \t\r").replace("\t", " ").replace("\r", " ").split(" ")) - x.strip(" ").count("  "), len(x) // 8)
+    seen, gone = set(), {}
+    for d in sorted(lines):
+        full = [i for i, x in enumerate(lines[d]) if x.strip(" \t\r")]
+        cut = set()
+        for a in range(len(full)):
+            for b in range(a + 1, min(len(full), a + 40) + 1):
+                run = tuple(lines[d][i] for i in full[a:b])
+                if sum(map(size, run)) >= 8 or (b - a == len(full)):
+                    if run in seen:
+                        cut.update(full[a:b])
+                    seen.add(run)
+        for i, x in enumerate(lines[d]):
+            if not x.strip(" \t\r") and i - 1 in cut:
+                cut.add(i)
+        gone[d] = cut
+    given = docs.union(frame(spark, more))
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated_runs(given, keep_empty=True, least=8).collect()}
+    want = {d: "\n".join(x for i, x in enumerate(lines[d]) if i not in gone[d]) for d in lines}
+    assert {d for d in want if got[d] != want[d]} == set()
+    assert (got[501], got[503], got[505], got[506], got[507]) == ("other", "", "x", "short\ntext", "own line\nshort text")
+
+
 def test_line_runs_need_no_python(docs):
     plan = line_dedup.drop_repeated_runs(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
