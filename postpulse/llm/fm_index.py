@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Patterns may be this long at most; suffixes are sorted no further.
+#: Patterns may be this long at most, unless the index is given another depth; suffixes are sorted no further.
 DEPTH = 128
 
 
@@ -60,8 +60,8 @@ class WaveletMatrix:
 class FMIndex:
     """Index of ``text`` (symbols from 1, 0 between passages) whose positions have an ``owner``."""
 
-    def __init__(self, text: np.ndarray, owner: np.ndarray):
-        order = suffix_order(text)
+    def __init__(self, text: np.ndarray, owner: np.ndarray, depth: int = DEPTH):
+        order = suffix_order(text, depth)
         self.size = len(text)
         self.bwt = WaveletMatrix(text[order - 1])
         self.first = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=1 << self.bwt.levels))))

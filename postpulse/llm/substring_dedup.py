@@ -133,7 +133,8 @@ def search_shard(group: pd.DataFrame, window: int) -> pd.DataFrame:
     inside[starts + sizes] = False
     text[inside] = symbols
     docs = np.unique(group["doc"].to_numpy(), return_inverse=True)[1].astype(np.int32)
-    index = FMIndex(text, np.repeat(docs, sizes + 1))
+    # No match is longer than a region.
+    index = FMIndex(text, np.repeat(docs, sizes + 1), int(sizes.max()))
     found = matching_windows(index, text, starts, sizes, docs, window)
     at = [f[0] for f in found]
     return pd.DataFrame(

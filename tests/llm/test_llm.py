@@ -8,6 +8,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -133,6 +134,23 @@ def test_hot_anchors_are_compared_by_hash(docs):
     assert {r[0] for r in usual if r[2]} == {r.doc for r in spans.collect()}
 
 
+def test_wide_windows_are_sorted_deep_enough():
+    """Regions of a window of 150 words have up to 292; copies that differ in few words agree further than the usual depth."""
+    rng = random.Random(4)
+    base = [str(rng.randrange(50)) for _ in range(290)]
+    texts = []
+    for i in range(40):
+        words = list(base)
+        for _ in range(2):
+            words[rng.randrange(290)] = f"own{rng.randrange(4)}"
+        texts.append((i, " ".join(words)))
+    group = pd.DataFrame({"anchor": 1, "digest": range(40), "doc": range(40), "words": [t for _, t in texts]})
+    gone = {d: set() for d, _ in texts}
+    for r in substring_dedup.search_shard(group, 150).itertuples():
+        gone[r.digest].update(range(r.lo, r.hi))
+    assert [(d, len(g)) for d, g in gone.items()] == [(r[0], r[2]) for r in brute.repeats(texts, 150)]
+
+
 def test_matching_windows_equal_definition():
     rng = np.random.default_rng(1)
     for _ in range(40):
