@@ -289,6 +289,17 @@ def test_base_scores_and_gain(docs, corpus):
     assert all(r.score < 0 for r in got)
 
 
+def test_repeated_rows_score_as_one(docs):
+    """Words beyond the broadcast ones count once, however often the row of a held-out document stands there."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    twice = docs.unionByName(docs.where(held)).unionByName(docs.where(held & (F.col("doc_id") < 40)))
+    got = [{r.doc_id: r for r in class_lm.score(d, ~held, top=3, local=5, classes=3).collect()} for d in (docs, twice)]
+    assert got[0].keys() == got[1].keys()
+    for d, r in got[0].items():
+        assert tuple(got[1][d])[:4] == tuple(r)[:4]
+        assert tuple(got[1][d])[4:] == pytest.approx(tuple(r)[4:])
+
+
 def test_class_model_is_a_distribution():
     rng = np.random.default_rng(0)
     pairs = rng.integers(0, 9, (30, 30)).astype(float)
