@@ -341,6 +341,27 @@ def test_simhash_edits_and_search(docs, corpus):
     assert np.mean([r.near_edited for r in long]) > 0.65
 
 
+def test_simhash_finds_near_duplicates(spark):
+    """Pairs at Jaccard 0.8 of five-word shingles: 450 words, 10 of them changed."""
+    rng = random.Random(7)
+    texts = []
+    for i in range(100):
+        words = [f"{rng.choice(WORDS)}{rng.randrange(500)}" for _ in range(450)]
+        texts.append((2 * i, " ".join(words)))
+        for at in range(20, 450, 45):
+            words[at] = f"new{rng.randrange(500)}"
+        texts.append((2 * i + 1, " ".join(words)))
+    got = {r.doc_id: r for r in simhash.fingerprint_documents(frame(spark, texts), every=1).collect()}
+    assert sum(r.n_near >= 1 for r in got.values()) >= 0.95 * len(got)
+    value = {d: int(r.fingerprint, 16) for d, r in got.items()}
+    far = np.array([(value[2 * i] ^ value[2 * i + 1]).bit_count() for i in range(100)])
+    print("bits", far.mean(), far.std(), "recall at 3, 16, 20:", (far <= 3).mean(), (far <= 16).mean(), (far <= 20).mean())
+    for radius in (0, 3, 20):
+        prints = simhash.fingerprint_pairs(frame(spark, texts))
+        near = simhash.find_near(prints, prints.where("_id < 40"), radius).count()
+        assert near == len({(value[d], v) for d in range(40) for v in value.values() if (value[d] ^ v).bit_count() <= radius})
+
+
 def test_license_digests(spark):
     mit = licenses.KNOWN["MIT"][0]
     texts = [(1, "Copyright (c) 2020 Someone\n\n" + mit.upper()), (2, "x\nReleased under the  MIT Licence\ny"), (3, mit[:-20]), (4, None), (5, "Licensed under CC BY-NC 4.0!")]
