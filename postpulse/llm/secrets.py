@@ -2,8 +2,9 @@
 
 The patterns label credentials. Of each kind, at most ``SAMPLE`` distinct ones (those with the smallest hash) are written as sequences of
 character classes into a prefix tree; states whose continuations agree by Hoeffding's bound are merged, the most frequent first, which
-gives a small probabilistic automaton of the format. Every token of ``LEAST`` characters or more with a letter and a digit
-is then scored by the automata, and one as likely as the labelled ones is added as kind ``format``, unless a pattern has it.
+gives a small probabilistic automaton of the format. Every run of token characters, and every part of it between marks (= / . and
+others), is then scored by the automata if it has a letter and a digit and is not shorter than the shortest labelled credential;
+one as likely as the labelled ones is added as kind ``format``, unless a pattern has it. Of overlapping ones the leftmost counts, then the longest.
 
 Defined results: NULL and empty texts have no spans; without labelled credentials only the patterns count; equal rows get their
 own result; an empty table gives no rows. Offsets are code points, the end excluded. Only ``doc_id`` and ``text`` are read.
@@ -30,10 +31,11 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]+")
 DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+#: Parts of a token begin after one and end before one.
+MARKS = frozenset("+/_.=-")
 
-LEAST = 16
 SAMPLE = 600
 ALPHA = 0.05
 #: Share of the labelled credentials that may score below the threshold.
@@ -68,6 +70,7 @@ class Automaton:
     moves: list[dict[str, int]] = field(default_factory=lambda: [{}])
     taken: list[dict[str, int]] = field(default_factory=lambda: [{}])
     threshold: float = 0.0
+    least: int = 0
 
     def add(self, word: str) -> None:
         state = 0
@@ -97,6 +100,22 @@ class Automaton:
         return total / (len(word) + 1)
 
 
+    def ends_of(self, word: str, start: int, ends: set[int]) -> Iterator[int]:
+        """The ``ends`` up to which ``word`` from ``start`` on is as likely as the labelled ones, in one pass: ``score`` of each part."""
+        state, total = 0, 0.0
+        for i in range(start, len(word)):
+            n = self.taken[state].get(word[i])
+            if not n:
+                # A part with a step never seen scores -9.2 or less.
+                return
+            total += log(n / self.visits[state])
+            state = self.moves[state][word[i]]
+            if i + 1 in ends and i + 1 - start >= self.least:
+                last = log(self.ends[state] / self.visits[state]) if self.ends[state] else -9.2
+                if (total + last) / (i + 2 - start) >= self.threshold:
+                    yield i + 1
+
+
 def compatible(m: Automaton, a: int, b: int, alpha: float) -> bool:
     stack = [(a, b)]
     factor = sqrt(0.5 * log(2 / alpha))
@@ -150,6 +169,7 @@ def infer(words: list[str], alpha: float = ALPHA, low: float = LOW) -> Automaton
         edge = {(a, s): c for a in kept for s, c in m.moves[a].items() if c not in known}
     scores = sorted(m.score(w) for w in words)
     m.threshold = scores[int(low * len(scores))]
+    m.least = min(map(len, words))
     return m
 
 
@@ -172,13 +192,25 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> dict[str, Automaton]:
 
 def learned_spans(text: str, base: list[tuple[int, int, str, str]], automata: dict[str, Automaton]) -> list[tuple[int, int, str, str]]:
     found = []
-    for m in TOKEN.finditer(text):
-        token = m[0]
-        if not DIGIT.search(token) or not LETTER.search(token) or any(s[0] < m.end() and m.start() < s[1] for s in base):
+    least = min((a.least for a in automata.values()), default=0)
+    for m in TOKEN.finditer(text) if automata else ():
+        token, first = m[0], m.start()
+        if len(token) < least or not DIGIT.search(token) or not LETTER.search(token):
             continue
-        word = symbols(token)
-        if any(a.score(word) >= a.threshold for a in automata.values()):
-            found.append((m.start(), m.end(), "format", token))
+        near = [s for s in base if s[0] < m.end() and first < s[1]]
+        word, n = symbols(token), len(token)
+        starts = [i for i in range(n) if i == 0 or token[i - 1] in MARKS]
+        ends = {i for i in range(1, n + 1) if i == n or token[i] in MARKS}
+        done = 0
+        for i in starts:
+            if i < done:
+                continue
+            for j in sorted({j for a in automata.values() for j in a.ends_of(word, i, ends)}, reverse=True):
+                part = token[i:j]
+                if DIGIT.search(part) and LETTER.search(part) and not any(s[0] < first + j and first + i < s[1] for s in near):
+                    found.append((first + i, first + j, "format", part))
+                    done = j
+                    break
     return found
 
 

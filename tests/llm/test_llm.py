@@ -386,6 +386,21 @@ def test_secret_formats_are_learned(spark):
     assert [s[0] for s in got[100]] == ["format", "assign"] and got[101] == got[102] == []
 
 
+def test_secrets_inside_tokens_are_found():
+    """Candidates begin and end at marks, and are as short as the labelled ones."""
+    rng = random.Random(2)
+    short = ["zq" + "".join(rng.choice("0123456789") for _ in range(8)) for _ in range(80)]
+    long = ["AKIA" + "".join(rng.choice("ABCDEFGHIJ234567") for _ in range(16)) for _ in range(80)]
+    automata = {"assign": secrets.infer([secrets.symbols(w) for w in short]), "access": secrets.infer([secrets.symbols(w) for w in long])}
+    loose = "AKIB" + long[0][4:]
+    for text in (f"at the end {loose}.", f"key={loose} x", f"https://a.example/v/{loose}/raw", f"see {short[0]}, or {loose}...", f"({short[1]})"):
+        found = secrets.learned_spans(text, [], automata)
+        assert {text[a:b] for a, b, _, _ in found} == {w for w in (loose, short[0], short[1]) if w in text}
+        assert all(text[a:b] == value for a, b, _, value in found)
+    at = f"key={loose}".index(loose)
+    assert secrets.learned_spans(f"key={loose}", [(at, at + 20, "access", loose)], automata) == []
+
+
 def test_odd_rows(spark, odd):
     none = odd.limit(0)
     bench = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
