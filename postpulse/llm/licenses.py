@@ -1,6 +1,7 @@
 """Known licence texts and notices in documents, by the digest of a canonical form; DataFrame functions only.
 
-Units are the whole text, each paragraph (between blank lines) and each line. A unit is brought to a canonical form: lower case,
+Units are the whole text, each paragraph (between blank lines) and each line; whole licences are also found anywhere inside a text,
+by their canonical form. The whole text may have a usual heading. A unit is brought to a canonical form: lower case,
 copyright lines dropped, equivalent spellings made equal, every run of other characters than letters and digits one
 blank. The SHA-256 of this form is joined with the digests of the known texts, which are a small fixed table. Only texts
 with a word that every known text contains are cut into units.
@@ -11,6 +12,8 @@ Defined results: NULL and empty texts match nothing; rows equal in id and text a
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +73,54 @@ KNOWN = {
     ),
 }
 
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©)[^\n]*$"
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.\n\n"
+)
+BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, '
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+KNOWN |= {"BSD-3-Clause": (BSD + BSD_NAMES + BSD_END,), "BSD-2-Clause": (BSD + BSD_END,)}
+
+#: Usual headings of whole texts.
+HEADINGS = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"), "ISC": ("ISC License", "The ISC License"),
+    "Zlib": ("zlib License", "The zlib License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License"), "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License"),
+}
+
+#: Whole texts of other licences, read by the driver.
+TEXTS = Path(__file__).with_name("license_texts")
+#: The appendix behind it is often left out.
+LAST_LINE = "END OF TERMS AND CONDITIONS"
+
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:copyright[^\n]*(?:\b\d{4}\b|\(c\)|©|yyyy)|\(c\)[^\n\p{L}]*\d{4}|©)[^\n]*$"
+    r"|^[^\p{L}\p{N}\n]*all rights reserved\W*$"
+)
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """license, text of each whole licence."""
+    out = [(name, text) for name, texts in KNOWN.items() if not name.endswith(" notice") for text in texts]
+    for file in sorted(TEXTS.glob("*.txt")):
+        text = file.read_text()
+        out.append((file.stem, text))
+        if LAST_LINE in text:
+            terms = text[: text.index(LAST_LINE)]
+            out += [(file.stem, terms), (file.stem, terms + LAST_LINE)]
+    return out
 
 
 def canonical(text: Column) -> Column:
@@ -84,13 +134,14 @@ def canonical(text: Column) -> Column:
 
 def known_digests(spark: SparkSession) -> DataFrame:
     """license, digest of the fixed table."""
-    rows = [(name, text) for name, texts in KNOWN.items() for text in texts]
+    rows = [(name, text) for name, texts in KNOWN.items() for text in texts] + whole_texts()
+    rows += [(name, f"{heading}\n\n{text}") for name, text in whole_texts() for heading in HEADINGS.get(name, ())]
     table = spark.createDataFrame(rows, "license string, text string")
     return table.select("license", F.sha2(canonical(F.col("text")).cast("binary"), 256).alias("digest")).distinct()
 
 
 def find_licenses(docs: DataFrame) -> DataFrame:
-    """Matches: key, unit (text, paragraph or line), its number from 0, and the licence."""
+    """Matches: key, unit (text, paragraph, line, or passage for a whole licence inside a text), its number from 0, and the licence."""
     low = F.lower("_text")
     marked = keyed(docs).where(low.contains(MARKERS[0]) | low.contains(MARKERS[1])).distinct()
 
@@ -103,7 +154,12 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     cut = marked.select(*KEY, F.explode(units).alias("u")).select(*KEY, "u.unit", "u.number", canonical(F.col("u.raw")).alias("form"))
     digests = cut.where("form != ''").select(*KEY, "unit", "number", F.sha2(F.col("form").cast("binary"), 256).alias("digest"))
     # The known texts are the fixed table above.
-    return digests.join(F.broadcast(known_digests(docs.sparkSession)), "digest").select(*KEY, "unit", "number", "license")
+    found = digests.join(F.broadcast(known_digests(docs.sparkSession)), "digest").select(*KEY, "unit", "number", "license")
+    inside = docs.sparkSession.createDataFrame(whole_texts(), "license string, text string")
+    inside = inside.select("license", F.concat(F.lit(" "), canonical(F.col("text")), F.lit(" ")).alias("known"))
+    forms = marked.select(*KEY, F.concat(F.lit(" "), canonical(F.col("_text")), F.lit(" ")).alias("form"))
+    passages = forms.join(F.broadcast(inside), F.col("form").contains(F.col("known")))
+    return found.union(passages.select(*KEY, F.lit("passage").alias("unit"), F.lit(0).alias("number"), "license"))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -371,6 +372,22 @@ def test_license_digests(spark):
         assert all(any(m in t.lower() for m in licenses.MARKERS) for t in texts)
 
 
+def test_whole_licenses_in_their_usual_form(spark):
+    """Headings, copyright lines, other line breaks, and whole licences inside longer texts."""
+    whole = dict(licenses.whole_texts()[::-1])
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "MPL-2.0", "CC0-1.0", "MIT", "ISC", "Zlib"} <= whole.keys()
+    names = sorted(whole)
+    wrap = lambda t: "\n\n".join("\n".join(textwrap.wrap(p, 60)) for p in t.split("\n\n"))
+    line = "Copyright (c) 2024 Some One\nAll rights reserved.\n\n"
+    short = ("MIT", "ISC", "Zlib", "BSD-2-Clause", "BSD-3-Clause")
+    texts = [(i, (licenses.HEADINGS[n][0] + "\n\n" + line + wrap(whole[n])) if n in short else whole[n]) for i, n in enumerate(names)]
+    texts += [(100 + i, "# Notes\n\nBefore it.\n\n" + line + (wrap(whole[n]) if n in short else whole[n]) + "\n\nAfter it.") for i, n in enumerate(names)]
+    got = {r.doc_id: (r.licenses, r.whole_text) for r in licenses.scan_licenses(frame(spark, texts)).collect()}
+    for i, n in enumerate(names):
+        assert n in got[i][0] and got[i][1] == n
+        assert n in got[100 + i][0] and got[100 + i][1] is None
+
+
 def test_secret_formats_are_learned(spark):
     rng = random.Random(1)
     keys = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(80)]
