@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postpulse.llm import (
-    class_lm, decontaminate, jaccard, langid, licenses, line_dedup, packing, secrets, simhash, substring_dedup,
+    class_lm, decontaminate, jaccard, langid, licenses, line_dedup, packing, quality, resample, secrets, simhash, substring_dedup,
+    token_align,
 )
 from postpulse.llm.common import crc_mod
 
@@ -106,3 +107,24 @@ def op10_substring_dedup(spark, folder):
     return substring_dedup.remove_repeats(documents(spark, folder)).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@register
+def op11_token_alignment(spark, folder):
+    return token_align.alignment_counts(documents(spark, folder)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+@register
+def op12_importance_resampling(spark, folder):
+    found = resample.importance_resample(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register
+def op13_quality(spark, folder):
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    held = crc_mod(F.col("doc_id"), 5) == 0
+    model = quality.fit(docs, labels.where(~held))
+    return quality.score(docs, model).select("doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "score", "predicted")
