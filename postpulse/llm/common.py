@@ -7,6 +7,8 @@ between documents is by id, rows without an id last, then by a hash of the text.
 
 from __future__ import annotations
 
+import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +17,11 @@ from pyspark.sql import functions as F
 
 from postpulse.session import scratch_path
 
+#: Rows and bytes of a batch that goes to Python.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+#: Returns free memory to the system, where the C library can.
+TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 ID, HASH = "_id", "_tx"
 KEY = [ID, HASH]
 
@@ -74,6 +81,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let texts travel to Python in batches of a few megabytes: what a task holds at once follows the batch. Smaller settings are left alone."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = int(re.sub(r"\D", "", spark.conf.get(name)) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
+def tidied(run: Callable) -> Callable:
+    """``run`` over batches, after which the worker gives free memory back; workers outlive their tasks."""
+
+    def call(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if TRIM:
+                TRIM(0)
+
+    return call
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

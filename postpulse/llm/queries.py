@@ -11,7 +11,7 @@ from postpulse.llm import (
     class_lm, decontaminate, jaccard, langid, licenses, line_dedup, packing, quality, resample, secrets, simhash, substring_dedup,
     token_align,
 )
-from postpulse.llm.common import crc_mod
+from postpulse.llm.common import crc_mod, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,7 @@ def register(run):
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 

@@ -23,7 +23,6 @@ import json
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
-from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -40,7 +39,9 @@ PAIRS = 1_000_000
 #: Bytes of text aligned at once.
 SLICE = 1 << 20
 #: Links counted at once.
-LINKS = 2_000_000
+LINKS = 1_000_000
+#: Rows of an alignment that are worked on at once.
+ROWS = 250
 ONE_A, ONE_B, BOTH = 1, 2, 3
 SHIFT = 32
 
@@ -52,6 +53,21 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Spelling:
+    """The bytes of each id."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.tokens, self.sizes = pa.array(tokens, pa.large_binary()), np.array([len(t) for t in tokens], np.int64)
+
+    def ends(self, ids: np.ndarray, data: bytes) -> list[int] | None:
+        """End offsets of tokens; nothing where they don't spell ``data``."""
+        ends = np.cumsum(self.sizes[ids])
+        if len(ids) == 0 or ends[-1] != len(data):
+            return None
+        spelled = self.tokens.take(pa.array(ids)).buffers()[2]
+        return ends.tolist() if spelled.slice(0, len(data)).equals(pa.py_buffer(data)) else None
+
+
 class ByteTokenizer:
     """Ids by a byte-level BPE file, and the bytes of each id.
 
@@ -63,13 +79,13 @@ class ByteTokenizer:
             given = json.load(file)
         vocab, letters = given["model"]["vocab"], byte_alphabet()
         special = {t["content"] for t in given.get("added_tokens", []) if t.get("special")}
-        self.spelling = [b""] * (max(vocab.values(), default=-1) + 1)
+        tokens = [b""] * (max(vocab.values(), default=-1) + 1)
         ranks = {}
         for token, n in vocab.items():
-            own = token.encode() if token in special else bytes(letters[c] for c in token)
-            self.spelling[n] = own
+            tokens[n] = token.encode() if token in special else bytes(letters[c] for c in token)
             if token not in special:
-                ranks[own] = n
+                ranks[tokens[n]] = n
+        self.spelling = Spelling(tokens)
         merges = [m.split(" ") if isinstance(m, str) else m for m in given["model"]["merges"]]
         made = [vocab["".join(m)] for m in merges]
         step = given.get("pre_tokenizer") or {}
@@ -95,10 +111,10 @@ class PieceTokenizer:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.encode = model.encode
-        self.spelling = [
-            bytes([int(piece[3:-1], 16)]) if model.is_byte(n) else piece.replace("▁", " ").encode()
-            for n, piece in ((n, model.id_to_piece(n)) for n in range(model.get_piece_size()))
-        ]
+        pieces = [(n, model.id_to_piece(n)) for n in range(model.get_piece_size())]
+        self.spelling = Spelling(
+            [bytes([int(piece[3:-1], 16)]) if model.is_byte(n) else piece.replace("▁", " ").encode() for n, piece in pieces]
+        )
 
 
 @cache
@@ -139,16 +155,24 @@ def align_ends(a: list[int], b: list[int]) -> bytes:
     return bytes(out)
 
 
-def align_text(text: str | None, a: ByteTokenizer, b: PieceTokenizer) -> tuple[list[int], list[int], bytes]:
+NO_IDS = np.empty(0, np.int32)
+
+
+def align_text(text: str | None, a: ByteTokenizer, b: PieceTokenizer) -> tuple[np.ndarray, np.ndarray, bytes]:
     """Ids of both tokenizers and the path between them."""
     if not text:
-        return [], [], b""
+        return NO_IDS, NO_IDS, b""
     data = b" " + text.encode(errors="replace")
-    ids_a, ids_b = a.encode(" " + text), b.encode(text)
-    bytes_a, bytes_b = [a.spelling[n] for n in ids_a], [b.spelling[n] for n in ids_b]
-    if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
-        return [], [], b""
-    return ids_a, ids_b, align_ends(list(accumulate(map(len, bytes_a))), list(accumulate(map(len, bytes_b))))
+    ids_a, ids_b = np.array(a.encode(" " + text), np.int32), np.array(b.encode(text), np.int32)
+    ends_a, ends_b = a.spelling.ends(ids_a, data), b.spelling.ends(ids_b, data)
+    if ends_a is None or ends_b is None:
+        return NO_IDS, NO_IDS, b""
+    return ids_a, ids_b, align_ends(ends_a, ends_b)
+
+
+def list_array(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else NO_IDS))
 
 
 ALIGNED = "doc_id bigint, row bigint, ids_a array<int>, ids_b array<int>, path binary"
@@ -168,8 +192,7 @@ def align_documents(docs: DataFrame, path_a: str | None = None, path_b: str | No
                 # What is held follows the longest text and not the batch.
                 to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE, side="right")))
                 found = [align_text(text, a, b) for text in batch.column(1)[at:to].to_pylist()]
-                kinds = (pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
-                columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+                columns = [list_array([f[i] for f in found]) for i in range(2)] + [pa.array([f[2] for f in found], pa.binary())]
                 rows = pa.array(range(row, row + to - at), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at:to], rows, *columns], ["doc_id", "row", "ids_a", "ids_b", "path"])
                 row += to - at
@@ -178,6 +201,13 @@ def align_documents(docs: DataFrame, path_a: str | None = None, path_b: str | No
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, ALIGNED)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that what is held follows the longest texts and not the batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _flat(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy()
 
@@ -205,7 +235,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
             every, at = np.unique(np.concatenate((keys, own)), return_inverse=True)
             return every, np.bincount(at, np.concatenate((sums, n)), len(every)).astype(np.int64)
 
-        for batch in batches:
+        for batch in _slices(batches):
             waiting.append(_links(batch)[0])
             size += len(waiting[-1])
             if size > LINKS:
@@ -229,19 +259,36 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
     )
 
 
-def group_text(ids_a: list[int], ids_b: list[int], path: bytes) -> str:
-    """Groups of ids, as ``a1,a2|b1;a3|b2``."""
-    a, b, out, i, j = list(map(str, ids_a)), list(map(str, ids_b)), [], 0, 0
-    for part in path.split(b"\3")[:-1]:
-        if not part:
-            out.append(f"{a[i]}|{b[j]}")
-            i, j = i + 1, j + 1
-        else:
-            n = part.count(ONE_A) + 1
-            m = len(part) - n + 2
-            out.append(f"{','.join(a[i : i + n])}|{','.join(b[j : j + m])}")
-            i, j = i + n, j + m
-    return ";".join(out)
+@cache
+def decimals(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Digits of all numbers of that many bits, one more place after them, and how many there are."""
+    numbers = np.arange(1 << bits)
+    width = len(str(numbers[-1]))
+    table = np.zeros((len(numbers), width + 1), np.uint8)
+    table[:, :width] = numbers.astype(f"S{width}").view(np.uint8).reshape(-1, width)
+    return table, (table > 0).sum(axis=1).astype(np.int32)
+
+
+def group_texts(a: np.ndarray, b: np.ndarray, codes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Groups of ids of each row, as ``a1,a2|b1;a3|b2``; ``sizes`` are the ids of each row, of A and B together."""
+    closed = np.flatnonzero(codes == BOTH)
+    if not len(closed):
+        return [b""] * len(sizes)
+    ends_a, ends_b = np.cumsum(codes & 1, dtype=np.int64)[closed], np.cumsum(codes >> 1, dtype=np.int64)[closed]
+    starts_b = np.concatenate(([0], ends_b[:-1]))
+    # Places in the order of the text: ids of B follow those of A in each group.
+    ids = np.empty(len(a) + len(b), np.int64)
+    ids[np.arange(len(a)) + np.repeat(starts_b, np.diff(ends_a, prepend=0))] = a
+    ids[np.arange(len(b)) + np.repeat(ends_a, np.diff(ends_b, prepend=0))] = b
+    marks = np.full(len(ids), ord(","), np.uint8)
+    marks[ends_a - 1 + starts_b], marks[ends_a + ends_b - 1] = ord("|"), ord(";")
+    table, count = decimals(int(ids.max()).bit_length())
+    letters, digits = table[ids], count[ids]
+    letters[np.arange(len(ids)), digits] = marks
+    data = letters[letters > 0].tobytes()
+    ends = np.concatenate(([0], np.cumsum(digits + 1)))[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+    # Without the last mark.
+    return [data[lo : max(lo, hi - 1)] for lo, hi in zip(ends, ends[1:])]
 
 
 HEADS = {
@@ -254,10 +301,10 @@ HEAD = ", ".join(f"{name} {'string' if name == 'groups_sha256' else 'bigint'}" f
 def _heads(batch: pa.RecordBatch, codes: np.ndarray, links: np.ndarray) -> list[pa.Array]:
     upto = np.concatenate(([0], np.cumsum(codes == BOTH)))
     ends = np.cumsum(links)
-    columns = [batch.column(c).to_pylist() for c in ("ids_a", "ids_b", "path")]
-    digests = [sha256(group_text(*r).encode()).hexdigest() if r[2] else "" for r in zip(*columns)]
-    made = [batch.column("doc_id"), batch.column("row")]
-    made += [pa.array(pc.list_value_length(batch.column(c)).to_numpy().astype(np.int64)) for c in ("ids_a", "ids_b")]
+    sizes = [pc.list_value_length(batch.column(c)).to_numpy().astype(np.int64) for c in ("ids_a", "ids_b")]
+    texts = group_texts(_flat(batch.column("ids_a")), _flat(batch.column("ids_b")), codes, sizes[0] + sizes[1])
+    digests = [sha256(t).hexdigest() if t else "" for t in texts]
+    made = [batch.column("doc_id"), batch.column("row"), *map(pa.array, sizes)]
     return [*made, pa.array(upto[ends] - upto[ends - links]), pa.array(links), pa.array(digests, pa.string())]
 
 
@@ -274,7 +321,7 @@ def _by_broadcast(aligned: DataFrame, counts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n, best = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             own, codes, links = _links(batch)
             at, ends = np.searchsorted(keys, own), np.cumsum(links)
             columns = _heads(batch, codes, links)
@@ -290,14 +337,14 @@ def _by_join(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     """The distinct pairs of each row meet their counts in a shuffle."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             own, _, links = _links(batch)
             for row, keys in zip(batch.column("row").to_pylist(), np.split(own, np.cumsum(links)[:-1])):
                 each, times = np.unique(keys, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([row] * len(each), pa.int64()), pa.array(each), pa.array(times)], ["row", "pair", "times"])
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             yield pa.RecordBatch.from_arrays(_heads(batch, *_links(batch)[1:]), list(HEADS))
 
     own = aligned.mapInArrow(spread, "row bigint, pair bigint, times bigint")
@@ -312,7 +359,7 @@ def token_groups(aligned: DataFrame) -> DataFrame:
     """doc_id, number of the group, and its ids by A and B, one row for each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             _, codes, links = _links(batch)
             closed = np.flatnonzero(codes == BOTH)
             upto = [np.concatenate(([0], np.cumsum(bit)[closed])) for bit in (codes & 1, codes >> 1)]
