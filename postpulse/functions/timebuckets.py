@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 DAY = 86_400_000_000
 MINUTE = 60_000_000
+#: More buckets than a century of minutes has.
+MOST_BUCKETS = 60_000_000
 
 
 def micros(ts: Column) -> Column:
@@ -34,14 +36,17 @@ def with_bucket(df: DataFrame, width_minutes: int, ts_col: str = "timestamp", na
     return dated.withColumn(name, at - F.pmod(at - origin, F.lit(width)))
 
 
-def bucket_spine(buckets: DataFrame, width_minutes: int, name: str = "bucket", chunk: int = 4096) -> DataFrame:
-    """Every bucket between the first and the last one, built in chunks so that no single
-    array holds the whole range."""
+def bucket_spine(buckets: DataFrame, width_minutes: int, name: str = "bucket", most: int = MOST_BUCKETS) -> DataFrame:
+    """Every bucket between the first and the last one, made in all tasks at once.
+
+    Only the two ends are read first, so ``buckets`` should be a stored table. A range of more than ``most`` buckets raises: it comes from stray
+    times, such as the year 9999, and would be nothing but gaps.
+    """
     width = width_minutes * MINUTE
-    span = buckets.agg(F.min(name).alias("lo"), F.max(name).alias("hi"))
-    starts = span.select("hi", F.explode(F.sequence("lo", "hi", F.lit(width * chunk))).alias("start"))
-    return starts.select(
-        F.explode(
-            F.sequence("start", F.least("hi", F.col("start") + width * (chunk - 1)), F.lit(width))
-        ).alias(name)
-    )
+    low, high = buckets.agg(F.min(name), F.max(name)).first()
+    if low is None:
+        return buckets.sparkSession.range(0).select(F.col("id").alias(name))
+    if (high - low) // width >= most:
+        days = (high - low) // DAY
+        raise ValueError(f"windows of {width_minutes} minutes over {days} days are more than {most}: drop posts with stray times first")
+    return buckets.sparkSession.range(low, high + 1, width).select(F.col("id").alias(name))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postpulse.config import Settings, SignalConfig
 from postpulse.functions import scores
 from postpulse.functions.timebuckets import bucket_spine, from_micros, micros, with_bucket
+from postpulse.operators import moments
 from postpulse.operators.engagement import normalize_data
 from postpulse.operators.frames import with_totals
 from postpulse.session import cut_lineage
@@ -64,13 +65,35 @@ def add_time_decay(posts: DataFrame) -> DataFrame:
     )
 
 
+def _is_whole(kind: str) -> bool:
+    return kind in ("tinyint", "smallint", "int", "bigint")
+
+
+def _ordered_sum(value: Column) -> Column:
+    """A sum that does not depend on the order of rows: in decimals, as long as all values fit."""
+    exact = value.try_cast("decimal(28,12)")
+    fits = F.count_if(value.isNotNull() & exact.isNull()) == 0
+    return F.coalesce(F.when(fits, F.try_sum(exact)).cast("double"), F.sum(value))
+
+
+def _ordered_mean(value: Column) -> Column:
+    """A mean that does not depend on the order of rows, as ``_ordered_sum``."""
+    exact = value.try_cast("decimal(28,14)")
+    fits = F.count_if(value.isNotNull() & exact.isNull()) == 0
+    return F.coalesce(F.when(fits, F.try_avg(exact)).cast("double"), F.avg(value))
+
+
+def total_columns(signals: DataFrame) -> list[Column]:
+    """Means, sums and row count of a window, the same in every run over the same posts."""
+    kinds = dict(signals.dtypes)
+    means = [(F.avg(c) if _is_whole(kinds[c]) else _ordered_mean(F.col(c))).alias(c) for c in MEANS]
+    sums = [(F.sum(c) if _is_whole(kinds[c]) else _ordered_sum(F.col(c))).alias(c) for c in SUMS]
+    return [*means, *sums, F.count("*").alias("tweet_count")]
+
+
 def window_totals(signals: DataFrame, window_minutes: int = 60) -> DataFrame:
     """Means, sums and row count of every bucket that has posts, keyed by ``bucket``."""
-    return with_bucket(signals, window_minutes).groupBy("bucket").agg(
-        *[F.avg(c).alias(c) for c in MEANS],
-        *[F.sum(c).alias(c) for c in SUMS],
-        F.count("*").alias("tweet_count"),
-    )
+    return with_bucket(signals, window_minutes).groupBy("bucket").agg(*total_columns(signals))
 
 
 def gap_fill_windows(windows: DataFrame, window_minutes: int = 60) -> DataFrame:
@@ -119,37 +142,54 @@ def confidence_intervals(windows: DataFrame, confidence: float = 0.95) -> DataFr
     )
 
 
-def zscore_components(windows: DataFrame, columns: tuple[str, ...] = tuple(COMPOSITE_WEIGHTS)) -> DataFrame:
-    """Add ``<column>_z``: distance from the mean over windows in sample standard deviations."""
-    # Sums of decimals don't depend on the order of rows, so that a repeated run stores equal values.
-    def total(value: Column) -> Column:
-        return F.sum(value.cast("decimal(38,15)")).cast("double")
-
-    means = [(total(F.col(c)) / F.count(c)).alias(f"_avg_{c}") for c in columns]
-    stats = [
-        F.when(F.count(c) > 1, F.sqrt(total((F.col(c) - F.col(f"_avg_{c}")) ** 2) / (F.count(c) - 1))).alias(f"_std_{c}")
-        for c in columns
-    ]
+def standardise(windows: DataFrame, stats: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Add ``<column>_z`` by the states in the one row of ``stats``."""
+    known = F.struct(*columns).alias("stats")
     scaled = {
-        f"{c}_z": (F.col(c) - F.col(f"_avg_{c}")) / (F.col(f"_std_{c}") + F.lit(1e-10)) for c in columns
+        f"{c}_z": (F.col(c) - F.col(f"_stats.{c}.mean")) / (moments.deviation(F.col(f"_stats.{c}")) + F.lit(1e-10)) for c in columns
     }
-    helpers = [f"_{stat}_{c}" for stat in ("avg", "std") for c in columns]
-    return with_totals(with_totals(windows, *means), *stats).withColumns(scaled).drop(*helpers)
+    return windows.withColumn("_stats", stats.select(known).scalar()).withColumns(scaled).drop("_stats")
 
 
-def composite_signal(windows: DataFrame) -> DataFrame:
-    """Weighted sum of standardised components, bounded by tanh; NULL for an empty window."""
+def zscore_components(windows: DataFrame, columns: tuple[str, ...] = tuple(COMPOSITE_WEIGHTS)) -> DataFrame:
+    """Add ``<column>_z``: distance from the mean over windows in sample standard deviations."""
+    return standardise(windows, moments.moments(windows, columns), columns)
+
+
+def composite_signal(windows: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Weighted sum of standardised components, bounded by tanh; NULL for an empty window. ``stats`` holds the states of the
+    components where they are known already."""
     present = {c: w for c, w in COMPOSITE_WEIGHTS.items() if c in windows.columns}
     terms = [F.col(f"{c}_z") * w for c, w in present.items()]
-    return (
-        zscore_components(windows, tuple(present))
-        .withColumn("composite_signal", F.tanh(sum(terms[1:], terms[0])))
-        .drop(*[f"{c}_z" for c in present])
-    )
+    scaled = zscore_components(windows, tuple(present)) if stats is None else standardise(windows, stats, tuple(present))
+    return scaled.withColumn("composite_signal", F.tanh(sum(terms[1:], terms[0]))).drop(*[f"{c}_z" for c in present])
+
+
+def day_states(totals: DataFrame) -> DataFrame:
+    """``date``, ``windows`` and the states of the composite's components over the windows of each day that have posts.
+
+    Days merge to the states of the whole table with ``merged_states``, so a run that renews some days
+    needs only the states of the others.
+    """
+    columns = tuple(COMPOSITE_WEIGHTS)
+    dated = derived_window_metrics(totals).withColumn("date", F.to_date("timestamp"))
+    states = moments.group_states(dated, columns, F.col("date"), [F.col("timestamp")], "date")
+    # A window with posts has an engagement total, so its state counts the windows.
+    return states.withColumn("windows", F.col("engagement_total.n"))
+
+
+def merged_states(days: DataFrame, all_windows: int) -> DataFrame:
+    """One row with the states over ``all_windows`` windows: those of ``days``, and empty ones, whose sums are 0 and whose means are NULL."""
+    columns = tuple(COMPOSITE_WEIGHTS)
+    whole = moments.merged(days.drop("windows"), columns, "date")
+    gaps = F.lit(all_windows) - F.col("engagement_total.n")
+    zeros = moments.state(gaps, F.lit(0.0), F.lit(0.0))
+    filled = {c: moments.merge(F.col(c), zeros) for c in ("technical_mention_signal", "engagement_total")}
+    return whole.select(*[filled.get(c, F.col(c)).alias(c) for c in columns])
 
 
-def finish_windows(windows: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
-    return composite_signal(confidence_intervals(windows, cfg.confidence))
+def finish_windows(windows: DataFrame, cfg: SignalConfig = SignalConfig(), stats: DataFrame | None = None) -> DataFrame:
+    return composite_signal(confidence_intervals(windows, cfg.confidence), stats)
 
 
 def generate_signals(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:

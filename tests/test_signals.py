@@ -101,6 +101,64 @@ def test_composite(spark):
     assert (filled.sentiment_ci_lower <= filled.avg_sentiment + 1e-9).all()
 
 
+@pytest.mark.parametrize("scale", [1e-12, 1e-9, 1e-3, 1e6, 1e12, 1e15])
+@pytest.mark.parametrize("timed", [True, False])
+def test_z_scores_at_any_scale(spark, scale, timed):
+    values = [1.0, 3.0, 2.0, 7.0, None, 7.0, 1.5]
+    rows = [(pd.Timestamp("2024-01-01") + pd.Timedelta(hours=9 * i), None if v is None else v * scale) for i, v in enumerate(values)]
+    df = spark.createDataFrame([(t.to_pydatetime(), v) for t, v in rows], "timestamp timestamp, value double").repartition(3)
+    out = signals.zscore_components(df if timed else df.drop("timestamp"), ("value",)).collect()
+    given = pd.Series([v * scale for v in values if v is not None])
+    want = [(v - given.mean()) / (given.std() + 1e-10) for v in given]
+    assert sorted(r.value_z for r in out if r.value_z is not None) == pytest.approx(sorted(want))
+    assert [r.value_z for r in out if r.value is None] == [None]
+
+
+def test_large_offsets_and_constants(spark):
+    df = spark.createDataFrame([(1e9 + i, 5.0, 1.0 if i == 0 else None) for i in range(5)], "a double, b double, c double")
+    out = signals.zscore_components(df, ("a", "b", "c")).sort("a").collect()
+    assert [r.a_z for r in out] == pytest.approx([(i - 2) / math.sqrt(2.5) for i in range(5)])
+    assert {r.b_z for r in out} == {0.0} and {r.c_z for r in out} == {None}
+
+
+def test_states_merge_to_those_of_all_rows(spark):
+    times = hourly(300)
+    totals = signals.window_totals(signals.individual_signals(posts(spark, times), False))
+    totals = totals.withColumn("timestamp", F.timestamp_micros("bucket")).drop("bucket").cache()
+    first, last = totals.agg(F.min("timestamp"), F.max("timestamp")).first()
+    every = int((last - first).total_seconds() // 3600) + 1
+    merged = signals.merged_states(signals.day_states(totals), every).first()
+    windows = signals.aggregate_signals(signals.individual_signals(posts(spark, times), False)).toPandas()
+    for c in signals.COMPOSITE_WEIGHTS:
+        values = windows[c].astype(float).dropna()
+        assert merged[c].n == len(values) and merged[c].mean == pytest.approx(values.mean())
+        assert math.sqrt(merged[c].m2 / (merged[c].n - 1)) == pytest.approx(values.std())
+
+
+def test_windows_do_not_depend_on_the_order_of_rows(spark):
+    times = [f"2024-01-01 0{i % 4}:15:00" for i in range(997)]
+    df = signals.individual_signals(posts(spark, times), False).cache()
+    runs = [
+        sorted(map(tuple, signals.finish_windows(signals.aggregate_signals(df.repartition(n, F.xxhash64("tweet_id", F.lit(n))))).collect()))
+        for n in (2, 7, 13)
+    ]
+    assert runs[0] == runs[1] == runs[2]
+    huge = signals.window_totals(df.withColumn("weighted_sentiment", F.lit(1e30))).collect()
+    assert all(r.weighted_sentiment == pytest.approx(1e30 * r.tweet_count) for r in huge)
+
+
+def test_spine_of_buckets(spark):
+    from postpulse.functions import timebuckets as tb
+
+    df = spark.createDataFrame([(0,), (10 * tb.MINUTE * 9999,)], "bucket bigint")
+    spine = tb.bucket_spine(df, 10)
+    assert spine.count() == 10_000 and spine.agg(F.max("bucket")).first()[0] == 10 * tb.MINUTE * 9999
+    assert spine.rdd.getNumPartitions() > 1 and "SinglePartition" not in spine._jdf.queryExecution().executedPlan().toString()
+    assert tb.bucket_spine(df.limit(0), 10).count() == 0
+    with pytest.raises(ValueError, match="stray"):
+        tb.bucket_spine(spark.createDataFrame([(0,), (8000 * 365 * tb.DAY,)], "bucket bigint"), 10)
+
+
 def test_normalize(spark):
     df = spark.createDataFrame(
         [(i, 10 * i, 5, 0, i - 2) for i in range(5)],
