@@ -209,7 +209,12 @@ SELECT * FROM filled WHERE "timestamp" >= TIMESTAMP '2024-01-30'
 QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY "timestamp", tweet_id) = 1"""
 CTE["last_scored"] = signals("last_day")
 CTE["last_totals"] = totals("last_scored", 60)
-CTE["last_filled"] = filled("last_totals", 60)
+CTE["both_totals"] = """
+SELECT * FROM totals60 WHERE "timestamp" < TIMESTAMP '2024-01-30' UNION ALL SELECT * FROM last_totals"""
+CTE["both_filled"] = filled("both_totals", 60)
+CTE["both_windows"] = COMPOSITE.format(
+    source="(" + INTERVALS.format(source="(" + DERIVED.format(source="both_filled") + ")") + ")"
+)
 
 # Scores of every post, duplicates kept, for the stream.
 CTE["all_scored"] = signals("filled")

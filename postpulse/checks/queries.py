@@ -16,7 +16,7 @@ from postpulse.operators import (
 )
 from postpulse.plans import full_run
 from postpulse.session import cut_lineage, scratch_path
-from postpulse.sinks import storage
+from postpulse.sinks import signal_store, storage
 from postpulse.sources import jsonl, sample_posts, selection, tables
 from postpulse.streaming import live_signals
 
@@ -866,20 +866,13 @@ def latest_windows(spark, folder):
 # --- incremental and streaming ------------------------------------------------------------------------------------------
 
 
-@register(
-    "incremental_run",
-    " UNION ALL ".join(
-        f"SELECT \"timestamp\", tweet_count, {r6('sentiment_signal')} AS avg_sentiment FROM {source} WHERE \"timestamp\" {side}"
-        for source, side in (("filled60", "< TIMESTAMP '2024-01-30'"), ("last_filled", ">= TIMESTAMP '2024-01-30'"))
-    ),
-)
+@register("incremental_run", measures(FINISHED, "both_windows"))
 def incremental_run(spark, folder):
-    """The last day scored again over a table that already holds the whole month."""
+    """The last day scored again over a store that already holds the whole month; the composite is that of one run over both."""
     path = scratch_path(spark, "incremental")
     df = posts(spark, folder)
     full_run.run_incremental(df, path, AS_OF, HOURS)
-    stored = full_run.run_incremental(df, path, AS_OF, 24)
-    return rounded(stored.select("timestamp", "tweet_count", "avg_sentiment"))
+    return rounded(full_run.run_incremental(df, path, AS_OF, 24).select("timestamp", *FINISHED))
 
 
 @register("stream_signals", measures(TOTALS, "closed"))
@@ -893,12 +886,10 @@ def stream_signals(spark, folder):
 
 @register("stream_composite", measures(FINISHED, "closed_windows"))
 def stream_composite(spark, folder):
-    output = scratch_path(spark, "finished")
+    store = scratch_path(spark, "store")
     raw = jsonl.stream_jsonl(spark, landed(spark, folder))
-    live_signals.start_stream_composite(
-        raw, scratch_path(spark, "totals"), output, scratch_path(spark, "offsets")
-    ).awaitTermination()
-    stored = spark.read.parquet(output)
+    live_signals.start_stream_composite(raw, store, scratch_path(spark, "offsets")).awaitTermination()
+    stored = signal_store.read_signals(spark, store)
     return rounded(stored.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), *FINISHED))
 
 

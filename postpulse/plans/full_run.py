@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from postpulse.config import Settings
+from postpulse.functions.timebuckets import from_micros
 from postpulse.operators.cleaning import clean_dataframe, featurise
 from postpulse.operators.dedupe import dedupe_by_hash
 from postpulse.operators.reports import signal_summary
-from postpulse.operators.signals import aggregate_signals, finish_windows, generate_signals, individual_signals
+from postpulse.operators.signals import aggregate_signals, finish_windows, generate_signals, individual_signals, window_totals
 from postpulse.session import cut_lineage
-from postpulse.sinks import storage
+from postpulse.sinks import signal_store, storage
 from postpulse.sources.selection import collect_posts, since_day
 
 
@@ -65,12 +66,15 @@ def incremental_posts(posts: DataFrame, as_of: str, hours: int = 1) -> DataFrame
 
 
 def run_incremental(posts: DataFrame, path: str, as_of: str, hours: int = 1, settings: Settings = Settings()) -> DataFrame:
-    """Score the look-back and replace its days in the signals table at ``path``, also those that no longer have posts."""
+    """Score the look-back, publish its days in the signal store at ``path``, also those that no longer have posts, and give the
+    finished windows of all stored days. Duplicates are found within the look-back."""
     spark = posts.sparkSession
-    windows = cut_lineage(posts_to_signals(incremental_posts(posts, as_of, hours), settings).withColumn("date", F.to_date("timestamp")))
-    storage.partition_overwrite(windows, path, ["date"])
+    kind = dict(posts.dtypes)["timestamp"]
+    scored = scored_posts(incremental_posts(posts, as_of, hours), settings)
+    totals = window_totals(scored, settings.signals.window_minutes)
+    totals = totals.select(from_micros(F.col("bucket"), kind).alias("timestamp"), *[c for c in totals.columns if c != "bucket"])
     days = F.explode(F.sequence(F.to_date(since_day(as_of, hours)), F.to_date(F.lit(as_of))))
     # One row for each day of the look-back.
-    empty = spark.range(1).select(days.alias("date")).join(windows.select("date").distinct(), "date", "left_anti")
-    storage.drop_partitions(spark, path, "date", [r.date for r in empty.collect()])
-    return spark.read.parquet(path)
+    dates = [str(r.date) for r in spark.range(1).select(days.alias("date")).collect()]
+    signal_store.replace_days(spark, path, totals, dates, settings)
+    return signal_store.read_signals(spark, path, settings)

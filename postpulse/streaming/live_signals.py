@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from postpulse.config import Settings
-from postpulse.functions.timebuckets import from_micros, micros
 from postpulse.operators import cleaning, signals
-from postpulse.sinks.storage import partition_overwrite
+from postpulse.sinks import signal_store
 from postpulse.sources.jsonl import flatten_tweets
 
 
@@ -28,11 +27,7 @@ def windowed_stream(posts: DataFrame, settings: Settings = Settings(), delay: st
         .withWatermark("timestamp", delay)
         .dropDuplicatesWithinWatermark(["tweet_id"])
     )
-    totals = fresh.groupBy(F.window("timestamp", width).alias("w")).agg(
-        *[F.avg(c).alias(c) for c in signals.MEANS],
-        *[F.sum(c).alias(c) for c in signals.SUMS],
-        F.count("*").alias("tweet_count"),
-    )
+    totals = fresh.groupBy(F.window("timestamp", width).alias("w")).agg(*signals.total_columns(fresh))
     return totals.select(F.col("w.start").alias("timestamp"), *[c for c in totals.columns if c != "w"])
 
 
@@ -52,23 +47,16 @@ def start_stream_signals(
 
 
 def start_stream_composite(
-    raw: DataFrame, totals_path: str, signals_path: str, checkpoint: str,
-    settings: Settings = Settings(), delay: str = "2 hours",
+    raw: DataFrame, base: str, checkpoint: str, settings: Settings = Settings(), delay: str = "2 hours", name: str = "stream"
 ) -> StreamingQuery:
-    """Keep a finished signals table beside the stream.
+    """Keep published signals beside the stream; ``signal_store.read_signals`` gives the finished windows.
 
-    The composite standardises over all windows, so each micro-batch first stores its closed
-    windows and then rebuilds the (small) window table from all stored ones. Both writes
-    replace what an earlier attempt at the same batch left.
+    Each micro-batch adds its closed windows to their days and publishes these days as a new version, with the number of the batch. A batch
+    that was published before a crash is not published again, and one that was not is written anew.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        closed = batch.withColumn("batch_id", F.lit(batch_id))
-        partition_overwrite(closed, totals_path, ["batch_id"])
-        stored = spark.read.schema(closed.schema).parquet(totals_path).drop("batch_id")
-        if not stored.isEmpty():
-            finish_totals(stored, settings).write.mode("overwrite").parquet(signals_path)
+        signal_store.add_windows(batch.sparkSession, base, batch, settings, writer=name, batch_id=batch_id)
 
     return (
         windowed_stream(flatten_tweets(raw), settings, delay)
@@ -78,14 +66,3 @@ def start_stream_composite(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def finish_totals(totals: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Gap filling, derived metrics, intervals and composite of stored window totals."""
-    cfg = settings.signals
-    keyed = totals.withColumn("bucket", micros(F.col("timestamp"))).drop("timestamp")
-    windows = signals.derived_window_metrics(signals.gap_fill_windows(keyed, cfg.window_minutes))
-    rest = [c for c in windows.columns if c != "bucket"]
-    return signals.finish_windows(windows.select(from_micros(F.col("bucket")).alias("timestamp"), *rest), cfg)
-
-

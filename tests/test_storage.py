@@ -166,3 +166,21 @@ def test_full_and_incremental_runs(spark, data, tmp_path):
     kept = given_posts(spark, data).where("CAST(timestamp AS DATE) = DATE '2024-01-30'")
     again = full_run.run_incremental(kept, path, AS_OF, 48)
     assert {str(r.date) for r in again.select("date").distinct().collect()} == {"2024-01-30"}
+
+
+def test_incremental_composite_equals_a_full_run(spark, data, tmp_path):
+    """Days scored one run after the other finish as if they had been scored together."""
+    from postpulse.checks.queries import AS_OF, posts as given_posts
+    from postpulse.config import Settings
+    from postpulse.plans import full_run
+
+    settings, path = Settings(deduplicate=False), str(tmp_path / "store")
+    df = given_posts(spark, data).where("timestamp >= TIMESTAMP_NTZ '2024-01-26'").cache()
+    whole = {r.timestamp: r for r in full_run.posts_to_signals(df, settings).collect()}
+    for day in (27, 28, 29, 30, 31, 29):
+        full_run.run_incremental(df, path, f"2024-01-{day} 23:59:59", 24, settings)
+    out = {r.timestamp: r for r in full_run.run_incremental(df, path, AS_OF, 1, settings).collect()}
+    assert out.keys() == whole.keys()
+    for at, r in out.items():
+        for c in ("tweet_count", "composite_signal", "sentiment_ci_lower", "sentiment_ci_width", "weighted_sentiment"):
+            assert r[c] == (None if whole[at][c] is None else pytest.approx(whole[at][c], rel=1e-12, abs=1e-12)), c

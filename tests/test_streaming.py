@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from postpulse.checks.queries import posts
+from postpulse.config import Settings, SignalConfig
 from postpulse.operators import cleaning, signals
+from postpulse.sinks import files, signal_store, versioned
 from postpulse.sources import jsonl
 from postpulse.sources.sample_posts import raw_lines
 from postpulse.streaming import live_signals
@@ -61,13 +63,69 @@ def test_no_text_reaches_the_state(spark, feed):
 
 def test_composite_is_rebuilt_from_stored_windows(spark, data, feed, tmp_path):
     raw = jsonl.stream_jsonl(spark, feed, files_per_trigger=2)
-    query = live_signals.start_stream_composite(
-        raw, str(tmp_path / "totals"), str(tmp_path / "signals"), str(tmp_path / "state")
-    )
-    query.awaitTermination(300)
-    out = spark.read.parquet(str(tmp_path / "signals"))
+    store = str(tmp_path / "store")
+    live_signals.start_stream_composite(raw, store, str(tmp_path / "state")).awaitTermination(300)
+    out = signal_store.read_signals(spark, store)
     last = out.agg(F.max("timestamp")).first()[0]
     closed = batch(spark, data).where(F.col("timestamp") <= F.lit(last)).drop("bucket")
-    want = live_signals.finish_totals(closed)
+    want = signal_store.finish_totals(closed)
     columns = ["timestamp", "composite_signal", "tweet_count", "sentiment_ci_lower"]
     assert keyed(out, columns) == keyed(want, columns)
+    # Versions are the batches that closed windows; a version once opened stays readable.
+    tables = versioned.VersionedTables(spark, store)
+    assert len(tables.versions()) > 1
+    first = signal_store.read_signals(spark, store, version=1)
+    assert 0 < first.count() < out.count()
+
+
+def test_a_batch_is_published_once(spark, data, tmp_path, monkeypatch):
+    """A crash before publishing leaves readers at the old version, and the batch is written again; one after it changes nothing."""
+    store, totals = str(tmp_path / "store"), batch(spark, data).drop("bucket").cache()
+    days = [r[0] for r in totals.select(F.to_date("timestamp")).distinct().sort(F.to_date("timestamp")).collect()]
+    early, late = totals.where(F.to_date("timestamp") <= F.lit(days[9])), totals.where(F.to_date("timestamp") > F.lit(days[9]))
+    signal_store.add_windows(spark, store, early, writer="s", batch_id=0)
+    before = signal_store.read_signals(spark, store)
+    opened = before.count()
+    put = files.Files.write_new
+    monkeypatch.setattr(files.Files, "write_new", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        signal_store.add_windows(spark, store, late, writer="s", batch_id=1)
+    # The data is there, but no version names it.
+    assert signal_store.read_signals(spark, store).count() == opened
+    monkeypatch.setattr(files.Files, "write_new", put)
+    signal_store.add_windows(spark, store, late, writer="s", batch_id=1)
+    again = signal_store.add_windows(spark, store, late, writer="s", batch_id=1)
+    assert again.number == 2 and again.notes["batch of s"] == "1"
+    got = signal_store.read_signals(spark, store)
+    columns = ["timestamp", "composite_signal", "tweet_count"]
+    assert keyed(got, columns) == keyed(signal_store.finish_totals(totals), columns)
+    # A reader of the version before still sees that version whole.
+    assert before.count() == opened and keyed(before, columns) == keyed(signal_store.finish_totals(early), columns)
+    tables = versioned.VersionedTables(spark, store)
+    assert tables.expire(keep=1, grace_hours=0) == 1 and keyed(signal_store.read_signals(spark, store), columns) == keyed(got, columns)
+
+
+def test_only_changed_days_are_written(spark, data, tmp_path):
+    store, totals = str(tmp_path / "store"), batch(spark, data).drop("bucket").cache()
+    first = signal_store.add_windows(spark, store, totals)
+    day = sorted(first.parts["totals"])[3]
+    second = signal_store.replace_days(spark, store, totals.where(F.to_date("timestamp") == day).limit(2), [day])
+    changed = {k for k, folder in second.parts["totals"].items() if first.parts["totals"][k] != folder}
+    assert changed == {day} and second.number == 2
+    with pytest.raises(ValueError):
+        signal_store.replace_days(spark, store, totals, [day])
+    with pytest.raises(ValueError):
+        signal_store.add_windows(spark, store, totals, Settings(signals=SignalConfig(window_minutes=30)))
+
+
+def test_two_writers(spark, tmp_path):
+    """The slower of two writers onto the same version learns of it, and publishes nothing."""
+    tables = versioned.VersionedTables(spark, str(tmp_path / "t"))
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    start = tables.version()
+    tables.publish({"t": df}, "k", ["a", "b"], onto=start)
+    with pytest.raises(versioned.PublishConflict):
+        tables.publish({"t": df.where("k = 'a'")}, "k", ["a"], onto=start)
+    tables.publish({"t": df.where("false")}, "k", ["b"])
+    assert [tuple(r) for r in tables.read("t").collect()] == [("a", 1)] and tables.versions() == [1, 2]
+    assert tables.read("t", keys=["b"]).count() == 0 and tables.read("t", tables.version(1), ["b"]).first().v == 2
