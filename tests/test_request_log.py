@@ -52,6 +52,35 @@ def test_audit_splits_a_busy_client(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize(("spread", "crowd"), [(7200, 20), (7200, 60), (300, 15), (20, 10)])
+def test_audit_of_crowded_hours(spark, spread, crowd):
+    """Finer slices give what the plain definition gives: minutes, and seconds where minutes are crowded too."""
+    rng = random.Random(spread + crowd)
+    rows = [(i, c, ts + timedelta(microseconds=rng.choice([0, 0, 1, 999_999])), ok, x) for i, c, ts, ok, x in random_log(500, 3, spread=spread)]
+    rows += [(1000 + i, None, START, True, 1.0) for i in range(3)]
+    cfg = RequestConfig(per_minute=3, per_hour=25)
+    df = make(spark, rows)
+    widths = {r.client: r.width for r in rl.busy_clients(df.selectExpr("request_id", "client", "unix_micros(ts) AS at"), crowd).collect()}
+    assert "busy" in widths and (set(widths.values()) <= {rl.MINUTE, rl.SECOND}) and (spread > 300) == (widths["busy"] == rl.MINUTE)
+    got = {r.request_id: r for r in rl.rate_audit(df, cfg, crowd).collect()}
+    plain = {r.request_id: r for r in rl.rate_audit(df, cfg).collect()}
+    assert got == plain and len(got) == len(rows)
+    for i, client, ts, _, _ in rows[:500:7]:
+        ages = [(ts - t) / timedelta(seconds=1) for _, c, t, _, _ in rows if c == client and t < ts]
+        assert (got[i].calls_minute, got[i].calls_hour) == (sum(a <= 60 for a in ages), sum(a <= 3600 for a in ages))
+
+
+def test_one_crowded_hour_takes_several_tasks(spark):
+    rows = [(i, "busy", START + timedelta(seconds=i % 3600), True, 1.0) for i in range(4000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counted = [rl.rate_audit(make(spark, rows), crowd=c).groupBy(F.spark_partition_id()).agg(F.sum("calls_hour")).collect() for c in (100, 10_000)]
+        assert len(counted[0]) >= 3 and len(counted[1]) == 1
+        assert sum(r[1] for r in counted[0]) == counted[1][0][1]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def simulate(rows, cfg):
     state = {}
     for i, client, ts, ok, response in sorted(rows, key=lambda r: (r[2], r[0])):
