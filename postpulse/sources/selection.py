@@ -6,12 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postpulse.config import SelectionConfig
+from postpulse.functions.timebuckets import micros
 from postpulse.session import cut_lineage
 from postpulse.sources.tables import has_any_hashtag
 
-# Parts that a source's candidates are ranked in before they are ranked together.
-PARTS = 1024
-# Up to this cap Spark drops rows beyond it in each task (spark.sql.optimizer.windowGroupLimitThreshold).
+# Widths in microseconds by which the time of a source's last post within its cap is narrowed down.
+STEPS = (3_600_000_000, 1_000_000, 1)
+# Stands for a missing time: older than any other.
+NEVER = -(1 << 63)
 
 
 def since_day(as_of: str, hours: int) -> Column:
@@ -62,20 +64,49 @@ def source_cap(cfg: SelectionConfig) -> Column:
     ).otherwise(F.lit(cfg.max_tweets_per_hashtag // 2))
 
 
+def cap_edges(keys: DataFrame) -> DataFrame:
+    """``matched_source``, ``edge`` and ``left`` of each source with more posts than its cap: the time of the last post within it, and how many
+    of those at this very time still are.
+
+    ``keys`` holds the source, time (``at``) and cap of each post. Posts are counted by hour, and inside the hour in which a source
+    reaches its cap by second, and so on: tasks count before they send, and no post is ranked against another.
+    """
+    rest, edges = keys.withColumn("left", F.col("cap").cast("bigint")), None
+    for width in STEPS:
+        step = F.floor(F.col("at") / width) if width > 1 else F.col("at")
+        rest = rest.withColumn("step", step.cast("bigint"))
+        counts = rest.groupBy("matched_source", "step").agg(F.count("*").alias("n"), F.max("left").alias("left"))
+        newer = Window.partitionBy("matched_source").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+        # Where the cap is met exactly, the next older step would still be within it by nothing.
+        inside = (F.col("before") < F.col("left")) & (F.col("before") + F.col("n") >= F.col("left"))
+        edges = placed.where(inside).select("matched_source", F.col("step").alias("edge"), (F.col("left") - F.col("before")).alias("left"))
+        # One row for each source.
+        rest = rest.drop("left").join(F.broadcast(edges.withColumnRenamed("edge", "step")), ["matched_source", "step"])
+    return edges
+
+
 def cap_per_source(matched: DataFrame, cfg: SelectionConfig) -> DataFrame:
-    """The newest posts of each source, up to its cap.
+    """The newest posts of each source, up to its cap; of posts of one time those with the smallest ids.
 
-    Each task forwards at most the cap of its own rows of a source. They are ranked first in
-    parts, each made of some tasks' rows, and then over the parts' survivors, so that no task
-    receives more than a source's cap times the parts, or times the tasks of a part.
+    Sources, times and ids are stored first. They give the time at which each source reaches its cap, whatever the cap, and the ids that are within it at this
+    time. Posts newer than that stay where they are; only those of this very time are ranked.
     """
-    limit = cfg.max_tweets_per_hashtag
-    parts = matched.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(PARTS)))
-    in_part = Window.partitionBy("matched_source", "_part").orderBy(*newest_first())
-    in_source = Window.partitionBy("matched_source").orderBy(*newest_first())
-    survivors = parts.withColumn("_n", F.row_number().over(in_part)).where(F.col("_n") <= limit).drop("_n", "_part")
-    ranked = survivors.withColumn("_n", F.row_number().over(in_source)).where(F.col("_n") <= limit)
-    return ranked.where(F.col("_n") <= source_cap(cfg)).drop("_n")
+    at = F.coalesce(micros(F.col("timestamp")), F.lit(NEVER))
+    keys = cut_lineage(matched.select("matched_source", at.alias("at"), "tweet_id", source_cap(cfg).alias("cap")))
+    edges = cut_lineage(cap_edges(keys))
+    few = F.broadcast(edges)
+    by_id = Window.partitionBy("matched_source").orderBy("tweet_id")
+    last = keys.join(few, "matched_source").where(F.col("at") == F.col("edge")).withColumn("_n", F.row_number().over(by_id))
+    # How many posts of each id are taken at the edge: more than one only of repeated rows.
+    taken = last.where(F.col("_n") <= F.col("left")).groupBy("matched_source", "tweet_id").agg(F.count("*").alias("_times"))
+    timed = matched.withColumn("_at", at).join(few.withColumnRenamed("matched_source", "_source"), F.col("matched_source") == F.col("_source"), "left")
+    newer = timed.where(F.col("edge").isNull() | (F.col("_at") > F.col("edge"))).where(source_cap(cfg) > 0)
+    repeats = Window.partitionBy("matched_source", "tweet_id").orderBy("_at")
+    chosen = taken.select(F.col("matched_source").alias("_s"), F.col("tweet_id").alias("_t"), "_times")
+    same = F.col("matched_source").eqNullSafe(F.col("_s")) & F.col("tweet_id").eqNullSafe(F.col("_t"))
+    at_edge = timed.where(F.col("_at") == F.col("edge")).join(chosen, same).withColumn("_n", F.row_number().over(repeats))
+    return newer.select(*matched.columns).unionByName(at_edge.where(F.col("_n") <= F.col("_times")).select(*matched.columns))
 
 
 def stop_at_target(capped: DataFrame, min_tweets: int) -> DataFrame:

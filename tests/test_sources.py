@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,14 +90,32 @@ def test_collection_matches_brute_force(spark, data, target, cap):
     assert sorted(map(tuple, got)) == brute_force(df.collect(), cfg, "2024-01-10")
 
 
-def test_caps_rank_in_parts_first(spark, data):
+def test_caps_have_one_plan_and_rank_keys(spark, data):
     from postpulse.checks.queries import posts
 
     matched = selection.union_sources(posts(spark, data), SelectionConfig(), "2024-01-30 10:00:00", 240)
-    plan = selection.cap_per_source(matched, SelectionConfig())._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(matched_source" in plan and "_part" in plan and "WindowGroupLimit" in plan
-    # One scan of the posts, however many sources there are.
-    assert plan.count("FileScan parquet") == 2
+    plans = []
+    for cap in (30, 1000, 50_000):
+        out = selection.cap_per_source(matched, SelectionConfig(max_tweets_per_hashtag=cap))
+        plans.append(re.sub(r"[0-9]+", "", out._jdf.queryExecution().executedPlan().toString()))
+    assert plans[0] == plans[1] == plans[2]
+    # Sources are ranked over stored keys; only rows of one id at one time are put in order with their texts.
+    ranked = [line for line in plans[0].splitlines() if "row_number" in line and "windowspecdefinition" in line]
+    assert len(ranked) == 2 and sum("windowspecdefinition(matched_source#, tweet_id#, _at#" in line for line in ranked) == 1
+
+
+def test_caps_with_equal_times_and_repeated_rows(spark):
+    rows = [("term:a", None if i % 50 == 0 else pd.Timestamp("2024-01-01") + pd.Timedelta(seconds=i // 40), f"p{i % 37:02d}", f"text {i}") for i in range(400)]
+    rows += [("hashtag:b", pd.Timestamp("2024-01-01"), "same", "x")] * 9
+    rows = [(s, None if t is None else t.to_pydatetime(), i, c) for s, t, i, c in rows]
+    df = spark.createDataFrame(rows, "matched_source string, timestamp timestamp, tweet_id string, content string").repartition(4)
+    for cap in (0, 1, 7, 90, 396, 399, 798, 5000):
+        got = selection.cap_per_source(df, SelectionConfig(max_tweets_per_hashtag=cap)).collect()
+        order = lambda r: (r[1] is None, -(r[1].timestamp() if r[1] else 0), r[2])
+        want = sorted((r for r in rows if r[0] == "term:a"), key=order)[: cap // 2] + [r for r in rows if r[0] == "hashtag:b"][:cap]
+        assert sorted((r[0], str(r[1]), r[2]) for r in got) == sorted((r[0], str(r[1]), r[2]) for r in want), cap
+        assert len({r[3] for r in got if r[0] == "term:a"}) == min(cap // 2, 400)
+    assert selection.cap_per_source(df.limit(0), SelectionConfig()).count() == 0
 
 
 def test_hashtag_queries(spark):
