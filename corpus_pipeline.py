@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postpulse.llm import decontaminate, jaccard, langid, line_dedup, packing
-from postpulse.llm.common import crc_mod, stored
+from postpulse.llm.common import crc_mod, small_batches, stored
 
 #: No SQL can express a trained classifier.
 ORACLE_SQL = None
@@ -18,27 +18,32 @@ ORACLE_SQL = None
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised, by a model of the four fifths that the held-out rows leave."""
+    small_batches(spark)
     model = langid.fit(docs.where(crc_mod(F.col("doc_id"), 5) != 0))
     return langid.keep_recognised(docs, model)
 
 
 def remove_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of lines that occur earlier are cut out of the texts; a document of which nothing stays is dropped."""
+    small_batches(spark)
     return line_dedup.drop_repeated_runs(docs)
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest document of each class of near duplicates: five-word shingles, Jaccard 0.8 or more."""
+    small_batches(spark)
     return jaccard.keep_one_each(docs, width=5, percent=80)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of ten words of a benchmark item."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 
