@@ -44,10 +44,10 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def map_texts(df: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.DataType]], passed: int = 1) -> DataFrame:
+def map_texts(df: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.DataType]], passed: int = 1, done: Callable | None = None) -> DataFrame:
     """The first ``passed`` columns as they are, and the columns that ``make`` returns for lists of all but the first.
 
-    Ids stay in Arrow, so that NULLs among them don't turn whole numbers into floating-point ones.
+    ``done`` as for ``tidied``. Ids stay in Arrow, so that NULLs among them don't turn whole numbers into floating-point ones.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +59,7 @@ def map_texts(df: DataFrame, make: Callable, fields: dict[str, tuple[str, pa.Dat
     names = df.columns[:passed]
     kinds = dict(df.dtypes)
     schema = [f"`{c}` {kinds[c]}" for c in names] + [f"{c} {kind}" for c, (kind, _) in fields.items()]
-    return df.mapInArrow(run, ", ".join(schema))
+    return df.mapInArrow(tidied(run, done), ", ".join(schema))
 
 
 def keep_where(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame:
@@ -71,7 +71,7 @@ def keep_where(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame
             mask = [keep(text) for text in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -90,16 +90,24 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
-def tidied(run: Callable) -> Callable:
-    """``run`` over batches, after which the worker gives free memory back; workers outlive their tasks."""
+def release() -> None:
+    """Give free memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    if TRIM:
+        TRIM(0)
+
+
+def tidied(run: Callable, done: Callable | None = None) -> Callable:
+    """``run`` over batches, after which the worker calls ``done``, to forget what it remembered, and gives free memory back: workers
+    outlive their tasks. ``done`` is a function of a module, as anything else reaches the worker as a copy."""
 
     def call(batches: Iterator) -> Iterator:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if TRIM:
-                TRIM(0)
+            if done:
+                done()
+            release()
 
     return call
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import free_name, map_texts, shuffle_partitions, stored
+from postpulse.llm.common import free_name, map_texts, shuffle_partitions, stored, tidied
 
 WIDTH = 4
 PERCENT = 85
@@ -45,6 +45,8 @@ LEAST_LONG = 32
 UNIVERSE = 0.35
 #: Ids that are broadcast to find the texts of families; beyond it, texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Words whose hashes a worker remembers.
+MEMORY = 150_000
 #: Documents of a block.
 BLOCK = 1500
 
@@ -57,7 +59,7 @@ class WordHashes(dict):
     """64-bit hashes of words; recent ones are remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > MEMORY:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -66,6 +68,11 @@ class WordHashes(dict):
 HASHES = WordHashes()
 
 
+def forget() -> None:
+    """Workers outlive their tasks, and hold a copy of this module each."""
+    HASHES.clear()
+
+
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles."""
     words = text.encode(errors="replace").lower().split() if text else []
@@ -99,7 +106,7 @@ def digests(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         return [len(s) for s in sets], [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_texts(rows, make, {"n_shingles": ("bigint", pa.int64()), "digest": ("binary", pa.binary())})
+    return map_texts(rows, make, {"n_shingles": ("bigint", pa.int64()), "digest": ("binary", pa.binary())}, done=forget)
 
 
 def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int = LEAST_LONG) -> np.ndarray:
@@ -143,7 +150,7 @@ def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int
         many = n >= least
         return pd.DataFrame({"value": values[many].astype(np.int64), "n": n[many]})
 
-    sent = texts.select("text").mapInPandas(send, "bucket int, values binary, times binary")
+    sent = texts.select("text").mapInPandas(tidied(send, forget), "bucket int, values binary, times binary")
     lists = sent.groupBy("bucket").applyInPandas(count, "value bigint, n bigint")
     rows = lists.orderBy(F.desc("n"), "value").limit(bound).collect()  # at most ``bound`` rows
     return np.array([r.value for r in rows][::-1], np.uint64)
@@ -181,7 +188,7 @@ def merged_lists(texts: DataFrame, long: np.ndarray, width: int, percent: int) -
                 }
             )
 
-    rows = texts.select("doc", "text").mapInPandas(run, "shingle bigint, doc bigint, spare int, late boolean")
+    rows = texts.select("doc", "text").mapInPandas(tidied(run, forget), "shingle bigint, doc bigint, spare int, late boolean")
     # Late rows need no length. Their lists may be long, so each goes to a task of its own choice.
     spread = F.when(F.col("late"), F.xxhash64("shingle", "doc")).otherwise(F.col("shingle"))
     n = F.count("*").over(Window.partitionBy(spread, "late"))

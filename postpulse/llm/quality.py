@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import map_texts, stored
+from postpulse.llm.common import map_texts, tidied
 
 BITS = 18
 DIMS = 1 << BITS
@@ -51,10 +51,18 @@ class Hashes(dict):
         return value
 
 
-def features(text: str | None, known: Hashes) -> tuple[np.ndarray, np.ndarray]:
+HASHES = Hashes()
+
+
+def forget() -> None:
+    """Workers outlive their tasks, and hold a copy of this module each."""
+    HASHES.clear()
+
+
+def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text in ascending order, and their values."""
     words = WORDS.findall(text) if text else []
-    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    own = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
     again = np.flatnonzero(own[1:] == own[:-1]) + 1
     own[again] = REPEAT
     grams = np.concatenate((own * FACTORS[0], (own[:-1] * FACTORS[1] ^ own[1:]) * FACTORS[0]))
@@ -114,15 +122,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Model of ``labels.quality`` from the texts of ``docs``."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for batch in batches:
-            found = [features(text, known) for text in batch.column(2).to_pylist()]
+            found = [features(text) for text in batch.column(2).to_pylist()]
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.list_(pa.int32()), pa.list_(pa.float32())))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["doc_id", "label", "at", "x"])
 
     schema = "doc_id bigint, label int, at array<int>, x array<float>"
     # Repeated rows of a document teach once.
-    taken = labelled_sample(docs, labels, sample).mapInArrow(hashed, schema).toArrow().combine_chunks()
+    taken = labelled_sample(docs, labels, sample).mapInArrow(tidied(hashed, forget), schema).toArrow().combine_chunks()
     order, seen, rows = taken.sort_by([("doc_id", "ascending"), ("label", "ascending")]), set(), []
     for r in order.to_batches():
         for doc, label, at, x in zip(*[r.column(i) for i in range(4)]):
@@ -139,9 +146,8 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make(texts: list) -> tuple[list, list]:
-        known = Hashes()
-        scores = [shared.value.score(*features(text, known)) for text in texts]
+        scores = [shared.value.score(*features(text)) for text in texts]
         return scores, [int(s >= threshold) for s in scores]
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_texts(rows, make, {"score": ("double", pa.float64()), "predicted": ("int", pa.int32())})
+    return map_texts(rows, make, {"score": ("double", pa.float64()), "predicted": ("int", pa.int32())}, done=forget)

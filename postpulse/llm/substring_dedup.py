@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import map_texts, stored
+from postpulse.llm.common import map_texts, stored, tidied
 from postpulse.llm.fm_index import FMIndex, matching_windows
 from postpulse.llm.jaccard import FACTORS, WordHashes
 
@@ -39,10 +39,17 @@ GRAM = 8
 #: Words of a shard.
 SHARD = 400_000
 HOT = 20_000
+#: Bytes of passages sent on at once.
+SLICE = 2 << 20
 
 HASHES = WordHashes()
 
 
+def forget() -> None:
+    """Workers outlive their tasks, and hold a copy of this module each."""
+    HASHES.clear()
+
+
 def words_of(text: str | None) -> list[bytes]:
     return text.encode(errors="replace").split() if text else []
 
@@ -78,8 +85,8 @@ def _regions(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, counts = [], []
-            for text in batch.column(2).to_pylist():
-                own = hashes_of(words_of(text))
+            for text in batch.column(2):
+                own = hashes_of(words_of(text.as_py()))
                 anchors, first, size = regions_of(own, window)
                 digests = [xxhash.xxh3_64_intdigest(own[a : a + n]) for a, n in zip(first.tolist(), size.tolist())]
                 parts.append((anchors, first, size, np.array(digests, np.uint64)))
@@ -94,31 +101,47 @@ def _regions(window: int):
                 ["doc", "tx", "anchor", "start", "size", "digest"],
             )
 
-    return run
+    return tidied(run, forget)
 
 
 REGION = "doc bigint, tx bigint, anchor bigint, start int, size int, digest bigint"
 
 
+PIECE = "doc bigint, tx bigint, anchor bigint, digest bigint, start int, words string"
+
+
 def _texts(window: int):
-    """Texts of the asked regions of each document; of hot ones the hashes of all windows."""
+    """Texts of the asked regions of each document; of hot ones the hashes of all windows.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Batches hold doc, tx, text, and what is asked as lists of numbers: anchor, digest, start, size and hot.
+    """
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
+    names = [part.split()[0] for part in PIECE.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc, tx, text, asked in zip(batch["doc"], batch["tx"], batch["text"], batch["asked"]):
-                words = words_of(text)
-                own = hashes_of(words) if any(r["hot"] for r in asked) else None
-                for r in asked:
-                    a, n = r["start"], r["size"]
-                    if r["hot"]:
-                        for i in range(a, a + n - window + 1):
-                            out.append((doc, tx, r["anchor"], xxhash.xxh3_64_intdigest(own[i : i + window]) - (1 << 63), i, None))
+            out, held = [], 0
+            ends = batch.column(3).offsets.to_numpy()
+            asked = [batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in range(3, 8)]
+            for i, (doc, tx) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                words = words_of(batch.column(2)[i].as_py())
+                rows = list(zip(*[a[ends[i] - ends[0] : ends[i + 1] - ends[0]].tolist() for a in asked]))
+                own = hashes_of(words) if any(r[4] for r in rows) else None
+                for anchor, digest, start, size, hot in rows:
+                    if hot:
+                        for at in range(start, start + size - window + 1):
+                            out.append((doc, tx, anchor, xxhash.xxh3_64_intdigest(own[at : at + window]) - (1 << 63), at, None))
+                        held += 8 * size
                     else:
-                        out.append((doc, tx, r["anchor"], r["digest"], a, b" ".join(words[a : a + n]).decode()))
-            yield pd.DataFrame(out, columns=["doc", "tx", "anchor", "digest", "start", "words"])
+                        out.append((doc, tx, anchor, digest, start, b" ".join(words[start : start + size]).decode()))
+                        held += len(out[-1][-1])
+                if held > SLICE:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names)
+                    out, held = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names)
 
-    return run
+    return tidied(run, forget)
 
 
 def search_shard(group: pd.DataFrame, window: int) -> pd.DataFrame:
@@ -160,11 +183,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard:
     asked = rows.join(owners, ["anchor", "digest"]).where("doc = owner").join(mixed, "anchor").select(
         "doc", "tx", "anchor", "digest", "start", "size", (F.col("n") > hot).alias("hot")
     )
-    wanted = asked.groupBy("doc", "tx").agg(F.collect_list(F.struct("anchor", "digest", "start", "size", "hot")).alias("asked"))
-    cut = texts.join(wanted, ["doc", "tx"]).dropDuplicates(["doc", "tx"]).select("doc", "tx", "text", "asked")
-    pieces = stored(
-        cut.mapInPandas(_texts(window), "doc bigint, tx bigint, anchor bigint, digest bigint, start int, words string"), "pieces"
-    )
+    listed = F.collect_list(F.struct("anchor", "digest", "start", "size", "hot"))
+    wanted = asked.groupBy("doc", "tx").agg(listed.alias("asked"))
+    # One list of numbers for each field.
+    wanted = wanted.select("doc", "tx", F.struct(*[F.col(f"asked.{c}").alias(c) for c in ("anchor", "digest", "start", "size", "hot")]).alias("asked"))
+    cut = texts.join(wanted, ["doc", "tx"]).dropDuplicates(["doc", "tx"]).select("doc", "tx", "text", "asked.*")
+    pieces = stored(cut.mapInArrow(_texts(window), PIECE), "pieces")
     cold = pieces.where("words IS NOT NULL")
     # One passage for each region; it stands for all its places in the owner.
     passages = cold.groupBy("anchor", "digest", "doc").agg(F.first("words").alias("words"))
@@ -187,17 +211,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, hot: int = HOT, shard:
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed, spans of removed words and the kept text (words joined by one blank) of each row."""
     spans = repeated_spans(docs, window).groupBy("doc", "tx").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    spans = spans.select("doc", "tx", F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("_tx"), "text")
-    joined = rows.join(spans, (rows["doc_id"] == spans["doc"]) & (rows["_tx"] == spans["tx"]), "left").select("doc_id", "text", "spans")
+    joined = rows.join(spans, (rows["doc_id"] == spans["doc"]) & (rows["_tx"] == spans["tx"]), "left").select("doc_id", "text", "lo", "hi")
 
-    def make(texts: list, every: list) -> tuple[list, list, list, list]:
+    def make(texts: list, firsts: list, ends: list) -> tuple[list, list, list, list]:
         totals, removed, spans, kept = [], [], [], []
-        for text, found in zip(texts, every):
+        for text, lo, hi in zip(texts, firsts, ends):
             words, ranges, gone = words_of(text), [], None
-            if found:
+            if lo:
                 marks = np.zeros(len(words) + 1, np.int64)
-                np.add.at(marks, [s["lo"] for s in found], 1)
-                np.add.at(marks, [s["hi"] for s in found], -1)
+                np.add.at(marks, lo, 1)
+                np.add.at(marks, hi, -1)
                 gone = np.cumsum(marks)[:-1] > 0
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
                 ranges = [{"lo": int(a), "hi": int(b)} for a, b in edges.reshape(-1, 2)]
@@ -212,4 +237,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         "n_words": ("bigint", pa.int64()), "n_removed": ("bigint", pa.int64()),
         "spans": ("array<struct<lo:int,hi:int>>", ranges), "kept": ("string", pa.string()),
     }
-    return map_texts(joined, make, fields)
+    return map_texts(joined, make, fields, done=forget)
