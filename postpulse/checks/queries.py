@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postpulse.checks.oracles import AS_OF, COMPOSITE, FEATURES, NOT_KEPT, WEIGHTS, clean, cut, present, query, r6, zscore
-from postpulse.config import RequestConfig, SelectionConfig, TextConfig
+from postpulse.config import RequestConfig, SelectionConfig, TextConfig, Tier
 from postpulse.functions import cleaning, encoding, features, scores
 from postpulse.functions import lexicon as lx
 from postpulse.operators import (
@@ -16,7 +16,7 @@ from postpulse.operators import (
 )
 from postpulse.plans import full_run
 from postpulse.session import cut_lineage, scratch_path
-from postpulse.sinks import signal_store, storage
+from postpulse.sinks import retention, signal_store, storage
 from postpulse.sources import jsonl, sample_posts, selection, tables
 from postpulse.streaming import live_signals
 
@@ -93,6 +93,23 @@ def landed(spark: SparkSession, folder: str) -> str:
     return path
 
 
+DOUBLE_MEASURES = {"sentiment_signal", "urgency_signal", "market_focus_signal", "weighted_sentiment",
+                   "sentiment_strength", "avg_sentiment", "sentiment_volume", "sentiment_ci_lower",
+                   "sentiment_ci_upper", "sentiment_ci_width", "composite_signal"}
+TOTALS = (*signals.MEANS, *signals.SUMS, "tweet_count")
+DERIVED = (*TOTALS, "sentiment_strength", "engagement_total", "avg_sentiment", "sentiment_volume")
+INTERVALS = (*DERIVED, "sentiment_ci_lower", "sentiment_ci_upper", "sentiment_ci_width")
+FINISHED = (*INTERVALS, "composite_signal")
+
+
+def measures(columns: tuple[str, ...], source: str) -> str:
+    listed = ", ".join(f"{r6(c)} AS {c}" if c in DOUBLE_MEASURES else f"CAST({c} AS BIGINT) AS {c}" for c in columns)
+    return f'SELECT "timestamp", {listed} FROM {source}'
+
+
+WRITTEN = measures(FINISHED, "windows")
+
+
 # --- sources --------------------------------------------------------------------------
 
 POST_COLUMNS = (
@@ -256,7 +273,7 @@ _candidates = ("language", "like_count", "quote_count", "tweet_id", "username")
 @register(
     "pick_partition_cols",
     " UNION ALL ".join(
-        f"SELECT {i} AS position, '{c}' AS \"column\", least(count(DISTINCT {c}), 100) AS distinct_count, "
+        f"SELECT {i} AS position, '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_count, "
         f"count(DISTINCT {c}) BETWEEN 2 AND 99 AS eligible FROM tweets"
         for i, c in enumerate(_candidates)
     ),
@@ -294,6 +311,18 @@ def retention_expired(spark, folder):
     return storage.expired_dates(dated(spark, folder), AS_OF, 15).withColumn("date", F.col("date").cast("string"))
 
 
+@register(
+    "retention_apply",
+    """SELECT tweet_id, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date FROM tweets WHERE CAST("timestamp" AS DATE) >= DATE '2024-01-16'""",
+)
+def retention_apply(spark, folder):
+    """What is left of a table of daily partitions after the expired ones were deleted."""
+    base = scratch_path(spark, "tiers")
+    dated(spark, folder).select("tweet_id", "date").write.partitionBy("date").parquet(f"{base}/raw")
+    retention.apply_retention(spark, base, AS_OF, [Tier("raw", 15)], delete=True)
+    return spark.read.parquet(f"{base}/raw").select("tweet_id", F.col("date").cast("string").alias("date"))
+
+
 @register("write_clean", "SELECT tweet_id, content_clean, content_hash FROM cleaned")
 def write_clean(spark, folder):
     path = scratch_path(spark, "processed")
@@ -301,12 +330,11 @@ def write_clean(spark, folder):
     return spark.read.parquet(path).where("run_id = 'r1'").drop("run_id")
 
 
-@register("write_signals", f'SELECT "timestamp", tweet_count, {r6("composite_signal")} AS composite_signal FROM windows')
+@register("write_signals", WRITTEN)
 def write_signals(spark, folder):
     path = scratch_path(spark, "signals")
     storage.write_run(finished(spark, folder), path, "r1")
-    stored = spark.read.parquet(path).where("run_id = 'r1'")
-    return rounded(stored.select("timestamp", "tweet_count", "composite_signal"))
+    return rounded(storage.read_run(spark, path, "r1").select("timestamp", *FINISHED))
 
 
 _summary_sql = ", ".join(
@@ -584,20 +612,6 @@ def sig_weighted_by_score(spark, folder):
 
 # --- windows -------------------------------------------------------------------------------------------
 
-DOUBLE_MEASURES = {"sentiment_signal", "urgency_signal", "market_focus_signal", "weighted_sentiment",
-                   "sentiment_strength", "avg_sentiment", "sentiment_volume", "sentiment_ci_lower",
-                   "sentiment_ci_upper", "sentiment_ci_width", "composite_signal"}
-TOTALS = (*signals.MEANS, *signals.SUMS, "tweet_count")
-DERIVED = (*TOTALS, "sentiment_strength", "engagement_total", "avg_sentiment", "sentiment_volume")
-INTERVALS = (*DERIVED, "sentiment_ci_lower", "sentiment_ci_upper", "sentiment_ci_width")
-FINISHED = (*INTERVALS, "composite_signal")
-
-
-def measures(columns: tuple[str, ...], source: str) -> str:
-    listed = ", ".join(f"{r6(c)} AS {c}" if c in DOUBLE_MEASURES else f"CAST({c} AS BIGINT) AS {c}" for c in columns)
-    return f'SELECT "timestamp", {listed} FROM {source}'
-
-
 @register("aggregate_signals", measures(TOTALS, "totals60"))
 def aggregate_signals(spark, folder):
     totals = signals.window_totals(scored(spark, folder))

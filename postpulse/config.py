@@ -5,6 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+# The defaults below are those of the sample configuration, and results depend on them.
+
+
 @dataclass(frozen=True)
 class SelectionConfig:
     hashtags: tuple[str, ...] = ("#nifty50", "#sensex", "#intraday", "#banknifty")
@@ -58,6 +61,20 @@ class StorageConfig:
     partition_columns: tuple[str, ...] = ("date", "hour")
 
 
+@dataclass(frozen=True)
+class Tier:
+    """How long a folder keeps its partitions by day, or how many of its entries."""
+
+    folder: str
+    days: int | None = None
+    latest: int | None = None
+    column: str = "date"
+
+
+# Days by tier, and models.
+RETENTION = (Tier("raw", 30), Tier("processed", 90), Tier("signals", 180), Tier("models", latest=10))
+
+
 @dataclass(frozen=True)
 class SamplingConfig:
     max_points: int = 1000

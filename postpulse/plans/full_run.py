@@ -47,8 +47,8 @@ def run_full(
     def write(stage: str, df: DataFrame) -> tuple[DataFrame, int]:
         seen = Observation(f"{stage}-{run_id}")
         storage.write_run(df.observe(seen, F.count("*").alias("n")), f"{base}/{stage}", run_id, compression)
-        written = spark.read.parquet(f"{base}/{stage}").where(F.col("run_id") == run_id).drop("run_id")
-        return written, seen.get["n"]
+        # Without the date that the write adds.
+        return storage.read_run(spark, f"{base}/{stage}", run_id).select(*df.columns), seen.get["n"]
 
     raw, n_raw = write("raw", collect_posts(posts, as_of, hours, settings.selection))
     cleaned, n_cleaned = write("processed", clean_dataframe(raw, settings))

@@ -18,6 +18,8 @@ def build_session(app: str = "postpulse", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # The older type has no statistics, so that files could not be skipped by time.
+        .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:

@@ -63,6 +63,16 @@ def add_windows(
     return _publish(store, fresh, days, before, notes)
 
 
+def drop_days(spark: SparkSession, base: str, before: str) -> list[str]:
+    """Publish a version without the days before ``before``, and name these. Their files go when the versions that hold them expire."""
+    store = VersionedTables(spark, base)
+    own = store.version()
+    old = [d for d in own.parts.get(TOTALS, {}) if d < before[:10]]
+    if old:
+        store.publish({t: store.read(t, own, []) for t in (TOTALS, STATES)}, "date", old, onto=own)
+    return sorted(old)
+
+
 def read_signals(spark: SparkSession, base: str, settings: Settings = Settings(), version: int | None = None) -> DataFrame:
     """Finished windows of a published version, the latest by default, with their ``date``."""
     store = VersionedTables(spark, base)

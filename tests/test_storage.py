@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from postpulse.config import StorageConfig
-from postpulse.sinks import storage
+from postpulse.sinks import retention, signal_store, storage
 from postpulse.sources import tables
 
 COLUMNS = "tweet_id string, timestamp timestamp, engagement_score double"
@@ -94,7 +94,7 @@ def test_partition_columns_by_cardinality(spark):
     names = ["one", "two", "n99", "n100", "many", "with_null", "none", "absent"]
     assert storage.pick_partition_cols(df, names) == ["two", "n99", "with_null"]
     report = {r["column"]: r.distinct_count for r in storage.partition_col_report(df, names).collect()}
-    assert report == {"one": 1, "two": 2, "n99": 99, "n100": 100, "many": 100, "with_null": 2, "none": 0}
+    assert report == {"one": 1, "two": 2, "n99": 99, "n100": 100, "many": 5000, "with_null": 2, "none": 0}
     assert storage.pick_partition_cols(df, ["absent"]) == []
     assert storage.pick_partition_cols(df, ["many"]) == []
 
@@ -184,3 +184,79 @@ def test_incremental_composite_equals_a_full_run(spark, data, tmp_path):
     for at, r in out.items():
         for c in ("tweet_count", "composite_signal", "sentiment_ci_lower", "sentiment_ci_width", "weighted_sentiment"):
             assert r[c] == (None if whole[at][c] is None else pytest.approx(whole[at][c], rel=1e-12, abs=1e-12)), c
+
+
+def test_a_save_runs_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).selectExpr("id", "id % 3 AS date", "id AS hour").mapInArrow(count, "id bigint, date bigint, hour bigint")
+    path = storage.save_table(df, str(tmp_path), "t", "append")
+    assert seen.value == 500 and {p.name for p in Path(path).glob("*=*")} == {"date=0", "date=1", "date=2"}
+    assert spark.read.parquet(path).count() == 500
+    assert storage.save_table(df.where("id < 0"), str(tmp_path), "none") == "" and seen.value == 1000
+    assert not (tmp_path / "none").exists()
+
+
+def test_files_of_a_run_are_pruned(spark, data, tmp_path):
+    """Dates choose folders, and times of a day choose files, by their statistics."""
+    rows = spark.range(20_000).selectExpr("id", "timestamp_micros(1704067200000000 + id * 60000000) AS timestamp")
+    storage.write_run(rows.repartition(8), str(tmp_path / "runs"), "r 1:a")
+    back = spark.read.parquet(str(tmp_path / "runs"))
+    assert {r.run_id for r in back.select("run_id").distinct().collect()} == {"r 1:a"}
+    found = tables.in_time_range(storage.read_run(spark, str(tmp_path / "runs"), "r 1:a"), "2024-01-03 06:00:00", "2024-01-03 07:00:00")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "date" in plan.split("PartitionFilters: [")[1].split("]")[0] and "timestamp" in plan.split("PushedFilters: [")[1].split("]")[0]
+    assert found.count() == 61
+    import pyarrow.parquet as pq
+
+    spans = []
+    for file in files(tmp_path / "runs"):
+        times = pq.read_table(file).column("timestamp").to_pylist()
+        stats = pq.read_metadata(file).row_group(0).column(1).statistics
+        assert times == sorted(times) and (stats.min, stats.max) == (times[0], times[-1])
+        spans.append((times[0], times[-1]))
+    spans.sort()
+    assert len(spans) == 14 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    storage.write_run(rows.limit(5), str(tmp_path / "runs"), "r 1:a")
+    assert spark.read.parquet(str(tmp_path / "runs")).count() == 5
+
+
+def test_retention_of_all_tiers(spark, tmp_path):
+    base = str(tmp_path)
+    days = spark.range(400).selectExpr("id", "date_sub(DATE '2025-01-31', CAST(id AS INT)) AS date")
+    days.coalesce(1).write.partitionBy("date").parquet(f"{base}/raw")
+    days.coalesce(1).withColumn("run_id", F.lit("r1")).write.partitionBy("run_id", "date").parquet(f"{base}/processed")
+    days.coalesce(1).write.partitionBy("date").parquet(f"{base}/signals")
+    for i in range(13):
+        storage.save_model(spark.range(1), f"{base}/models/model_202501{i + 10}_000000")
+    (tmp_path / "raw" / "date=unknown").mkdir()
+    kept = {"raw": 31, "processed": 91, "signals": 181}
+    report = retention.apply_retention(spark, base, "2025-01-31 12:00:00")
+    counts = {r.tier: r.n for r in report.groupBy("tier").agg(F.count("*").alias("n")).collect()}
+    assert counts == {t: 400 - n for t, n in kept.items()} | {"models": 3}
+    assert all(r.files == 1 and r.bytes > 0 for r in report.where("tier != 'models'").collect())
+    # Nothing goes without being asked for.
+    assert all(spark.read.parquet(f"{base}/{t}").count() == 400 for t in kept)
+    retention.apply_retention(spark, base, "2025-01-31", delete=True)
+    assert {t: spark.read.parquet(f"{base}/{t}").count() for t in kept} == kept
+    assert sorted(p.name for p in (tmp_path / "models").iterdir() if p.name.startswith("model")) == [f"model_202501{i + 10}_000000" for i in range(3, 13)]
+    assert (tmp_path / "raw" / "date=unknown").exists()
+    assert retention.apply_retention(spark, base, "2025-01-31", delete=True).count() == 0
+    assert retention.apply_retention(spark, str(tmp_path / "nowhere"), "2025-01-31", delete=True).count() == 0
+
+
+def test_days_leave_the_signal_store(spark, data, tmp_path):
+    from postpulse.checks.queries import AS_OF, posts as given_posts
+    from postpulse.plans import full_run
+
+    store = str(tmp_path / "store")
+    before = full_run.run_incremental(given_posts(spark, data), store, AS_OF, 96)
+    assert signal_store.drop_days(spark, store, "2024-01-29") == ["2024-01-27", "2024-01-28"]
+    left = signal_store.read_signals(spark, store)
+    assert {str(r.date) for r in left.select("date").distinct().collect()} == {"2024-01-29", "2024-01-30"}
+    assert before.count() > left.count() and signal_store.drop_days(spark, store, "2024-01-29") == []
