@@ -101,9 +101,14 @@ def fit_vocabulary(
     Terms rank by occurrences; equal ones alphabetically.
     """
     stats = term_stats(term_counts(posts, text_col, id_col, cfg, stop_words))
+    return choose_terms(stats, posts.agg(F.count("*")), cfg)
+
+
+def choose_terms(stats: DataFrame, n_docs: DataFrame, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
+    """The vocabulary from the statistics of all terms, and the one value of ``n_docs``."""
     kept = (
         stats.where(F.col("doc_freq") >= cfg.min_df)
-        .withColumn("n_docs", posts.agg(F.count("*")).scalar())
+        .withColumn("n_docs", n_docs.scalar())
         .where(F.col("doc_freq") <= cfg.max_df * F.col("n_docs"))
         .orderBy(F.desc("term_freq"), "term")
         .limit(cfg.max_features)

@@ -12,7 +12,7 @@ from postpulse.operators.dedupe import dedupe_by_hash
 from postpulse.operators.reports import signal_summary
 from postpulse.operators.signals import aggregate_signals, finish_windows, generate_signals, individual_signals, window_totals
 from postpulse.session import cut_lineage
-from postpulse.sinks import signal_store, storage
+from postpulse.sinks import signal_store, storage, term_store
 from postpulse.sources.selection import collect_posts, since_day
 
 
@@ -39,7 +39,7 @@ def run_full(
     spark: SparkSession, posts: DataFrame, base_path: str, run_id: str, as_of: str,
     hours: int | None = None, settings: Settings = Settings(),
 ) -> dict[str, int]:
-    """Collect, clean, score and store. Each stage reads what the one before it wrote, and
+    """Collect, clean, score, store, and learn the vocabulary. Each stage reads what the one before it wrote, and
     its rows are counted while they are written."""
     base = base_path.rstrip("/")
     compression = settings.storage.compression
@@ -54,7 +54,10 @@ def run_full(
     cleaned, n_cleaned = write("processed", clean_dataframe(raw, settings))
     windows, n_windows = write("signals", generate_signals(cleaned, settings))
     storage.write_summary_json(signal_summary(windows), f"{base}/analysis/{run_id}")
-    return {"collected": n_raw, "cleaned": n_cleaned, "windows": n_windows}
+    # Terms of the run's days, added to those of the days stored before.
+    term_store.replace_days(spark, f"{base}/models", cleaned, cfg=settings.tfidf)
+    vocabulary = term_store.load_vocabulary(spark, f"{base}/models", settings.tfidf)
+    return {"collected": n_raw, "cleaned": n_cleaned, "windows": n_windows, "terms": vocabulary.count()}
 
 
 def incremental_posts(posts: DataFrame, as_of: str, hours: int = 1) -> DataFrame:

@@ -107,3 +107,29 @@ def test_hot_term(spark):
     )
     rows = {r.term: (r.doc_freq, r.term_freq) for r in tfidf.term_stats(tfidf.term_counts(posts)).collect()}
     assert rows["hot"] == (3000, 6000) and rows["rare"] == (1000, 1000) and rows["hot often"] == (2000, 2000)
+
+
+def test_vocabulary_of_days_adds_up(spark, data, tmp_path):
+    from postpulse.checks.queries import cleaned
+    from postpulse.sinks import term_store, versioned
+
+    base = str(tmp_path / "models")
+    posts = cleaned(spark, data).select("tweet_id", "timestamp", "content_clean").cache()
+    posts = posts.union(spark.createDataFrame([("x", None, "market market undated"), ("y", None, "")], posts.schema)).cache()
+    late = F.to_date("timestamp") >= "2024-01-12"
+    whole = sorted(map(tuple, tfidf.fit_vocabulary(posts).collect()))
+    first = term_store.replace_days(spark, base, posts.where(~late | F.col("timestamp").isNull()))
+    part = sorted(map(tuple, term_store.load_vocabulary(spark, base).collect()))
+    term_store.replace_days(spark, base, posts.where(late))
+    # A day that is run again doesn't count twice.
+    again = posts.where("to_date(timestamp) = DATE '2024-01-15'")
+    last = term_store.replace_days(spark, base, again)
+    assert sorted(map(tuple, term_store.load_vocabulary(spark, base).collect())) == whole != part
+    assert sorted(map(tuple, term_store.load_vocabulary(spark, base, version=first.number).collect())) == part
+    assert last.number == 3 and versioned.VersionedTables(spark, base).versions() == [1, 2, 3]
+    with pytest.raises(ValueError):
+        term_store.replace_days(spark, base, again, cfg=TfidfConfig(ngram_range=(1, 3)))
+    # A loaded model weighs posts as a fitted one.
+    model = term_store.load_vocabulary(spark, base)
+    rows = lambda m: sorted(map(tuple, tfidf.tfidf_vectors(again, m).collect()))
+    assert rows(model) == rows(tfidf.fit_vocabulary(posts))
