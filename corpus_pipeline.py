@@ -2,6 +2,10 @@
 class, no benchmark passages, packed into token sequences.
 
 Each stage writes Parquet and the next one reads it. All but the last keep the columns of ``documents``.
+
+Defined results: documents with a NULL or empty text, or none with a letter, have no language and go in the first stage, and pass the others if these
+are given them; a document without an id is never the one of a class that goes; repeated rows keep or lose the same lines, and of
+near duplicates the smallest id stays; an empty table passes every stage empty; further columns are kept up to packing, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,9 +28,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Runs of lines that occur earlier are cut out of the texts; a document of which nothing stays is dropped."""
+    """Runs of lines of eight words or more, and whole shorter texts, that occur earlier are cut out; a document of which nothing stays is dropped."""
     small_batches(spark)
-    return line_dedup.drop_repeated_runs(docs)
+    return line_dedup.drop_repeated_runs(docs, least=line_dedup.LEAST)
 
 
 def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
