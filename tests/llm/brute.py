@@ -114,3 +114,28 @@ def line_runs(docs, run=4):
             if not x.strip(" \t\r") and i and i - 1 in gone[d]:
                 gone[d].add(i)
     return {d: [x for i, x in enumerate(lines[d]) if i not in gone[d]] for d in lines}
+
+
+def line_passages(docs, least=8):
+    """Lines kept of each document: runs of non-blank lines of ``least`` words or more, and whole shorter texts, that occur earlier are deleted."""
+    lines = {d: (t or "").split("\n") for d, t in docs}
+    size = lambda x: max(len([w for w in re.split(r"[ \t\r]+", x.strip(" \t\r"))]), len(x) // 8)
+    seen, kept = set(), {}
+    for d in sorted(lines):
+        full = [i for i, x in enumerate(lines[d]) if x.strip(" \t\r")]
+        cut = set()
+        for a in range(len(full)):
+            words = 0
+            for b in range(a + 1, len(full) + 1):
+                words += size(lines[d][full[b - 1]])
+                run = tuple(lines[d][i] for i in full[a:b])
+                if words >= least or b - a == len(full):
+                    if run in seen:
+                        cut.update(full[a:b])
+                    seen.add(run)
+                # A longer run consists of units, which have at most ``least`` lines.
+                if words >= least and b - a >= least:
+                    break
+        cut |= {i for i, x in enumerate(lines[d]) if not x.strip(" \t\r") and i - 1 in cut}
+        kept[d] = [x for i, x in enumerate(lines[d]) if i not in cut]
+    return kept
