@@ -1,7 +1,7 @@
 """Known licence texts and notices in documents, by the digest of a canonical form; DataFrame functions only.
 
-Units are the whole text, each paragraph (between blank lines) and each line; whole licences are also found anywhere inside a text,
-by their canonical form. The whole text may have a usual heading. A unit is brought to a canonical form: lower case,
+Units are the whole text, each paragraph (between blank lines) and each line; whole licences are also found anywhere inside a text:
+where their first words stand, the run of as many words as they have is a unit. The whole text may have a usual heading. A unit is brought to a canonical form: lower case,
 copyright lines dropped, equivalent spellings made equal, every run of other characters than letters and digits one
 blank. The SHA-256 of this form is joined with the digests of the known texts, which are a small fixed table. Only texts
 with a word that every known text contains are cut into units.
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from postpulse.llm.common import HASH, ID, KEY, keyed
 
+#: Words by which the place of a whole licence in a text is found.
+HEAD = 8
 #: Each known text holds one of these.
 MARKERS = ("licen", "software")
 
@@ -125,11 +127,13 @@ def whole_texts() -> list[tuple[str, str]]:
 
 def canonical(text: Column) -> Column:
     """The form that is digested."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " "), r"[^\p{L}\p{N}]+", " ")
+    words = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " "), r"[^\p{L}\p{N}]+", "  ")
+    # Two blanks between words, so that of neighbouring spellings each has its own.
     out = F.concat(F.lit(" "), F.btrim(words), F.lit(" "))
-    for old, new in SPELLINGS:
-        out = F.replace(out, F.lit(f" {old} "), F.lit(f" {new} "))
-    return F.btrim(out)
+    for pair in SPELLINGS:
+        old, new = (f" {x.replace(' ', '  ')} " for x in pair)
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return F.btrim(F.replace(out, F.lit("  "), F.lit(" ")))
 
 
 def known_digests(spark: SparkSession) -> DataFrame:
@@ -155,11 +159,33 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     digests = cut.where("form != ''").select(*KEY, "unit", "number", F.sha2(F.col("form").cast("binary"), 256).alias("digest"))
     # The known texts are the fixed table above.
     found = digests.join(F.broadcast(known_digests(docs.sparkSession)), "digest").select(*KEY, "unit", "number", "license")
-    inside = docs.sparkSession.createDataFrame(whole_texts(), "license string, text string")
-    inside = inside.select("license", F.concat(F.lit(" "), canonical(F.col("text")), F.lit(" ")).alias("known"))
-    forms = marked.select(*KEY, F.concat(F.lit(" "), canonical(F.col("_text")), F.lit(" ")).alias("form"))
-    passages = forms.join(F.broadcast(inside), F.col("form").contains(F.col("known")))
-    return found.union(passages.select(*KEY, F.lit("passage").alias("unit"), F.lit(0).alias("number"), "license"))
+    return found.union(whole_passages(marked).select(*KEY, F.lit("passage").alias("unit"), F.lit(0).alias("number"), "license"))
+
+
+def known_passages(spark: SparkSession) -> DataFrame:
+    """license, first words, number of words and digest of each whole licence."""
+    table = spark.createDataFrame(whole_texts(), "license string, text string").select("license", canonical(F.col("text")).alias("form"))
+    words = F.split("form", " ")
+    return table.select(
+        "license", F.array_join(F.slice(words, 1, HEAD), " ").alias("head"), F.size(words).alias("size"),
+        F.sha2(F.col("form").cast("binary"), 256).alias("digest"),
+    ).distinct()
+
+
+def whole_passages(marked: DataFrame) -> DataFrame:
+    """Key and licence of each whole licence anywhere in a text: where a text has the first words of one, as many words from there on as this licence
+    has are digested, and looked up by first words and digest."""
+    known = known_passages(marked.sparkSession)
+    # One row for each licence.
+    heads = sorted({r.head for r in known.select("head").collect()})
+    forms = marked.select(*KEY, canonical(F.col("_text")).alias("form")).where(F.col("form").rlike(f"(?:^| )(?:{'|'.join(heads)})(?: |$)"))
+    words = forms.select(*KEY, F.split("form", " ").alias("_words"))
+    head_at = lambda i: F.array_join(F.slice("_words", i, HEAD), " ")
+    places = F.filter(F.sequence(F.lit(1), F.size("_words")), lambda i: F.array_contains(F.array(*map(F.lit, heads)), head_at(i)))
+    spots = words.select(*KEY, "_words", F.explode(places).alias("_at")).withColumn("head", head_at(F.col("_at")))
+    found = spots.join(F.broadcast(known.select("license", "head", "size", F.col("digest").alias("_known"))), "head")
+    run = F.array_join(F.slice("_words", F.col("_at"), F.col("size")), " ")
+    return found.where(F.sha2(run.cast("binary"), 256) == F.col("_known")).select(*KEY, "license")
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:

@@ -388,6 +388,22 @@ def test_whole_licenses_in_their_usual_form(spark):
         assert n in got[100 + i][0] and got[100 + i][1] is None
 
 
+def test_licences_by_digests_only(spark):
+    """Neighbouring spellings, several licences in one text, almost whole ones; no scan of texts for each known one."""
+    whole = dict(licenses.whole_texts())
+    isc, mit = whole["ISC"], whole["MIT"]
+    texts = [(1, f"first {isc} then {mit} and {isc} end"), (2, f"a {mit[:-30]} b"), (3, f"a {isc.replace(' ', '  ').upper()} b"),
+             (4, "licence licence licenced organisation organisation")]
+    docs = frame(spark, texts)
+    found = licenses.scan_licenses(docs)
+    got = {r.doc_id: r.licenses for r in found.collect()}
+    assert got == {1: ["ISC", "MIT"], 2: [], 3: ["ISC"], 4: []}
+    form = docs.where("doc_id = 4").select(licenses.canonical(F.col("text"))).first()[0]
+    assert form == "license license licensed organization organization"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
 def test_secret_formats_are_learned(spark):
     rng = random.Random(1)
     keys = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(80)]
