@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,20 +22,29 @@ def from_micros(value: Column, like: str = "timestamp") -> Column:
     return F.timestamp_micros(value).cast(like)
 
 
-def with_bucket(df: DataFrame, width_minutes: int, ts_col: str = "timestamp", name: str = "bucket") -> DataFrame:
+def with_bucket(df: DataFrame, width_minutes: int, ts_col: str = "timestamp", name: str = "bucket", origin: int | None = None) -> DataFrame:
     """Add the start of each row's bucket, in epoch microseconds. Rows without time are left out.
 
-    Buckets count from midnight of the first day. Where the width divides a day that is the
+    Buckets count from ``origin`` (epoch microseconds), or from midnight of the first day. Where the width divides a day that is the
     same for every day, and the data need not be read to find the first one.
     """
     dated = df.where(F.col(ts_col).isNotNull())
     at = micros(F.col(ts_col))
     width = width_minutes * MINUTE
-    if DAY % width == 0:
-        return dated.withColumn(name, at - F.pmod(at, F.lit(width)))
-    first = dated.agg(F.min(at)).scalar()
-    origin = first - F.pmod(first, F.lit(DAY))
-    return dated.withColumn(name, at - F.pmod(at - origin, F.lit(width)))
+    if origin is not None:
+        start = F.lit(origin)
+    elif DAY % width == 0:
+        start = F.lit(0)
+    else:
+        first = dated.agg(F.min(at)).scalar()
+        start = first - F.pmod(first, F.lit(DAY))
+    return dated.withColumn(name, at - F.pmod(at - start, F.lit(width)))
+
+
+def origin_of(day: str, width_minutes: int) -> int:
+    """Midnight (UTC) of a day in epoch microseconds, from which windows of this width count; 0 where every day is the same."""
+    width = width_minutes * MINUTE
+    return 0 if DAY % width == 0 else (date.fromisoformat(day[:10]) - date(1970, 1, 1)).days * DAY
 
 
 def bucket_spine(buckets: DataFrame, width_minutes: int, name: str = "bucket", most: int = MOST_BUCKETS) -> DataFrame:

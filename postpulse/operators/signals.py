@@ -91,9 +91,9 @@ def total_columns(signals: DataFrame) -> list[Column]:
     return [*means, *sums, F.count("*").alias("tweet_count")]
 
 
-def window_totals(signals: DataFrame, window_minutes: int = 60) -> DataFrame:
+def window_totals(signals: DataFrame, window_minutes: int = 60, origin: int | None = None) -> DataFrame:
     """Means, sums and row count of every bucket that has posts, keyed by ``bucket``."""
-    return with_bucket(signals, window_minutes).groupBy("bucket").agg(*total_columns(signals))
+    return with_bucket(signals, window_minutes, origin=origin).groupBy("bucket").agg(*total_columns(signals))
 
 
 def gap_fill_windows(windows: DataFrame, window_minutes: int = 60) -> DataFrame:

@@ -70,14 +70,16 @@ def incremental_posts(posts: DataFrame, as_of: str, hours: int = 1) -> DataFrame
 
 def run_incremental(posts: DataFrame, path: str, as_of: str, hours: int = 1, settings: Settings = Settings()) -> DataFrame:
     """Score the look-back, publish its days in the signal store at ``path``, also those that no longer have posts, and give the
-    finished windows of all stored days. Duplicates are found within the look-back."""
+    finished windows of all stored days. Duplicates are found within the look-back. Windows whose width does not divide a day count from the first day of
+    the first run, in all later runs too."""
     spark = posts.sparkSession
     kind = dict(posts.dtypes)["timestamp"]
     scored = scored_posts(incremental_posts(posts, as_of, hours), settings)
-    totals = window_totals(scored, settings.signals.window_minutes)
-    totals = totals.select(from_micros(F.col("bucket"), kind).alias("timestamp"), *[c for c in totals.columns if c != "bucket"])
     days = F.explode(F.sequence(F.to_date(since_day(as_of, hours)), F.to_date(F.lit(as_of))))
     # One row for each day of the look-back.
     dates = [str(r.date) for r in spark.range(1).select(days.alias("date")).collect()]
-    signal_store.replace_days(spark, path, totals, dates, settings)
+    origin = signal_store.origin(spark, path, dates[0], settings)
+    totals = window_totals(scored, settings.signals.window_minutes, origin)
+    totals = totals.select(from_micros(F.col("bucket"), kind).alias("timestamp"), *[c for c in totals.columns if c != "bucket"])
+    signal_store.replace_days(spark, path, totals, dates, settings, origin)
     return signal_store.read_signals(spark, path, settings)

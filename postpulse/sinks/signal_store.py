@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postpulse.config import Settings
-from postpulse.functions.timebuckets import MINUTE, from_micros, micros
+from postpulse.functions.timebuckets import MINUTE, from_micros, micros, origin_of
 from postpulse.operators import signals
 from postpulse.session import cut_lineage
 from postpulse.sinks.versioned import Version, VersionedTables
@@ -27,28 +27,38 @@ def _publish(store: VersionedTables, totals: DataFrame, days: Iterable[str], bef
     return store.publish({TOTALS: dated, STATES: signals.day_states(totals)}, "date", days, notes, before)
 
 
-def _width(settings: Settings, before: Version) -> dict[str, str]:
-    """The width of windows, which may not change within a store."""
-    width = str(settings.signals.window_minutes)
-    if before.notes.get("window_minutes", width) != width:
-        raise ValueError(f"the store holds windows of {before.notes['window_minutes']} minutes, not {width}")
-    return {"window_minutes": width}
+def _layout(settings: Settings, before: Version, origin: int) -> dict[str, str]:
+    """The width and origin of windows, which may not change within a store."""
+    notes = {"window_minutes": str(settings.signals.window_minutes), "origin": str(origin)}
+    for name, value in notes.items():
+        if before.notes.get(name, value) != value:
+            raise ValueError(f"the store holds windows with {name} {before.notes[name]}, not {value}")
+    return notes
 
 
-def replace_days(spark: SparkSession, base: str, totals: DataFrame, days: Iterable[str], settings: Settings = Settings()) -> Version:
+def origin(spark: SparkSession, base: str, first_day: str, settings: Settings = Settings()) -> int:
+    """Where the windows of the store count from: for a new one, from midnight of ``first_day``."""
+    known = VersionedTables(spark, base).version().notes.get("origin")
+    return origin_of(first_day, settings.signals.window_minutes) if known is None else int(known)
+
+
+def replace_days(
+    spark: SparkSession, base: str, totals: DataFrame, days: Iterable[str], settings: Settings = Settings(), origin: int = 0
+) -> Version:
     """Put the windows of ``totals`` (with ``timestamp``) in the place of all windows of ``days``, also of days without any."""
     store = VersionedTables(spark, base)
     before = store.version()
-    return _publish(store, cut_lineage(totals), days, before, _width(settings, before))
+    return _publish(store, cut_lineage(totals), days, before, _layout(settings, before, origin))
 
 
 def add_windows(
-    spark: SparkSession, base: str, totals: DataFrame, settings: Settings = Settings(), writer: str = "", batch_id: int | None = None
+    spark: SparkSession, base: str, totals: DataFrame, settings: Settings = Settings(), writer: str = "", batch_id: int | None = None,
+    origin: int = 0,
 ) -> Version:
     """Add new windows to their days. A batch of a writer that the store has is not added again."""
     store = VersionedTables(spark, base)
     before = store.version()
-    notes, note = _width(settings, before), f"batch of {writer}"
+    notes, note = _layout(settings, before, origin), f"batch of {writer}"
     if batch_id is not None:
         if int(before.notes.get(note, -1)) >= batch_id:
             return before

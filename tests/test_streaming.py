@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postpulse.checks.queries import posts
 from postpulse.config import Settings, SignalConfig
 from postpulse.operators import cleaning, signals
+from postpulse.plans import full_run
 from postpulse.sinks import files, signal_store, versioned
 from postpulse.sources import jsonl
 from postpulse.sources.sample_posts import raw_lines
@@ -78,6 +79,25 @@ def test_composite_is_rebuilt_from_stored_windows(spark, data, feed, tmp_path):
     assert 0 < first.count() < out.count()
 
 
+def test_odd_widths_count_from_the_first_day(spark, data, feed, tmp_path):
+    """Windows of 7 minutes are those of the batch, in the stream and in incremental runs."""
+    settings = Settings(signals=SignalConfig(window_minutes=7), deduplicate=False)
+    raw = jsonl.stream_jsonl(spark, feed, files_per_trigger=5)
+    given = posts(spark, data)
+    first = str(given.agg(F.min("timestamp")).first()[0])
+    live_signals.start_stream_signals(raw, str(tmp_path / "out"), str(tmp_path / "state"), settings, first_day=first).awaitTermination(300)
+    scored = full_run.scored_posts(given.withColumn("timestamp", F.col("timestamp").cast("timestamp")), settings)
+    want = keyed(signals.window_totals(scored, 7).withColumn("timestamp", F.timestamp_micros("bucket")), TOTALS)
+    got = keyed(spark.read.parquet(str(tmp_path / "out")), TOTALS)
+    assert got.items() <= want.items() and len(got) > 0.9 * len(want)
+    store, last = str(tmp_path / "store"), given.where("timestamp >= TIMESTAMP_NTZ '2024-01-27'")
+    for day in ("28 23:59:59", "30 23:59:59"):
+        out = full_run.run_incremental(last, store, f"2024-01-{day}", 47, settings)
+    whole = full_run.posts_to_signals(last, settings)
+    columns = ["timestamp", "tweet_count", "like_count", "composite_signal"]
+    assert keyed(out, columns) == keyed(whole, columns)
+
+
 def test_a_batch_is_published_once(spark, data, tmp_path, monkeypatch):
     """A crash before publishing leaves readers at the old version, and the batch is written again; one after it changes nothing."""
     store, totals = str(tmp_path / "store"), batch(spark, data).drop("bucket").cache()
