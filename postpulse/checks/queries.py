@@ -161,7 +161,7 @@ def scan_parquet(spark, folder):
     "dataset_stats",
     """SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(1 AS BIGINT) AS num_files, CAST(11 AS BIGINT) AS num_columns,
     'l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate'
-    AS columns FROM lineitem""",
+    AS columns, '' AS partition_columns FROM lineitem""",
 )
 def dataset_stats(spark, folder):
     return tables.dataset_stats(spark.read.parquet(f"{folder}/lineitem.parquet")).drop("total_size_mb")

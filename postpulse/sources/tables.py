@@ -62,14 +62,20 @@ def query_data(
 
 
 def dataset_stats(df: DataFrame) -> DataFrame:
-    """Rows, files and megabytes behind a scan of files. Files without rows are not counted."""
-    files = df.groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes")).agg(
+    """Rows, files, megabytes, columns and partition columns behind a scan of files. Files without rows are not counted.
+
+    No column is read: the rows of a file are counted by its footer, and the partition columns are those that its path names.
+    """
+    path = F.col("_metadata.file_path")
+    named = F.filter(F.regexp_extract_all(path, F.lit("([^/=]+)=[^/]*/"), F.lit(1)), lambda c: c.isin(*df.columns))
+    files = df.groupBy(path.alias("file"), F.col("_metadata.file_size").alias("bytes"), F.array_join(named, ",").alias("parts")).agg(
         F.count("*").alias("n")
     )
     return files.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.count("*").alias("num_files"),
         F.coalesce(F.sum("bytes") / (1024 * 1024), F.lit(0.0)).alias("total_size_mb"),
+        F.coalesce(F.max("parts"), F.lit("")).alias("partition_columns"),
     ).withColumns(
         {
             "num_columns": F.lit(len(df.columns)).cast("bigint"),

@@ -150,6 +150,18 @@ def test_dataset_stats(spark, posts, tmp_path):
     assert row.total_size_mb == pytest.approx(size)
 
 
+def test_stats_read_footers_and_name_partitions(spark, posts, tmp_path):
+    path = str(tmp_path / "by=odd" / "t")
+    storage.save_tweets(posts, path)
+    stats = tables.dataset_stats(spark.read.parquet(path))
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    row = stats.first()
+    assert (row.total_rows, row.num_files, row.partition_columns) == (200, 100, "date,hour")
+    assert row.total_size_mb == pytest.approx(sum(f.stat().st_size for f in files(path)) / 1024**2)
+    assert tables.dataset_stats(spark.read.parquet(path).limit(0)).first().partition_columns == ""
+
+
 def test_full_and_incremental_runs(spark, data, tmp_path):
     from postpulse.checks.queries import AS_OF, posts as given_posts
     from postpulse.plans import full_run
