@@ -37,7 +37,7 @@ def rate_audit(log: DataFrame, cfg: RequestConfig = RequestConfig(), crowd: int
     so that the calls of one hour spread over many tasks. Clients are told apart by one count of the log first.
     """
     call = log.select("request_id", "client", micros(F.col("ts")).alias("at"))
-    busy = cut_lineage(busy_clients(call, crowd))
+    busy = busy_clients(call, crowd)
     if busy.isEmpty():
         return _verdicts(_by_hour(call), cfg)
     # At most ``BROADCAST_ROWS`` clients.
@@ -96,11 +96,13 @@ def busy_clients(call: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Clients with more than ``crowd`` calls in an hour, and the width of their slices: a second, if a minute holds as many, else a
     minute. Where so many clients are busy that they could not be broadcast, ``crowd`` grows with the log."""
     hours = cut_lineage(call.groupBy("client", _hour(F.col("at")).alias("hour")).agg(F.count("*").alias("n")).where(F.col("n") > crowd))
+    if hours.isEmpty():
+        return hours.select("client", F.lit(MINUTE).cast("bigint").alias("width"))
     # A client with more than ``limit`` calls takes that share of all these hours.
     limit = F.greatest(F.lit(crowd), hours.agg(F.floor(F.sum("n") / BROADCAST_ROWS)).scalar())
     busy = hours.where(F.col("n") > limit).select("client").distinct()
     minutes = call.join(F.broadcast(busy), "client").groupBy("client", F.floor(F.col("at") / MINUTE).alias("minute")).agg(F.count("*").alias("n"))
-    return minutes.groupBy("client").agg(F.when(F.max("n") > crowd, SECOND).otherwise(MINUTE).cast("bigint").alias("width"))
+    return cut_lineage(minutes.groupBy("client").agg(F.when(F.max("n") > crowd, SECOND).otherwise(MINUTE).cast("bigint").alias("width")))
 
 
 def _by_slice(call: DataFrame) -> DataFrame:
