@@ -64,6 +64,11 @@ def stored(spark: SparkSession, folder: str) -> DataFrame:
     return cut_lineage(cleaned(spark, folder))
 
 
+def stored_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts of cleaned posts alone, materialised as above."""
+    return cut_lineage(cleaned(spark, folder).select("tweet_id", "content_clean"))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     return full_run.scored_posts(posts(spark, folder))
 
@@ -785,17 +790,17 @@ def term_stats(spark, folder):
 
 @register("fit_vocabulary", "SELECT term, doc_freq, term_freq, n_docs FROM vocabulary")
 def fit_vocabulary(spark, folder):
-    return tfidf.fit_vocabulary(stored(spark, folder)).select("term", "doc_freq", "term_freq", "n_docs")
+    return tfidf.fit_vocabulary(stored_texts(spark, folder)).select("term", "doc_freq", "term_freq", "n_docs")
 
 
 @register("idf", f"SELECT term, {r6('idf')} AS idf FROM vocabulary")
 def idf(spark, folder):
-    return rounded(tfidf.fit_vocabulary(stored(spark, folder)).select("term", "idf"))
+    return rounded(tfidf.fit_vocabulary(stored_texts(spark, folder)).select("term", "idf"))
 
 
 def fitted(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Posts, stored because they are read twice and more, and the model fitted on them."""
-    df = cut_lineage(cleaned(spark, folder).select("tweet_id", "content_clean"))
+    df = stored_texts(spark, folder)
     return df, cut_lineage(tfidf.fit_vocabulary(df))
 
 
@@ -818,7 +823,7 @@ def tfidf_row_stats(spark, folder):
 @register("save_model", f"SELECT term, doc_freq, term_freq, {r6('idf')} AS idf, n_docs FROM vocabulary")
 def save_model(spark, folder):
     path = scratch_path(spark, "model")
-    storage.save_model(tfidf.fit_vocabulary(stored(spark, folder)), path)
+    storage.save_model(tfidf.fit_vocabulary(stored_texts(spark, folder)), path)
     return rounded(storage.load_model(spark, path))
 
 

@@ -6,12 +6,19 @@ post, are ever shuffled; (post, term) pairs are not.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import replace
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postpulse.config import TfidfConfig
 from postpulse.functions.lexicon import ENGLISH_STOP_WORDS, TOKEN
-from postpulse.operators.frames import broadcast_if_small
+from postpulse.operators.frames import BROADCAST_ROWS, broadcast_if_small
+from postpulse.session import cut_lineage
 
 
 def tokenize(text: Column) -> Column:
@@ -39,6 +46,78 @@ def ngrams(tokens: Column, ngram_range: tuple[int, int] = (1, 2)) -> Column:
     return F.concat(*wanted)
 
 
+def _grams(ngram_range: tuple[int, int], only: Sequence[str] | None = None, terms: Sequence[str] | None = None) -> Callable[[pa.Array], Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]]:
+    """A function of texts that gives, for each length, the n-grams of words that blanks part, and row, n-gram and count of each distinct one of a row.
+    With ``only``, n-grams that hold any other word are left out; with ``terms``, all others than these.
+
+    It is defined here so that it travels to the workers by value and needs no package there.
+    """
+    low, high = ngram_range
+    if terms is not None:
+        only = sorted({word for term in terms for word in term.split(" ")})
+    wanted, wanted_grams = (None if given is None else pa.array(given, pa.string()) for given in (only, terms))
+
+    def found_in(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        found = lists.flatten().dictionary_encode()
+        row, code, names = np.repeat(np.arange(len(texts)), pc.list_value_length(lists)), found.indices.to_numpy().astype(np.int64), found.dictionary
+        # An empty text splits into one empty word.
+        some = pc.binary_length(names).to_numpy()[code] > 0
+        row, code = row[some], code[some]
+        usual = np.ones(len(code), bool) if wanted is None else pc.is_in(names, value_set=wanted).to_numpy(zero_copy_only=False)[code]
+        # Where n-grams start, and which one does so there.
+        starts, at = np.flatnonzero(usual), code.copy()
+        grams, gram = names, code[starts]
+        for n in range(1, high + 1):
+            if n > 1:
+                at[starts] = gram
+                starts = starts[starts < len(row) - n + 1]
+                starts = starts[(row[starts] == row[starts + n - 1]) & usual[starts + n - 1]]
+                key = pa.array(at[starts] * len(names) + code[starts + n - 1]).dictionary_encode()
+                pair = key.dictionary.to_numpy()
+                gram = key.indices.to_numpy().astype(np.int64)
+                # The n-gram before, and the word after it.
+                grams = pc.binary_join_element_wise(grams.take(pa.array(pair // len(names))), names.take(pa.array(pair % len(names))), " ")
+            if n >= low:
+                pairs, times = np.unique(row[starts] * max(1, len(grams)) + gram, return_counts=True)
+                if wanted_grams is not None:
+                    kept = pc.is_in(grams, value_set=wanted_grams).to_numpy(zero_copy_only=False)[pairs % max(1, len(grams))]
+                    pairs, times = pairs[kept], times[kept]
+                yield grams, pairs // max(1, len(grams)), pairs % max(1, len(grams)), times
+
+    return found_in
+
+
+def gram_counts(words: Column, ngram_range: tuple[int, int] = (1, 2), terms: Sequence[str] | None = None) -> Column:
+    """The distinct n-grams of words that blanks part, with their counts; with ``terms``, of these alone.
+
+    Expressions over arrays of strings copy and compare every term; here a batch of rows works on numbers, and only distinct terms are spelled.
+    """
+
+    found_in = _grams(ngram_range, terms=terms)
+
+    @F.arrow_udf("array<struct<term:string,n:bigint>>")
+    def count(texts: pa.Array) -> pa.Array:
+        levels = list(found_in(texts))
+        row = np.concatenate([r for _, r, _, _ in levels])
+        order = np.argsort(row, kind="stable")
+        terms = pa.concat_arrays([grams.take(pa.array(gram)) for grams, _, gram, _ in levels]).take(pa.array(order))
+        times = np.concatenate([t for _, _, _, t in levels])[order]
+        ends = np.searchsorted(row[order], np.arange(len(texts) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([terms, pa.array(times.astype(np.int64))], ["term", "n"]))
+
+    return count(words)
+
+
+def _words(text_col: str, stop_words: tuple[str, ...]) -> Column:
+    """The words that are no stop words, parted by blanks, which no word holds."""
+    return F.array_join(remove_stop_words(tokenize(F.col(text_col)), stop_words), " ").alias("_words")
+
+
+def _pairs(listed: DataFrame, id_col: str) -> DataFrame:
+    return listed.select(id_col, F.explode_outer("_grams").alias("_entry")).select(id_col, "_entry.term", "_entry.n")
+
+
 def term_counts(
     posts: DataFrame,
     text_col: str = "content_clean",
@@ -47,33 +126,8 @@ def term_counts(
     stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS,
 ) -> DataFrame:
     """(id, term, n) for every distinct term of a post; posts without terms keep one row
-    with a NULL term. No shuffle: equal terms are neighbours after sorting the row's array."""
-    tokens = posts.select(id_col, remove_stop_words(tokenize(F.col(text_col)), stop_words).alias("_tokens"))
-    grams = tokens.select(id_col, F.sort_array(ngrams(F.col("_tokens"), cfg.ngram_range)).alias("_grams"))
-    starts = grams.select(
-        id_col,
-        "_grams",
-        F.when(
-            F.size("_grams") > 0,
-            F.filter(
-                F.sequence(F.lit(0), F.size("_grams") - 1),
-                lambda i: (i == 0) | (F.get("_grams", i) != F.get("_grams", i - 1)),
-            ),
-        ).alias("_starts"),
-    )
-    counted = starts.select(
-        id_col,
-        F.explode_outer(
-            F.transform(
-                F.col("_starts"),
-                lambda start, k: F.struct(
-                    F.get("_grams", start).alias("term"),
-                    (F.coalesce(F.get("_starts", k + 1), F.size("_grams")) - start).cast("bigint").alias("n"),
-                ),
-            )
-        ).alias("_entry"),
-    )
-    return counted.select(id_col, "_entry.term", "_entry.n")
+    with a NULL term. No shuffle: the terms of a row are counted inside it."""
+    return _pairs(posts.select(id_col, gram_counts(_words(text_col, stop_words), cfg.ngram_range).alias("_grams")), id_col)
 
 
 def term_stats(counts: DataFrame) -> DataFrame:
@@ -85,6 +139,29 @@ def term_stats(counts: DataFrame) -> DataFrame:
     )
 
 
+def post_stats(
+    posts: DataFrame,
+    text_col: str = "content_clean",
+    cfg: TfidfConfig = TfidfConfig(),
+    stop_words: tuple[str, ...] = ENGLISH_STOP_WORDS,
+    only: Sequence[str] | None = None,
+) -> DataFrame:
+    """``term_stats`` of ``term_counts``, for which no row is made of each term of each post: a batch of posts is summed up at once."""
+
+    found_in = _grams(cfg.ngram_range, only)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for grams, _, gram, times in found_in(batch.column(0)):
+                posts_with = np.bincount(gram, minlength=len(grams))
+                there = np.flatnonzero(posts_with)
+                columns = [grams, pa.array(posts_with), pa.array(np.bincount(gram, times, len(grams)).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(there)) for c in columns], ["term", "doc_freq", "term_freq"])
+
+    parts = posts.select(_words(text_col, stop_words)).mapInArrow(sums, "term string, doc_freq bigint, term_freq bigint")
+    return parts.groupBy("term").agg(F.sum("doc_freq").alias("doc_freq"), F.sum("term_freq").alias("term_freq"))
+
+
 def idf(doc_freq: Column, n_docs: Column) -> Column:
     return F.log((n_docs + 1) / (doc_freq + 1)) + 1
 
@@ -98,10 +175,30 @@ def fit_vocabulary(
 ) -> DataFrame:
     """The fitted model: at most ``max_features`` rows (term, doc_freq, term_freq, idf, n_docs).
 
-    Terms rank by occurrences; equal ones alphabetically.
+    Terms rank by occurrences; equal ones alphabetically. Where single words are terms, they are counted first: a run of words occurs at most as
+    often as each of its words, so once ``max_features`` words are in, runs that hold a rarer word than all of these can't be. Most runs
+    occur once or twice, and are not sent.
     """
-    stats = term_stats(term_counts(posts, text_col, id_col, cfg, stop_words))
-    return choose_terms(stats, posts.agg(F.count("*")), cfg)
+    n_docs = posts.agg(F.count("*"))
+    low, high = cfg.ngram_range
+    if low > 1 or high < 2:
+        return choose_terms(post_stats(posts, text_col, cfg, stop_words), n_docs, cfg)
+    single = cut_lineage(post_stats(posts, text_col, replace(cfg, ngram_range=(1, 1)), stop_words))
+    usual = _frequent_words(single, n_docs, cfg)
+    runs = post_stats(posts, text_col, replace(cfg, ngram_range=(2, high)), stop_words, usual)
+    return choose_terms(single.unionByName(runs), n_docs, cfg)
+
+
+def _few(terms: DataFrame) -> list[str] | None:
+    """The terms, or nothing where there are too many to be sent to all tasks."""
+    found = [r.term for r in terms.select("term").limit(BROADCAST_ROWS + 1).collect()]
+    return found if len(found) <= BROADCAST_ROWS else None
+
+
+def _frequent_words(single: DataFrame, n_docs: DataFrame, cfg: TfidfConfig) -> list[str] | None:
+    """The words at least as frequent as the last of ``max_features`` terms that are words; nothing where any word may be part of a term."""
+    n, least = choose_terms(single, n_docs, cfg).agg(F.count("*"), F.min("term_freq")).first()
+    return _few(single.where(F.col("term_freq") >= least)) if n and n >= cfg.max_features else None
 
 
 def choose_terms(stats: DataFrame, n_docs: DataFrame, cfg: TfidfConfig = TfidfConfig()) -> DataFrame:
@@ -118,9 +215,12 @@ def choose_terms(stats: DataFrame, n_docs: DataFrame, cfg: TfidfConfig = TfidfCo
 
 def _weights(
     posts: DataFrame, model: DataFrame, text_col: str, id_col: str, cfg: TfidfConfig,
-    stop_words: tuple[str, ...], how: str,
+    stop_words: tuple[str, ...], how: str, dealt: bool = False,
 ) -> DataFrame:
-    counts = term_counts(posts, text_col, id_col, cfg, stop_words)
+    """Weights of the terms of each post that the model has; ``dealt`` brings the rows of an id together."""
+    terms = _few(model) if cfg.max_features <= BROADCAST_ROWS else None
+    listed = posts.select(id_col, gram_counts(_words(text_col, stop_words), cfg.ngram_range, terms).alias("_grams"))
+    counts = _pairs(listed.repartition(id_col) if dealt else listed, id_col)
     vocabulary = broadcast_if_small(model.select("term", "idf"), cfg.max_features)
     return counts.join(vocabulary, "term", how).select(id_col, "term", (F.col("n") * F.col("idf")).alias("weight"))
 
@@ -136,10 +236,9 @@ def tfidf_vectors(
     """(id, term, tfidf), each post scaled to length 1. ``id_col`` is unique, so a window
     holds at most ``max_features`` rows.
 
-    Texts are dealt by id before their terms are listed: they are smaller than the pairs, which then stay where they are.
+    Lists of the model's terms are dealt by id, one for each post; the pairs that they hold then stay where they are.
     """
-    dealt = posts.select(id_col, text_col).repartition(id_col)
-    weights = _weights(dealt, model, text_col, id_col, cfg, stop_words, "inner")
+    weights = _weights(posts, model, text_col, id_col, cfg, stop_words, "inner", dealt=True)
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
     return weights.select(id_col, "term", (F.col("weight") / norm).alias("tfidf"))
 

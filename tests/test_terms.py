@@ -133,3 +133,30 @@ def test_vocabulary_of_days_adds_up(spark, data, tmp_path):
     model = term_store.load_vocabulary(spark, base)
     rows = lambda m: sorted(map(tuple, tfidf.tfidf_vectors(again, m).collect()))
     assert rows(model) == rows(tfidf.fit_vocabulary(posts))
+
+
+@pytest.mark.parametrize("cfg", [TfidfConfig(max_features=m, ngram_range=r, min_df=1) for m in (2, 5, 400) for r in ((1, 1), (1, 3), (2, 3))])
+def test_runs_of_rare_words_are_left_out_before_they_are_sent(spark, cfg, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{min(int(x), 60)}" for x in rng.exponential(8, n)) for n in rng.integers(0, 40, 60)] + ["", "aa aa aa aa aa aa bb"]
+    posts = frame(spark, texts).repartition(3)
+    sent = []
+    plain = tfidf.post_stats
+    monkeypatch.setattr(tfidf, "post_stats", lambda *a: sent.append(plain(*a)) or sent[-1])
+    model = [tuple(r)[:3] for r in tfidf.fit_vocabulary(posts, cfg=cfg).collect()]
+    every = tfidf.term_stats(tfidf.term_counts(posts, cfg=cfg)).where("doc_freq <= 0.95 * 62").collect()
+    assert model == sorted(map(tuple, every), key=lambda r: (-r[2], r[0]))[: cfg.max_features]
+    if cfg.ngram_range == (1, 3) and cfg.max_features < 10:
+        # Of some thousand distinct runs a few reach the shuffle.
+        assert len(sent) == 2 and 0 < sent[1].count() < sum(" " in r.term for r in every) / 10
+
+
+def test_weights_list_only_terms_of_the_model(spark):
+    posts = frame(spark, [*TEXTS, None])
+    terms = ["nifty", "strong rally"]
+    listed = posts.select("tweet_id", F.explode_outer(tfidf.gram_counts(F.col("content_clean"), terms=terms)).alias("e")).select("tweet_id", "e.*")
+    every = {tuple(r) for r in tfidf.term_counts(posts).collect() if r.term in terms}
+    rows = [tuple(r) for r in listed.collect()]
+    assert {r for r in rows if r[1]} == every and len(every) == 7
+    # A post without any keeps its row.
+    assert {r[0] for r in rows} == {str(i) for i in range(len(TEXTS) + 1)}
