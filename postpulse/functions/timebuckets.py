@@ -22,6 +22,11 @@ def from_micros(value: Column, like: str = "timestamp") -> Column:
     return F.timestamp_micros(value).cast(like)
 
 
+def whole_days(width_minutes: int) -> bool:
+    """Whether the width divides a day, so that buckets are the same for every first day."""
+    return DAY % (width_minutes * MINUTE) == 0
+
+
 def with_bucket(df: DataFrame, width_minutes: int, ts_col: str = "timestamp", name: str = "bucket", origin: int | None = None) -> DataFrame:
     """Add the start of each row's bucket, in epoch microseconds. Rows without time are left out.
 
@@ -33,7 +38,7 @@ def with_bucket(df: DataFrame, width_minutes: int, ts_col: str = "timestamp", na
     width = width_minutes * MINUTE
     if origin is not None:
         start = F.lit(origin)
-    elif DAY % width == 0:
+    elif whole_days(width_minutes):
         start = F.lit(0)
     else:
         first = dated.agg(F.min(at)).scalar()
@@ -43,8 +48,7 @@ def with_bucket(df: DataFrame, width_minutes: int, ts_col: str = "timestamp", na
 
 def origin_of(day: str, width_minutes: int) -> int:
     """Midnight (UTC) of a day in epoch microseconds, from which windows of this width count; 0 where every day is the same."""
-    width = width_minutes * MINUTE
-    return 0 if DAY % width == 0 else (date.fromisoformat(day[:10]) - date(1970, 1, 1)).days * DAY
+    return 0 if whole_days(width_minutes) else (date.fromisoformat(day[:10]) - date(1970, 1, 1)).days * DAY
 
 
 def bucket_spine(buckets: DataFrame, width_minutes: int, name: str = "bucket", most: int = MOST_BUCKETS) -> DataFrame:

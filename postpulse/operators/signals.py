@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postpulse.config import Settings, SignalConfig
 from postpulse.functions import scores
-from postpulse.functions.timebuckets import bucket_spine, from_micros, micros, with_bucket
+from postpulse.functions.timebuckets import bucket_spine, from_micros, micros, whole_days, with_bucket
 from postpulse.operators import moments
 from postpulse.operators.engagement import normalize_data
 from postpulse.operators.frames import with_totals
@@ -92,7 +92,12 @@ def total_columns(signals: DataFrame) -> list[Column]:
 
 
 def window_totals(signals: DataFrame, window_minutes: int = 60, origin: int | None = None) -> DataFrame:
-    """Means, sums and row count of every bucket that has posts, keyed by ``bucket``."""
+    """Means, sums and row count of every bucket that has posts, keyed by ``bucket``.
+
+    Where the first post must be known before any bucket is, the numbers that are summed are stored, so that posts are scored once.
+    """
+    if origin is None and not whole_days(window_minutes):
+        signals = cut_lineage(signals.select("timestamp", *MEANS, *SUMS).where(F.col("timestamp").isNotNull()))
     return with_bucket(signals, window_minutes, origin=origin).groupBy("bucket").agg(*total_columns(signals))
 
 

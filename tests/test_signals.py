@@ -203,3 +203,20 @@ def test_window_totals_shuffle_once_and_combine_first(spark, data):
     df = fill_missing(add_features(add_clean_text(given_posts(spark, data))))
     plan = signals.window_totals(signals.individual_signals(df, False))._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan and plan.count("Exchange hashpartitioning(bucket") == 1
+
+
+def test_windows_of_odd_widths_score_posts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def score(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(100).selectExpr("timestamp_micros(id * 61000000) AS timestamp", *[f"CAST(id AS DOUBLE) AS {c}" for c in signals.MEANS + signals.SUMS])
+    totals = signals.window_totals(rows.mapInPandas(score, rows.schema), 7)
+    assert totals.agg(F.sum("tweet_count")).first()[0] == 100 and totals.agg(F.min("bucket")).first()[0] == 0
+    before = seen.value
+    assert before == 100
+    # Widths that divide a day ask for no first post, and store nothing.
+    assert signals.window_totals(rows, 60).count() == 2
