@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import keep_where, map_texts
+from postpulse.llm.common import keep_where, map_texts, release
 
 BITS = 15
 DIMS = 1 << BITS
@@ -103,7 +103,7 @@ def train(
         lang, at, counts = rows[i]
         x = np.log1p(counts) * model.idf[at]
         norm = np.sqrt(x @ x)
-        data.append((langs.index(lang), np.append(at, DIMS), np.append(x / norm if norm else x, 1.0)))
+        data.append((langs.index(lang), np.append(at, np.int32(DIMS)), np.append(x / norm if norm else x, 1.0)))
     held, fit = data[: len(data) // 5], data[len(data) // 5 :]
     z, n = np.zeros((DIMS + 1, len(langs))), np.zeros((DIMS + 1, len(langs)))
 
@@ -170,9 +170,23 @@ def fit(labelled: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
 
     taken = sample.select("doc_id", "lang", "text").mapInPandas(
         features, "doc_id bigint, lang string, at array<int>, counts array<int>"
-    ).toPandas()
-    taken = taken.sort_values(["doc_id", "lang"])
-    return train([(lang, np.asarray(a), np.asarray(c)) for lang, a, c in zip(taken["lang"], taken["at"], taken["counts"])], df, n_docs)
+    ).toArrow()
+    model = train(rows_of(taken), df, n_docs)
+    # The driver goes on to other work: what the sample took is given back.
+    del taken
+    release()
+    return model
+
+
+def rows_of(sample: pa.Table) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """Language, buckets and counts of each row by id, as views into one copy of the sample."""
+    sample = sample.sort_by([("doc_id", "ascending"), ("lang", "ascending")]).combine_chunks()
+    if not len(sample):
+        return []
+    at, counts = (sample[name].chunk(0) for name in ("at", "counts"))
+    bounds = at.offsets.to_numpy()
+    flat = [column.values.to_numpy() for column in (at, counts)]
+    return [(lang, *[values[i:j] for values in flat]) for lang, i, j in zip(sample["lang"].to_pylist(), bounds, bounds[1:])]
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
