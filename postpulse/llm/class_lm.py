@@ -1,7 +1,8 @@
 """Class-based bigram model of words (Brown et al.), and the log probability of each text under it.
 
-Words are runs without ASCII white space, A-Z in lower case; each text ends with an end mark. The most frequent words, up to ``local``, are units of
-their own; every other word belongs to a unit by its shape (length, first and last character).
+Words are runs without ASCII white space, A-Z in lower case; each text ends with an end mark. Every word of the training texts is a unit of its own;
+a word that they lack belongs to a unit by its shape (length, first and last character). With ``local``, only so many of the most frequent words are
+units, and all others go by shape.
 Exchange clustering assigns units to classes so that the class bigrams of the training texts become most likely:
 
 1. The ``top`` most frequent words and the shapes are moved one at a time, until no move helps.
@@ -12,9 +13,9 @@ Exchange clustering assigns units to classes so that the class bigrams of the tr
     P(text) = product of P(class | class before) * P(unit | class) * P(word | unit)
 
 Transitions are interpolated with class frequencies, emissions within a shape are add-one smoothed with one place
-for unseen words, so probabilities add up to one. Word counts come from a shuffle over all training texts. The units are the words above a
-count, which is found by a histogram of counts, so that they fit ``local`` (a bound on what is broadcast); texts send only their other words to a join
-with the whole table.
+for unseen words, so probabilities add up to one. Word counts come from a shuffle over all training texts. ``held`` bounds what is
+broadcast, not what is learned: the words above a count, which is found by a histogram of counts, are known to every task, and texts are stored as
+their numbers. Each occurrence of another word is a row with the units beside it: shuffled by word it gets its class, by text the class that follows.
 
 Defined results: NULL text is empty and consists of the end mark; rows equal in id and text are one document and one
 row, but teach each time; a NULL id is never held out and teaches nothing; no training rows give uniform smoothing. Only ``doc_id`` and ``text`` are read.
@@ -28,18 +29,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import HASH, ID, KEY, keyed, stored, tidied
+from postpulse.llm.common import HASH, ID, KEY, stored, tidied
 
 TOP = 480
+#: Words that every task holds.
 LOCAL = 150_000
 CLASSES = 32
 #: Share of the class bigram against the class frequency.
 MIX = 0.95
 SHAPES = 64
 END = SHAPES
+END_BYTES = np.int32(END).tobytes()
 #: Units: the shapes, the end mark, then words, the most frequent ones first.
 FIRST_WORD = SHAPES + 1
 #: Steps of a doubling in the histogram of counts.
@@ -104,72 +107,94 @@ class Units(dict):
         return unit
 
 
-def sequence(texts: list, units: Units) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """All words, the units of the texts one after the other with an end mark before, between and after them, and where each text begins."""
-    split = [words_of(text) for text in texts]
-    sizes = np.array([len(s) for s in split], np.int64)
-    words = [w for s in split for w in s]
-    out = np.full(len(words) + len(split) + 1, END, np.int64)
-    out[np.arange(len(words)) + np.repeat(np.arange(len(split)), sizes) + 1] = np.fromiter(map(units.__getitem__, words), np.int64, len(words))
-    return words, out, np.cumsum(sizes + 1) - sizes
+def coded(texts: DataFrame, table: dict[bytes, int]) -> DataFrame:
+    """The texts as units, stored: a number for each row, its units with the end mark behind them as 32-bit integers, and the words that
+    ``table`` lacks, whose units are shapes here, in their order with blanks between them."""
+    shared = texts.sparkSession.sparkContext.broadcast(table)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units(shared.value)
+        for batch in batches:
+            numbers, rest = [], []
+            for text in batch.column(4).to_pylist():
+                words = words_of(text)
+                own = np.fromiter(map(units.__getitem__, words), np.int32, len(words))
+                numbers.append(own.tobytes() + END_BYTES)
+                rest.append(b" ".join([words[i] for i in np.flatnonzero(own < SHAPES).tolist()]))
+            columns = [*batch.columns[:4], pa.array(numbers, pa.binary()), pa.array(rest, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", *KEY, "teaches", "units", "rest"])
+
+    rows = texts.select(F.monotonically_increasing_id().alias("row"), F.col(ID).cast("bigint").alias(ID), HASH, "teaches", "_text")
+    return stored(rows.mapInArrow(tidied(code), f"row bigint, {ID} bigint, {HASH} bigint, teaches boolean, units binary, rest string"), "units")
+
+
+def sequence(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The units of all rows one after the other behind an end mark, and how many each row has."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join([END_BYTES, *rows]), np.int32), np.array([len(r) // 4 for r in rows], np.int64)
+
+
+def pair_sums(pairs: DataFrame, size: int) -> np.ndarray:
+    """Counts by two groups, from rows of ``pair`` and ``n``."""
+    out = np.zeros(size * size)
+    for r in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # at most one row for each pair of groups
+        out[r.pair] = r.n
+    return out.reshape(size, size)
+
+
+def pairs_in(total: np.ndarray) -> pa.RecordBatch:
+    at = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["pair", "n"])
 
 
-def neighbours(texts: DataFrame, table: dict[bytes, int], group: np.ndarray) -> np.ndarray:
-    """How often the groups of neighbouring units follow each other; a text starts after the end mark of another."""
+def neighbours(texts: DataFrame, group: np.ndarray) -> np.ndarray:
+    """How often the groups of neighbouring units of the coded ``texts`` follow each other; a text starts after the end mark of another."""
     size = int(group.max()) + 1
-    shared = texts.sparkSession.sparkContext.broadcast((table, group))
+    shared = texts.sparkSession.sparkContext.broadcast(group)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, groups = shared.value
-        total, units = np.zeros(size * size, np.int64), Units(known)
+        total = np.zeros(size * size, np.int64)
         for batch in batches:
-            own = groups[sequence(batch.column(0).to_pylist(), units)[1]]
+            own = shared.value[sequence(batch.column(0))[0]]
             total += np.bincount(own[:-1] * size + own[1:], minlength=size * size)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["pair", "n"])
+        yield pairs_in(total)
 
-    out = np.zeros(size * size)
-    sums = texts.select("_text").mapInArrow(tidied(count), "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    for r in sums.collect():  # at most one row for each pair of groups
-        out[r.pair] = r.n
-    return out.reshape(size, size)
+    return pair_sums(texts.select("units").mapInArrow(tidied(count), "pair int, n bigint"), size)
 
 
-def join_classes(texts: DataFrame, table: dict[bytes, int], group: np.ndarray, own: np.ndarray, pairs: np.ndarray, classes: int) -> np.ndarray:
-    """Class of each unit: ``own`` for those that are a group of their own, and the best class for each of the others."""
-    base = own[group]
+def join_classes(texts: DataFrame, group: np.ndarray, base: np.ndarray, class_pairs: np.ndarray) -> np.ndarray:
+    """Class of each unit: that of ``base`` for those that are a group of their own, and the best class for each of the others."""
     late = group != np.arange(len(group))
     if not late.any():
         return base
-    class_pairs = np.zeros((classes, classes))
-    np.add.at(class_pairs, (own[:, None], own[None, :]), pairs)
-    shared = texts.sparkSession.sparkContext.broadcast((table, base, late, class_pairs))
+    classes = len(class_pairs)
+    shared = texts.sparkSession.sparkContext.broadcast((base, late, class_pairs))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, group_class, moved, _ = shared.value
-        total, units = np.zeros((len(moved), 2 * classes), np.int32), Units(known)
+        group_class, moved, _ = shared.value
+        total = np.zeros(len(moved) * 2 * classes, np.int32)
         for batch in batches:
-            seq = sequence(batch.column(0).to_pylist(), units)[1]
+            seq = sequence(batch.column(0))[0]
             c, at = group_class[seq], np.flatnonzero(moved[seq])
-            np.add.at(total, (seq[at], c[at - 1]), 1)
-            np.add.at(total, (seq[at], classes + c[at + 1]), 1)
-        unit, slot = np.nonzero(total)
-        for i in range(0, len(unit), 500_000):
-            u, k = unit[i : i + 500_000], slot[i : i + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in (u, k, total[u, k])], ["unit", "slot", "n"])
+            slot = seq[at].astype(np.int64) * 2 * classes
+            np.add.at(total, slot + c[at - 1], 1)
+            np.add.at(total, slot + classes + c[at + 1], 1)
+        found = np.flatnonzero(total)
+        for i in range(0, len(found), 500_000):
+            at = found[i : i + 500_000]
+            columns = (at // (2 * classes), at % (2 * classes), total[at])
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in columns], ["unit", "slot", "n"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, group_class, _, tables = shared.value
+        group_class, _, tables = shared.value
         for batch in batches:
             sides = np.zeros((batch.num_rows, 2 * classes))
             at = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(1).offsets.to_numpy()))
             sides[at, batch.column(1).flatten().to_numpy()] = batch.column(2).flatten().to_numpy()
-            unit = batch.column(0).to_numpy()
-            parts = [best_class(sides[i : i + 500], group_class[unit[i : i + 500]], tables) for i in range(0, len(unit), 500)]
-            best = np.concatenate(parts) if parts else np.empty(0, np.int64)
+            best = moved_to(sides, group_class[batch.column(0).to_numpy()], tables)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best.astype(np.int32))], ["unit", "class"])
 
-    sums = texts.select("_text").mapInArrow(tidied(look), "unit int, slot int, n int").repartition("unit")
+    sums = texts.select("units").mapInArrow(tidied(look), "unit int, slot int, n int").repartition("unit")
     # Rows of a unit are in one partition already.
     each = sums.groupBy("unit", "slot").agg(F.sum("n").alias("n")).groupBy("unit").agg(F.collect_list(F.struct("slot", "n")).alias("s"))
     chosen = each.select("unit", F.col("s.slot").alias("slot"), F.col("s.n").alias("n")).mapInArrow(choose, "unit int, class int")
@@ -179,19 +204,116 @@ def join_classes(texts: DataFrame, table: dict[bytes, int], group: np.ndarray, o
     return out
 
 
+def occurrences(texts: DataFrame, group: np.ndarray | None = None) -> DataFrame:
+    """A row for each word that is not in the table: its text and place, its shape, and the units left and right of it, or their ``group``."""
+    shared = texts.sparkSession.sparkContext.broadcast(group)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seq, sizes = sequence(batch.column(2))
+            spots = np.flatnonzero(seq < SHAPES)
+            words = [w for rest in batch.column(3).to_pylist() if rest for w in rest.split(" ")]
+            text = np.repeat(np.arange(batch.num_rows), sizes)[spots - 1]
+            left, right = seq[spots - 1], seq[spots + 1]
+            if shared.value is not None:
+                left, right = shared.value[left], shared.value[right]
+            rows = pa.array(text)
+            columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(words, pa.string())]
+            columns += [pa.array(x.astype(np.int32)) for x in (spots, seq[spots], left, right)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "teaches", "word", "at", "shape", "left", "right"])
+
+    schema = "row bigint, teaches boolean, word string, at int, shape int, left int, right int"
+    return texts.select("row", "teaches", "units", "rest").mapInArrow(tidied(find), schema)
+
+
+def learned_words(texts: DataFrame, base: np.ndarray, class_pairs: np.ndarray, is_unit: Column) -> DataFrame:
+    """The words of the training texts that are not in the table, stored: count, class, and whether ``is_unit`` (of the count ``n``) makes them units.
+
+    They are moved like the units of the table, from the class of their shape, by sums that stay in the tasks.
+    """
+    classes = len(class_pairs)
+    shared = texts.sparkSession.sparkContext.broadcast((base, class_pairs))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group_class, tables = shared.value
+        for batch in batches:
+            left, right, n = (batch.column(i).flatten().to_numpy() for i in (4, 5, 6))
+            at = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(4).offsets.to_numpy())) * 2 * classes
+            size = batch.num_rows * 2 * classes
+            sides = np.bincount(at + left, n, size) + np.bincount(at + classes + right, n, size)
+            best = moved_to(sides.reshape(-1, 2 * classes), group_class[batch.column(2).to_numpy()], tables)
+            columns = [batch.column(0), batch.column(1), pa.array(best.astype(np.int32)), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "n", "class", "unit"])
+
+    found = occurrences(texts, base).repartition("word")
+    # Rows of a word are in one partition already; a word has at most one row for each pair of classes.
+    sums = found.groupBy("word", "shape", "left", "right").agg(F.count("*").alias("n"))
+    each = sums.groupBy("word", "shape").agg(F.sum("n").alias("n"), F.collect_list(F.struct("left", "right", "n")).alias("s"))
+    sides = each.select("word", "n", "shape", is_unit.alias("unit"), *[F.col(f"s.{c}").alias(f"s_{c}") for c in ("left", "right", "n")])
+    return stored(sides.mapInArrow(tidied(choose), "word string, n bigint, class int, unit boolean"), "learned")
+
+
+def marked(texts: DataFrame, learned: DataFrame) -> DataFrame:
+    """The occurrences of words that are not in the table, stored with their counts, their codes and those that follow in the text. A code is the
+    shape of a word, or ``SHAPES`` and the class of a unit."""
+    code = F.when(F.col("unit"), F.col("class") + SHAPES).otherwise(F.col("shape")).alias("code")
+    found = occurrences(texts).join(learned, "word", "left").select("row", "teaches", "at", "left", "right", code, F.coalesce("n", F.lit(0)).alias("n"))
+    following = F.lead("code", 1, 0).over(Window.partitionBy("row").orderBy("at")).alias("following")
+    return stored(found.select("row", "teaches", "left", "right", "code", "n", following), "marked")
+
+
+def sides_of(batch: pa.RecordBatch, own: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
+    """Classes left of, of, and right of marked occurrences, and which of them follow a unit of the table: other pairs count with their left word."""
+    left, right, code, following = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("left", "right", "code", "following"))
+    coded_class = np.concatenate((own[:SHAPES], np.arange(classes)))
+    return own[left], coded_class[code], np.where(right < SHAPES, coded_class[following], own[right]), left >= SHAPES
+
+
+def marked_pairs(spots: DataFrame, own: np.ndarray, classes: int) -> np.ndarray:
+    """How often classes follow each other where one or both are of marked occurrences."""
+    shared = spots.sparkSession.sparkContext.broadcast(own)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes, np.int64)
+        for batch in batches:
+            before, here, after, first = sides_of(batch, shared.value, classes)
+            both = np.concatenate((before[first] * classes + here[first], here * classes + after))
+            total += np.bincount(both, minlength=classes * classes)
+        yield pairs_in(total)
+
+    return pair_sums(spots.select("left", "right", "code", "following").mapInArrow(tidied(count), "pair int, n bigint"), classes)
+
+
+def moved_to(sides: np.ndarray, now: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """``best_class`` for any number of units."""
+    parts = [best_class(sides[i : i + 500], now[i : i + 500], pairs) for i in range(0, len(now), 500)]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
 def best_class(sides: np.ndarray, now: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """The class to which each unit should move, given how often each class stands left and right of it (``sides``), its class, and the class bigrams."""
     classes, rows = len(pairs), np.arange(len(sides))
     left, right = sides[:, :classes], sides[:, classes:]
-    # The tables without the unit.
-    table = np.repeat(pairs[None], len(sides), 0)
-    table[rows, now] -= right
-    table[rows, :, now] -= left
-    table = np.maximum(table, 0)
-    into, out = table.sum(1), table.sum(2)
     size = sides.sum(1, keepdims=True) / 2
-    gain = (_xlogx(table + right[:, None]) - _xlogx(table)).sum(2) + (_xlogx(table + left[:, :, None]) - _xlogx(table)).sum(1)
-    gain -= _xlogx(into + size) - _xlogx(into) + _xlogx(out + size) - _xlogx(out)
+    # Row and column sums of the tables without the unit, which never hold less than nothing.
+    below = np.maximum(left[rows, now] + right[rows, now] - pairs[now, now], 0)
+    into, out = pairs.sum(0) - right, pairs.sum(1) - left
+    into[rows, now] += below - left.sum(1)
+    out[rows, now] += below - right.sum(1)
+    gain = _xlogx(into) - _xlogx(into + size) + _xlogx(out) - _xlogx(out + size)
+    # Only the classes that stand beside a unit change its gain.
+    for own, other, table in ((right, left, pairs.T), (left, right, pairs)):
+        unit, beside = np.nonzero(own)
+        if not len(unit):
+            continue
+        n, g = own[unit, beside], now[unit]
+        cells = table[beside]
+        cells[np.arange(len(unit)), g] -= n
+        same = beside == g
+        cells[same] -= other[unit[same]]
+        cells = np.maximum(cells, 0)
+        first = np.flatnonzero(np.diff(unit, prepend=-1))
+        gain[unit[first]] += np.add.reduceat(_xlogx(cells + n[:, None]) - _xlogx(cells), first)
     best = gain.argmax(1)
     return np.where(gain[rows, best] > gain[rows, now] + 1e-9, best, now)
 
@@ -254,8 +376,9 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, rounds: int = 8) -> np.n
 
 @dataclass
 class Model:
-    """``own``: class of each unit; ``move``: log10 probability of a class after a class, ``emit``: of a unit in its class; ``places``: log10 of
-    the smoothed size of a shape, 0 for other units; ``times``: occurrences of words that are units, 0 for shapes."""
+    """``own``: class of each unit of the table; ``move``: log10 probability of a class after a class, ``emit``: of a unit in its class; ``places``:
+    log10 of the smoothed size of a shape, 0 for other units; ``times``: occurrences of words that are units, 0 for shapes; ``sizes``: smoothed
+    occurrences of each class."""
 
     table: dict[bytes, int]
     own: np.ndarray
@@ -263,51 +386,79 @@ class Model:
     emit: np.ndarray
     places: np.ndarray
     times: np.ndarray
+    sizes: np.ndarray
     tokens: int
     distinct: int
 
 
-def frequent_words(words: DataFrame, most: int) -> list[tuple[str, int]]:
-    """The words above a count, at most ``most`` of them, the most frequent first. No word is ranked: counts are put in a histogram first."""
-    step = F.floor(F.log2("n") * STEPS).cast("int")
+def step_of(n: str = "n") -> Column:
+    return F.floor(F.log2(n) * STEPS).cast("int")
+
+
+def least_step(words: DataFrame, most: int) -> int | None:
+    """The step of the histogram of counts from which on there are at most ``most`` words."""
     # Some hundred rows.
-    sizes = sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True)
+    sizes = sorted(words.groupBy(step_of().alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True)
     taken, least = 0, None
     for r in sizes:
         taken += r.n
         if taken > most:
             break
         least = r.step
+    return least
+
+
+def frequent_words(words: DataFrame, most: int) -> list[tuple[str, int]]:
+    """The words above a count, at most ``most`` of them, the most frequent first. No word is ranked: counts are put in a histogram first."""
+    least = least_step(words, most)
     if least is None:
         return []
-    found = words.where(step >= least).select("word", "n").toArrow()
+    found = words.where(step_of() >= least).select("word", "n").toArrow()
     return sorted(zip(found.column(0).to_pylist(), found.column(1).to_pylist()), key=lambda r: (-r[1], r[0]))
 
 
-def fit_tables(counts: DataFrame, texts: DataFrame, top: int = TOP, local: int = LOCAL, classes: int = CLASSES) -> Model:
+def fit_tables(counts: DataFrame, texts: DataFrame, top: int = TOP, local: int | None = None, classes: int = CLASSES, held: int = LOCAL) -> Model:
     """Cluster the units of the training ``texts``, given their stored word ``counts``."""
+    return fit_coded(counts, texts.withColumn("teaches", F.lit(True)), top, local, classes, held)[0]
+
+
+def fit_coded(
+    counts: DataFrame, rows: DataFrame, top: int, local: int | None, classes: int, held: int
+) -> tuple[Model, DataFrame, DataFrame]:
+    """The model of those of ``rows`` that teach, all rows coded, and their marked words."""
     tokens, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     words = counts.where("word IS NOT NULL")
-    frequent = frequent_words(words, local)
+    frequent = frequent_words(words, held if local is None else min(held, local))
     table = {w.encode(): FIRST_WORD + i for i, (w, _) in enumerate(frequent)}
+    least = 0 if local is None else least_step(words, local)
+    is_unit = F.lit(False) if least is None else step_of() >= least
+    texts = coded(rows, table)
+    teaching = texts.where("teaches")
     shapes = np.array([shape_of(w) for w in table], np.int64)
     times = np.concatenate((np.zeros(FIRST_WORD, np.int64), np.array([n for _, n in frequent], np.int64)))
     # Groups of the first step: the top words for themselves, all others by shape.
     early = np.arange(FIRST_WORD + min(top, len(table)))
     group = np.concatenate((early, shapes[top:]))
-    pairs = neighbours(texts, table, group)
-    own = join_classes(texts, table, group, exchange(pairs, classes), pairs, classes)
-    into = neighbours(texts, table, own)
-    into = np.pad(into, (0, classes - len(into)))
+    pairs = neighbours(teaching, group)
+    first = exchange(pairs, classes)
+    base = first[group]
+    class_pairs = np.zeros((classes, classes))
+    np.add.at(class_pairs, (first[:, None], first[None, :]), pairs)
+    own = join_classes(teaching, group, base, class_pairs)
+    learned = learned_words(teaching, base, class_pairs, is_unit)
+    spots = marked(texts, learned)
+    # Pairs of units of the table; shapes are a group that is left out.
+    into = neighbours(teaching, np.concatenate((np.full(SHAPES, classes), own[SHAPES:])))[:classes, :classes]
+    into = into + marked_pairs(spots.where("teaches"), own, classes)
     n, v = np.zeros(SHAPES), np.zeros(SHAPES)
-    for r in words.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+    for r in words.where(~is_unit).groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         n[r["shape"]], v[r["shape"]] = r.n, r.v
-    n -= np.bincount(shapes, times[FIRST_WORD:], SHAPES)
-    v -= np.bincount(shapes, minlength=SHAPES)
     ends = counts.where("word IS NULL").agg(F.sum("n")).first()[0] or 0
     # One more of each unit keeps every unit possible.
     unit_n = np.concatenate((n, [ends], times[FIRST_WORD:])) + 1.0
     class_n = np.bincount(own, unit_n, classes)
+    for r in learned.where("unit").groupBy("class").agg(F.sum(F.col("n") + 1).alias("n")).collect():
+        class_n[r["class"]] += r.n
     frequency = class_n / class_n.sum()
     after = into.sum(1, keepdims=True)
     share = np.where(after > 0, MIX, 0.0)
@@ -316,73 +467,66 @@ def fit_tables(counts: DataFrame, texts: DataFrame, top: int = TOP, local: int =
     times[END] = ends
     # A class may be empty: nothing moves there.
     move = np.log10(np.maximum(moves, 1e-300))
+    emit = np.log10(unit_n / class_n[own])
     # The row of the end mark stands in the table even where no text was counted.
-    return Model(table, own, move, np.log10(unit_n / class_n[own]), places, times, int(tokens or 0), max(0, int(distinct) - (ends == 0)))
+    model = Model(table, own, move, emit, places, times, class_n, int(tokens or 0), max(0, int(distinct) - (ends == 0)))
+    return model, texts, spots
 
 
-def score(docs: DataFrame, teaches: Column, top: int = TOP, local: int = LOCAL, classes: int = CLASSES) -> DataFrame:
+def score(
+    docs: DataFrame, teaches: Column, top: int = TOP, local: int | None = None, classes: int = CLASSES, held: int = LOCAL
+) -> DataFrame:
     """One row per document: tokens, known tokens and both log10 probabilities. ``teaches`` picks the training rows by ``doc_id``."""
     spark = docs.sparkSession
-    rows = keyed(docs)
-    texts = keyed(docs.where(F.coalesce(teaches, F.lit(False))))
-    counts = stored(word_counts(texts), "words")
-    model = fit_tables(counts, texts, top, local, classes)
-    words = counts.where("word IS NOT NULL")
-    # At most ``local`` words.
+    rows = docs.select(
+        F.col("doc_id").alias(ID), F.xxhash64("text").alias(HASH), F.coalesce(teaches, F.lit(False)).alias("teaches"), F.col("text").alias("_text")
+    )
+    counts = stored(word_counts(rows.where("teaches")), "words")
+    model, texts, spots = fit_coded(counts, rows, top, local, classes, held)
+    model.table = {}
     shared = spark.sparkContext.broadcast(model)
     total = np.log10(model.tokens + model.distinct + 1)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        units, logs = Units(m.table), np.log10(m.times + 1)
-        # A word of a shape has its own count added later.
-        emit = m.emit - m.places
+        logs, known_units = np.log10(m.times + 1), m.times > 0
+        # Words that are not in the table are added later, with the moves to and from them: they are a class without cost here.
+        own, emit = m.own.copy(), m.emit.copy()
+        own[:SHAPES], emit[:SHAPES] = classes, 0
+        move = np.pad(m.move, (0, 1))
         for batch in batches:
-            words, seq, first = sequence(batch.column(2).to_pylist(), units)
-            sizes = np.diff(np.append(first, len(seq)))
-            own, after = m.own[seq], seq[1:]
-            at = first - 1
-            value = np.add.reduceat(m.move[own[:-1], own[1:]] + emit[after], at) if len(at) else np.empty(0)
+            seq, sizes = sequence(batch.column(3))
+            after, at, c = seq[1:], np.cumsum(sizes) - sizes, own[seq]
+            value = np.add.reduceat(move[c[:-1], c[1:]] + emit[after], at) if len(at) else np.empty(0)
             base = np.add.reduceat(logs[after], at) if len(at) else np.empty(0)
-            known = np.add.reduceat(m.times[after] > 0, at, dtype=np.int64) if len(at) else np.empty(0, np.int64)
-            # Words beyond the units, by text. No word holds a blank; numbers spread their rows over the tasks of the join.
-            spots = np.flatnonzero(after < SHAPES)
-            text = np.searchsorted(first, spots + 1, side="right") - 1
-            bounds = np.searchsorted(text, np.arange(len(sizes) + 1)).tolist()
-            rest = [words[i] for i in (spots - text).tolist()]
-            sent, times, counts = [], [], []
-            for i in range(len(sizes)):
-                more = Counter(rest[bounds[i] : bounds[i + 1]])
-                sent += [b" %d" % i, *more]
-                times += [0, *more.values()]
-                counts.append(1 + len(more))
-            counts = np.array(counts, np.int64)
-            heads = np.cumsum(counts) - counts
-            rows = pa.array(np.repeat(np.arange(len(counts)), counts))
-            columns = [batch.column(0).take(rows), batch.column(1).take(rows)]
-            columns += [pa.array(sent, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())]
-            others = np.ones(len(sent), bool)
-            others[heads] = False
-            for own_values, kind in ((sizes, pa.int64()), (known, pa.int64()), (base, pa.float64()), (value, pa.float64())):
-                column = np.zeros(len(sent), kind.to_pandas_dtype())
-                column[heads] = own_values
-                columns.append(pa.array(column, mask=others))
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "word", "times", "tokens", "known", "base", "own"])
-
-    schema = f"{ID} bigint, {HASH} bigint, word string, times bigint, tokens bigint, known bigint, base double, own double"
-    parts = rows.select(F.col(ID).cast("bigint").alias(ID), HASH, "_text").mapInArrow(tidied(look), schema)
-    log = F.log10(F.coalesce("n", F.lit(0)) + 1) * F.col("times")
-    # Each of the repeated rows of a document sends the same words, and one row with a base.
-    copies = F.count("base")
-    sums = parts.join(words.select("word", "n"), "word", "left").groupBy(*KEY).agg(
-        F.max("tokens").alias("n_tokens"),
-        (F.max("known") + (F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)) / copies).cast("bigint")).alias("n_known"),
-        (F.sum(F.when(F.col("word").isNotNull(), log)) / copies).alias("_rest"),
-        F.max("base").alias("_base"), F.max("own").alias("_own"),
+            known = np.add.reduceat(known_units[after], at, dtype=np.int64) if len(at) else np.empty(0, np.int64)
+            columns = [*batch.columns[:3], pa.array(sizes), pa.array(known), pa.array(base), pa.array(value)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", *KEY, "tokens", "known", "base", "own"])
+
+    def look_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        emit = np.concatenate((m.emit[:SHAPES] - m.places[:SHAPES], -np.log10(np.maximum(m.sizes, 1))))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            before, here, after, first = sides_of(batch, m.own, classes)
+            row, n, code = (batch.column(i).to_numpy() for i in (0, 1, 2))
+            logs = np.log10(n + 1)
+            value = emit[code] + logs + m.move[here, after] + np.where(first, m.move[before, here], 0)
+            at = np.flatnonzero(np.diff(row, prepend=row[0] - 1))
+            sums = [np.add.reduceat(n > 0, at, dtype=np.int64), np.add.reduceat(logs, at), np.add.reduceat(value, at)]
+            yield pa.RecordBatch.from_arrays([pa.array(row[at]), *map(pa.array, sums)], ["row", "known", "base", "own"])
+
+    sums = "known bigint, base double, own double"
+    near = texts.select("row", *KEY, "units").mapInArrow(tidied(look), f"row bigint, {ID} bigint, {HASH} bigint, tokens bigint, {sums}")
+    far = spots.select("row", "n", "code", "left", "right", "following").mapInArrow(tidied(look_marked), f"row bigint, {sums}")
+    each = near.unionByName(far, allowMissingColumns=True).groupBy("row").agg(
+        *[F.max(c).alias(c) for c in (*KEY, "tokens")], *[F.sum(c).alias(c) for c in ("known", "base", "own")]
     )
-    rest = F.coalesce("_rest", F.lit(0.0))
-    return sums.select(
-        F.col(ID).alias("doc_id"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("_base") + rest - F.col("n_tokens") * F.lit(float(total))).alias("base_score"),
-        (F.col("_own") + rest).alias("score"),
+    # Repeated rows of a document have equal sums.
+    return each.groupBy(*KEY).agg(*[F.max(c).alias(c) for c in ("tokens", "known", "base", "own")]).select(
+        F.col(ID).alias("doc_id"), F.col("tokens").alias("n_tokens"), F.col("known").alias("n_known"),
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        (F.col("base") - F.col("tokens") * F.lit(float(total))).alias("base_score"),
+        F.col("own").alias("score"),
     )

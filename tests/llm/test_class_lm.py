@@ -128,3 +128,23 @@ def test_one_move_is_the_best_one():
         return class_lm._xlogx(new).sum() + gain - class_lm._xlogx(into).sum() - class_lm._xlogx(out).sum()
 
     assert [int(np.argmax([likelihood(i, k) for k in range(5)])) for i in range(20)] == got.tolist()
+
+
+def test_words_beyond_the_broadcast_ones_are_learned(spark):
+    """How many words every task holds changes neither the classes nor the scores: the others get theirs through joins."""
+    docs, _ = grammar(spark, 90)
+    extra = spark.createDataFrame(
+        [(900, None), (901, ""), (902, "never seen words, a00x a01x"), (903, "b39x a39x b38x b38x new a38x"), (903, "b39x a39x b38x b38x new a38x"), (None, "a37x b36x")], SCHEMA
+    )
+    given, teaches = docs.union(extra), F.col("doc_id") % 7 != 2
+    model, counts = fitted(given.where(teaches), top=5, classes=3, held=20)
+    whole, _ = fitted(given.where(teaches), top=5, classes=3)
+    assert 5 <= len(model.table) <= 20 < len(whole.table) == len(counts) - 1
+    assert all(model.own[i] == whole.own[whole.table[w]] for w, i in model.table.items())
+    # Words outside the table are moved away from the class of their shape, so shapes hold unseen words only.
+    assert any(whole.own[i] != whole.own[class_lm.shape_of(w)] for w, i in whole.table.items() if w not in model.table)
+    assert model.move == pytest.approx(whole.move) and not model.places.any()
+    want, got = ({(r.doc_id, r.n_tokens): r for r in class_lm.score(given, teaches, top=5, classes=3, held=n).collect()} for n in (150_000, 20))
+    assert got.keys() == want.keys() and len(got) == 95
+    for key, r in want.items():
+        assert tuple(got[key])[:4] == tuple(r)[:4] and tuple(got[key])[4:] == pytest.approx(tuple(r)[4:])
