@@ -125,7 +125,7 @@ def coded(texts: DataFrame, table: dict[bytes, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["row", *KEY, "teaches", "units", "rest"])
 
     rows = texts.select(F.monotonically_increasing_id().alias("row"), F.col(ID).cast("bigint").alias(ID), HASH, "teaches", "_text")
-    return stored(rows.mapInArrow(tidied(code), f"row bigint, {ID} bigint, {HASH} bigint, teaches boolean, units binary, rest string"), "units")
+    return stored(rows.mapInArrow(tidied(code), f"row bigint, {ID} bigint, {HASH} bigint, teaches boolean, units binary, rest string"), "units", compression="zstd")
 
 
 def sequence(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -179,11 +179,15 @@ def join_classes(texts: DataFrame, group: np.ndarray, base: np.ndarray, class_pa
             slot = seq[at].astype(np.int64) * 2 * classes
             np.add.at(total, slot + c[at - 1], 1)
             np.add.at(total, slot + classes + c[at + 1], 1)
-        found = np.flatnonzero(total)
-        for i in range(0, len(found), 500_000):
-            at = found[i : i + 500_000]
-            columns = (at // (2 * classes), at % (2 * classes), total[at])
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)) for x in columns], ["unit", "slot", "n"])
+        # One row for each unit: its slots and their counts.
+        unit, slot = np.divmod(np.flatnonzero(total), 2 * classes)
+        at = np.append(np.flatnonzero(np.diff(unit, prepend=-1)), len(unit))
+        n = total[total > 0]
+        for i in range(0, len(at) - 1, 20_000):
+            part = at[i : i + 20_001]
+            own, offsets = slice(part[0], part[-1]), pa.array((part - part[0]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (slot[own].astype(np.int16), n[own])]
+            yield pa.RecordBatch.from_arrays([pa.array(unit[part[:-1]].astype(np.int32)), *lists], ["unit", "slots", "counts"])
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group_class, _, tables = shared.value
@@ -194,7 +198,8 @@ def join_classes(texts: DataFrame, group: np.ndarray, base: np.ndarray, class_pa
             best = moved_to(sides, group_class[batch.column(0).to_numpy()], tables)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best.astype(np.int32))], ["unit", "class"])
 
-    sums = texts.select("units").mapInArrow(tidied(look), "unit int, slot int, n int").repartition("unit")
+    sums = texts.select("units").mapInArrow(tidied(look), "unit int, slots array<smallint>, counts array<int>").repartition("unit")
+    sums = sums.select("unit", F.explode(F.arrays_zip("slots", "counts")).alias("e")).select("unit", F.col("e.slots").alias("slot"), F.col("e.counts").alias("n"))
     # Rows of a unit are in one partition already.
     each = sums.groupBy("unit", "slot").agg(F.sum("n").alias("n")).groupBy("unit").agg(F.collect_list(F.struct("slot", "n")).alias("s"))
     chosen = each.select("unit", F.col("s.slot").alias("slot"), F.col("s.n").alias("n")).mapInArrow(choose, "unit int, class int")
@@ -205,7 +210,8 @@ def join_classes(texts: DataFrame, group: np.ndarray, base: np.ndarray, class_pa
 
 
 def occurrences(texts: DataFrame, group: np.ndarray | None = None) -> DataFrame:
-    """A row for each word that is not in the table: its text and place, its shape, and the units left and right of it, or their ``group``."""
+    """A row for each word that is not in the table: its text; its place there, shape, and whether the text teaches, as one number ``spot``; and
+    the units left and right of it, or their ``group``, as one number ``sides``."""
     shared = texts.sparkSession.sparkContext.broadcast(group)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,16 +220,19 @@ def occurrences(texts: DataFrame, group: np.ndarray | None = None) -> DataFrame:
             spots = np.flatnonzero(seq < SHAPES)
             words = [w for rest in batch.column(3).to_pylist() if rest for w in rest.split(" ")]
             text = np.repeat(np.arange(batch.num_rows), sizes)[spots - 1]
+            teaches = batch.column(1).to_numpy(zero_copy_only=False)[text].astype(np.int64)
             left, right = seq[spots - 1], seq[spots + 1]
             if shared.value is not None:
                 left, right = shared.value[left], shared.value[right]
-            rows = pa.array(text)
-            columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(words, pa.string())]
-            columns += [pa.array(x.astype(np.int32)) for x in (spots, seq[spots], left, right)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "teaches", "word", "at", "shape", "left", "right"])
+            spot = (spots * SHAPES + seq[spots]) * 2 + teaches
+            columns = [batch.column(0).take(pa.array(text)), pa.array(words, pa.string()), pa.array(spot), pa.array(left.astype(np.int64) << 32 | right)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "word", "spot", "sides"])
 
-    schema = "row bigint, teaches boolean, word string, at int, shape int, left int, right int"
-    return texts.select("row", "teaches", "units", "rest").mapInArrow(tidied(find), schema)
+    return texts.select("row", "teaches", "units", "rest").mapInArrow(tidied(find), "row bigint, word string, spot bigint, sides bigint")
+
+
+def left_right(sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return sides >> 32, sides & 0xFFFFFFFF
 
 
 def learned_words(texts: DataFrame, base: np.ndarray, class_pairs: np.ndarray, is_unit: Column) -> DataFrame:
@@ -237,34 +246,38 @@ def learned_words(texts: DataFrame, base: np.ndarray, class_pairs: np.ndarray, i
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group_class, tables = shared.value
         for batch in batches:
-            left, right, n = (batch.column(i).flatten().to_numpy() for i in (4, 5, 6))
-            at = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(4).offsets.to_numpy())) * 2 * classes
+            (left, right), n = left_right(batch.column(3).flatten().to_numpy()), batch.column(4).flatten().to_numpy()
+            at = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(3).offsets.to_numpy())) * 2 * classes
             size = batch.num_rows * 2 * classes
             sides = np.bincount(at + left, n, size) + np.bincount(at + classes + right, n, size)
-            best = moved_to(sides.reshape(-1, 2 * classes), group_class[batch.column(2).to_numpy()], tables)
-            columns = [batch.column(0), batch.column(1), pa.array(best.astype(np.int32)), batch.column(3)]
+            shape = np.array([shape_of(w.encode()) for w in batch.column(0).to_pylist()], np.int64)
+            best = moved_to(sides.reshape(-1, 2 * classes), group_class[shape], tables)
+            columns = [batch.column(0), batch.column(1), pa.array(best.astype(np.int32)), batch.column(2)]
             yield pa.RecordBatch.from_arrays(columns, ["word", "n", "class", "unit"])
 
-    found = occurrences(texts, base).repartition("word")
+    found = occurrences(texts, base).select("word", "sides").repartition("word")
     # Rows of a word are in one partition already; a word has at most one row for each pair of classes.
-    sums = found.groupBy("word", "shape", "left", "right").agg(F.count("*").alias("n"))
-    each = sums.groupBy("word", "shape").agg(F.sum("n").alias("n"), F.collect_list(F.struct("left", "right", "n")).alias("s"))
-    sides = each.select("word", "n", "shape", is_unit.alias("unit"), *[F.col(f"s.{c}").alias(f"s_{c}") for c in ("left", "right", "n")])
-    return stored(sides.mapInArrow(tidied(choose), "word string, n bigint, class int, unit boolean"), "learned")
+    sums = found.groupBy("word", "sides").agg(F.count("*").alias("n"))
+    each = sums.groupBy("word").agg(F.sum("n").alias("n"), F.collect_list(F.struct("sides", "n")).alias("s"))
+    sides = each.select("word", "n", is_unit.alias("unit"), F.col("s.sides").alias("s_sides"), F.col("s.n").alias("s_n"))
+    return stored(sides.mapInArrow(tidied(choose), "word string, n bigint, class int, unit boolean"), "learned", compression="zstd")
 
 
 def marked(texts: DataFrame, learned: DataFrame) -> DataFrame:
     """The occurrences of words that are not in the table, stored with their counts, their codes and those that follow in the text. A code is the
     shape of a word, or ``SHAPES`` and the class of a unit."""
-    code = F.when(F.col("unit"), F.col("class") + SHAPES).otherwise(F.col("shape")).alias("code")
-    found = occurrences(texts).join(learned, "word", "left").select("row", "teaches", "at", "left", "right", code, F.coalesce("n", F.lit(0)).alias("n"))
-    following = F.lead("code", 1, 0).over(Window.partitionBy("row").orderBy("at")).alias("following")
-    return stored(found.select("row", "teaches", "left", "right", "code", "n", following), "marked")
+    shape = F.shiftright("spot", 1).bitwiseAND(SHAPES - 1)
+    code = F.when(F.col("unit"), F.col("class") + SHAPES).otherwise(shape).cast("int").alias("code")
+    found = occurrences(texts).join(learned, "word", "left").select("row", "spot", "sides", code, F.coalesce("n", F.lit(0)).alias("n"))
+    following = F.lead("code", 1, 0).over(Window.partitionBy("row").orderBy("spot")).alias("following")
+    teaches = (F.col("spot").bitwiseAND(1) == 1).alias("teaches")
+    return stored(found.select("row", teaches, "sides", "code", "n", following), "marked", compression="zstd")
 
 
 def sides_of(batch: pa.RecordBatch, own: np.ndarray, classes: int) -> tuple[np.ndarray, ...]:
     """Classes left of, of, and right of marked occurrences, and which of them follow a unit of the table: other pairs count with their left word."""
-    left, right, code, following = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("left", "right", "code", "following"))
+    sides, code, following = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("sides", "code", "following"))
+    left, right = left_right(sides)
     coded_class = np.concatenate((own[:SHAPES], np.arange(classes)))
     return own[left], coded_class[code], np.where(right < SHAPES, coded_class[following], own[right]), left >= SHAPES
 
@@ -281,7 +294,7 @@ def marked_pairs(spots: DataFrame, own: np.ndarray, classes: int) -> np.ndarray:
             total += np.bincount(both, minlength=classes * classes)
         yield pairs_in(total)
 
-    return pair_sums(spots.select("left", "right", "code", "following").mapInArrow(tidied(count), "pair int, n bigint"), classes)
+    return pair_sums(spots.select("sides", "code", "following").mapInArrow(tidied(count), "pair int, n bigint"), classes)
 
 
 def moved_to(sides: np.ndarray, now: np.ndarray, pairs: np.ndarray) -> np.ndarray:
@@ -519,7 +532,7 @@ def score(
 
     sums = "known bigint, base double, own double"
     near = texts.select("row", *KEY, "units").mapInArrow(tidied(look), f"row bigint, {ID} bigint, {HASH} bigint, tokens bigint, {sums}")
-    far = spots.select("row", "n", "code", "left", "right", "following").mapInArrow(tidied(look_marked), f"row bigint, {sums}")
+    far = spots.select("row", "n", "code", "sides", "following").mapInArrow(tidied(look_marked), f"row bigint, {sums}")
     each = near.unionByName(far, allowMissingColumns=True).groupBy("row").agg(
         *[F.max(c).alias(c) for c in (*KEY, "tokens")], *[F.sum(c).alias(c) for c in ("known", "base", "own")]
     )

@@ -74,10 +74,10 @@ def keep_where(docs: DataFrame, keep: Callable[[str | None], bool]) -> DataFrame
     return docs.mapInArrow(tidied(run), docs.schema)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once below the shared folder and read back."""
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """``df`` written once below the shared folder, with ``options`` of Parquet, and read back."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
