@@ -7,6 +7,10 @@ The arrays are compared at the current shift of their indices, with steps that d
 after: a stretch of one-to-one tokens is jumped over in a few comparisons. At its end, the tokens up to the next common end are
 walked one by one, and the shift is set anew.
 
+Where neither tokenizer can have a token across the place before a blank that follows a word (known from their files), texts are cut there, and
+what is encoded and aligned is each new word: these follow each other in one text. A worker remembers words up to a bound, and a text's ids and path are those
+of its words. With other files whole texts are encoded and aligned.
+
 The result is a path: for each byte range between neighbouring ends one code, 1 where a token of A ends, 2 where one of B ends,
 3 where both do. Each code is a link of one token of A with one of B, and each 3 closes a group, so links and groups follow from running sums.
 
@@ -20,9 +24,12 @@ repeated rows each count and get a row each; a NULL id stays NULL; an empty tabl
 from __future__ import annotations
 
 import json
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
 from hashlib import sha256
+from itertools import chain, count, groupby, islice
 
 import numpy as np
 import public_tokenizers
@@ -32,18 +39,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import stored
+from postpulse.llm.common import stored, tidied
 
 #: Pairs of ids whose counts are broadcast, 17 bytes each.
 PAIRS = 1_000_000
 #: Bytes of text aligned at once.
 SLICE = 1 << 20
+#: Words that a worker remembers, and their letters; beyond either it begins anew.
+WORDS, LETTERS = 200_000, 4_000_000
+#: Words that the piece model reads at once: its time grows faster than the text.
+GROUP = 100
 #: Links counted at once.
 LINKS = 1_000_000
 #: Rows of an alignment that are worked on at once.
 ROWS = 250
 ONE_A, ONE_B, BOTH = 1, 2, 3
 SHIFT = 32
+#: The blank before a word, and one that follows other whitespace.
+BREAK, RAGGED = re.compile(r" (?<=\S )"), re.compile(r" (?<=\s )")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -90,7 +103,9 @@ class ByteTokenizer:
         made = [vocab["".join(m)] for m in merges]
         step = given.get("pre_tokenizer") or {}
         plain = step.get("type") == "ByteLevel" and not step.get("add_prefix_space") and step.get("use_regex", True)
-        if plain and not given.get("normalizer") and made == list(range(256, 256 + len(made))) and len(ranks) == 256 + len(made):
+        self.by_words = plain and not given.get("normalizer") and made == list(range(256, 256 + len(made))) and len(ranks) == 256 + len(made)
+        if self.by_words:
+            # The pattern begins a token before each blank that follows no whitespace.
             import tiktoken
 
             own = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -110,11 +125,19 @@ class PieceTokenizer:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.encode = model.encode
+        self.encode = model.encode_as_numpy
         pieces = [(n, model.id_to_piece(n)) for n in range(model.get_piece_size())]
         self.spelling = Spelling(
             [bytes([int(piece[3:-1], 16)]) if model.is_byte(n) else piece.replace("▁", " ").encode() for n, piece in pieces]
         )
+        # Merges stay within words where they go by rank, none makes a piece with a blank after a letter, and texts are taken as they are.
+        own = [n for n, _ in pieces if not (model.is_byte(n) or model.is_control(n) or model.is_unknown(n) or model.is_unused(n))]
+        probe = " a  b \t" + "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x110000)])) + "  "
+        self.by_words = (
+            all(model.get_score(n).is_integer() for n in own)
+            and not any("▁" in piece.lstrip("▁") for _, piece in pieces)
+            and model.normalize(probe) == "▁" + probe.replace(" ", "▁")
+        )
 
 
 @cache
@@ -158,21 +181,107 @@ def align_ends(a: list[int], b: list[int]) -> bytes:
 NO_IDS = np.empty(0, np.int32)
 
 
+def align_ids(data: bytes, ids_a: np.ndarray, ids_b: np.ndarray, a: ByteTokenizer, b: PieceTokenizer) -> bytes:
+    """The path between ids that spell ``data``; nothing where they don't."""
+    ends_a, ends_b = a.spelling.ends(ids_a, data), b.spelling.ends(ids_b, data)
+    return b"" if ends_a is None or ends_b is None else align_ends(ends_a, ends_b)
+
+
 def align_text(text: str | None, a: ByteTokenizer, b: PieceTokenizer) -> tuple[np.ndarray, np.ndarray, bytes]:
     """Ids of both tokenizers and the path between them."""
     if not text:
         return NO_IDS, NO_IDS, b""
-    data = b" " + text.encode(errors="replace")
     ids_a, ids_b = np.array(a.encode(" " + text), np.int32), np.array(b.encode(text), np.int32)
-    ends_a, ends_b = a.spelling.ends(ids_a, data), b.spelling.ends(ids_b, data)
-    if ends_a is None or ends_b is None:
-        return NO_IDS, NO_IDS, b""
-    return ids_a, ids_b, align_ends(ends_a, ends_b)
+    path = align_ids(b" " + text.encode(errors="replace"), ids_a, ids_b, a, b)
+    return (ids_a, ids_b, path) if path else (NO_IDS, NO_IDS, b"")
+
+
+def words_of(text: str) -> list[str]:
+    """The text cut at each blank that follows no whitespace; these blanks are left out. No word but the last ends in whitespace, and none is empty."""
+    words = BREAK.split(text) if text[0] == " " or RAGGED.search(text) else text.split(" ")
+    if not words[-1]:
+        words[-2:] = [words[-2] + " "]
+    return words
+
+
+class Words:
+    """Ids and paths of words with the blank before them, one after the other, and where each word's end. A word that isn't spelled has none."""
+
+    def __init__(self, a: ByteTokenizer, b: PieceTokenizer, words: int = WORDS, letters: int = LETTERS):
+        self.a, self.b, self.words, self.letters = a, b, words, letters
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.held, self.flat, self.ends = 0, [NO_IDS, NO_IDS, np.empty(0, np.uint8)], [np.zeros(1, np.int64)] * 3
+
+    def _found(self, words: list[str]) -> list[tuple[list[np.ndarray], list[np.ndarray]]]:
+        """Ids, path and ends of words that follow each other in one text."""
+        text = " ".join(words)
+        ids_a = np.array(self.a.encode(" " + text), np.int32)
+        ids_b = np.concatenate([self.b.encode(" ".join(words[i : i + GROUP])) for i in range(0, len(words), GROUP)])
+        path = align_ids(b" " + text.encode(), ids_a, ids_b, self.a, self.b)
+        if not path and len(words) > 1:
+            # Some word isn't spelled.
+            half = len(words) // 2
+            return self._found(words[:half]) + self._found(words[half:])
+        if not path:
+            return [([NO_IDS, NO_IDS, np.empty(0, np.uint8)], [np.zeros(1, np.int64)] * 3)]
+        codes = np.frombuffer(path, np.uint8)
+        ends = np.cumsum(pc.binary_length(pa.array(words, pa.large_string())).to_numpy() + 1)
+        upto = [np.searchsorted(np.cumsum(t.spelling.sizes[i]), ends) + 1 for t, i in ((self.a, ids_a), (self.b, ids_b))]
+        return [([ids_a, ids_b, codes], [*upto, np.searchsorted(np.cumsum(codes & 1, dtype=np.int64), upto[0]) + 1])]
+
+    def _learn(self, words: list[str]) -> None:
+        # Whitespace at the end of a word would join the next one's blank, and U+2581 is spelled as a blank.
+        text = " ".join(words) + " "
+        groups = [words]
+        if "▁" in text or RAGGED.search(text):
+            parts = [(alone, list(own)) for alone, own in groupby(words, lambda w: w[-1].isspace() or "▁" in w)]
+            groups = [g for alone, own in parts for g in ([[w] for w in own] if alone else [own])]
+        found = [f for group in groups for f in self._found(group)]
+        self.held += len(text)
+        for k in range(3):
+            sizes = [np.diff(ends[k], prepend=0) for _, ends in found]
+            self.ends[k] = np.concatenate((self.ends[k], self.ends[k][-1] + np.cumsum(np.concatenate(sizes))))
+            self.flat[k] = np.concatenate([self.flat[k], *[flat[k] for flat, _ in found]])
+
+    def align(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A, of B and paths of all texts, one after the other, each with the offsets of the texts."""
+        if len(self.number) > self.words or self.held > self.letters:
+            self.forget()
+        split = [words_of(text) if text else [] for text in texts]
+        n, known = np.array([len(s) for s in split], np.int64), len(self.number)
+        # New words get the next numbers.
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, n.sum())
+        if len(self.number) > known:
+            self._learn(list(islice(reversed(self.number), len(self.number) - known))[::-1])
+        # A text with a word that isn't spelled has no tokens.
+        lost = np.concatenate(([0], np.cumsum(np.diff(self.ends[2])[at] == 0)))[np.concatenate(([0], np.cumsum(n)))]
+        whole = np.diff(lost) == 0
+        at, n = at[np.repeat(whole, n)], np.where(whole, n, 0)
+        bounds = np.concatenate(([0], np.cumsum(n)))
+        out = []
+        for flat, ends in zip(self.flat, self.ends):
+            sizes = ends[at + 1] - ends[at]
+            upto = np.concatenate(([0], np.cumsum(sizes)))
+            out.append((flat[np.repeat(ends[at] - upto[:-1], sizes) + np.arange(upto[-1])], upto[bounds]))
+        return out
+
+
+@cache
+def known_words(path_a: str, path_b: str) -> Words:
+    """What a worker remembers."""
+    return Words(*tokenizers(path_a, path_b))
 
 
-def list_array(parts: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else NO_IDS))
+def align_texts(texts: list[str | None], path_a: str, path_b: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """As ``Words.align``, by words where both tokenizers allow it."""
+    a, b = tokenizers(path_a, path_b)
+    if a.by_words and b.by_words:
+        return known_words(path_a, path_b).align(texts)
+    found = [(ids_a, ids_b, np.frombuffer(path, np.uint8)) for ids_a, ids_b, path in (align_text(text, a, b) for text in texts)]
+    return [(np.concatenate(parts), np.cumsum([0, *map(len, parts)])) for parts in zip(*found)]
 
 
 ALIGNED = "doc_id bigint, row bigint, ids_a array<int>, ids_b array<int>, path binary"
@@ -183,7 +292,6 @@ def align_documents(docs: DataFrame, path_a: str | None = None, path_b: str | No
     files = (path_a or public_tokenizers.path("byte_bpe_50k.json"), path_b or public_tokenizers.path("piece_bpe_32k.model"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = tokenizers(*files)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
@@ -191,14 +299,16 @@ def align_documents(docs: DataFrame, path_a: str | None = None, path_b: str | No
             while at < batch.num_rows:
                 # What is held follows the longest text and not the batch.
                 to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + SLICE, side="right")))
-                found = [align_text(text, a, b) for text in batch.column(1)[at:to].to_pylist()]
-                columns = [list_array([f[i] for f in found]) for i in range(2)] + [pa.array([f[2] for f in found], pa.binary())]
+                *ids, (codes, ends) = align_texts(batch.column(1)[at:to].to_pylist(), *files)
+                columns = [pa.ListArray.from_arrays(pa.array(e.astype(np.int32)), pa.array(i)) for i, e in ids]
+                buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes)]
+                columns.append(pa.Array.from_buffers(pa.binary(), to - at, buffers))
                 rows = pa.array(range(row, row + to - at), pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0)[at:to], rows, *columns], ["doc_id", "row", "ids_a", "ids_b", "path"])
                 row += to - at
                 at = to
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, ALIGNED)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidied(run), ALIGNED)
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

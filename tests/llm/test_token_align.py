@@ -127,3 +127,45 @@ def test_byte_tokenizer_equals_the_other_library(spark, data):
     other.encode_special_tokens = True
     for r in spark.read.parquet(f"{data}/documents.parquet").where("text IS NOT NULL").limit(60).collect():
         assert own.encode(" " + r.text) == other.encode(" " + r.text, add_special_tokens=False).ids
+
+
+FILES = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def aligned_rows(found, rows):
+    return [tuple(flat[ends[k] : ends[k + 1]].tolist() for flat, ends in found) for k in range(rows)]
+
+
+@pytest.mark.parametrize("bounds", [(token_align.WORDS, token_align.LETTERS), (5, 10_000), (10_000, 30)])
+def test_words_equal_whole_texts(spark, data, bounds):
+    """Texts put together from words have the ids and paths of whole texts, also where words are forgotten."""
+    rng = random.Random(8)
+    marks = [" ", "  ", "\n", " \n", "\n ", "\t", "\xa0", "\x85", "\x1c", "　", "a", "Be", "'s", "12", "...", "▁", "é", "é", "中文", "🙂", "<s>", "\x00"]
+    texts = [None, "", " ", "  ", "\n", " lead", "trail ", "trail  ", "trail\n", "trail \n", "▁", "a ▁ b", "same words here", "same words here"]
+    texts += ["".join(rng.choices(marks, weights=[9] + [1] * 9 + [4] * 12, k=rng.randrange(1, 40))) for _ in range(600)]
+    texts += [r.text for r in spark.read.parquet(f"{data}/documents.parquet").limit(40).collect()]
+    a, b = token_align.tokenizers(*FILES)
+    assert a.by_words and b.by_words
+    words = token_align.Words(a, b, *bounds)
+    got = [row for at in range(0, len(texts), 50) for row in aligned_rows(words.align(texts[at : at + 50]), len(texts[at : at + 50]))]
+    want = [(ids_a.tolist(), ids_b.tolist(), list(path)) for ids_a, ids_b, path in (token_align.align_text(t, a, b) for t in texts)]
+    assert got == want
+
+
+def test_a_repeated_word_is_encoded_once(monkeypatch):
+    a, b = token_align.tokenizers(*FILES)
+    read, encode = [], b.encode
+    monkeypatch.setattr(b, "encode", lambda text: read.append(len(text)) or encode(text))
+    token_align.known_words.cache_clear()
+    texts = [" ".join(random.Random(n).choices(["one", "other", "third", "word"], k=300)) for n in range(20)]
+    found = token_align.align_texts(texts, *FILES)
+    assert sum(read) < 50 and [len(row[0]) for row in aligned_rows(found, 20)] == [300] * 20
+
+
+def test_files_that_do_not_split_at_blanks_read_whole_texts(monkeypatch):
+    a, b = token_align.tokenizers(*FILES)
+    texts = [None, "some words  here", "▁", "some words"]
+    want = aligned_rows(token_align.align_texts(texts, *FILES), 4)
+    monkeypatch.setattr(b, "by_words", False)
+    monkeypatch.setattr(token_align, "known_words", None)
+    assert aligned_rows(token_align.align_texts(texts, *FILES), 4) == want
