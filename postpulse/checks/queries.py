@@ -87,10 +87,9 @@ def log(spark: SparkSession, folder: str) -> DataFrame:
 
 def landed(spark: SparkSession, folder: str) -> str:
     """The posts as a folder of raw lines, with a blank and two broken lines for each tenth post."""
-    lines = sample_posts.raw_lines(posts(spark, folder))
-    number = F.get_json_object("value", "$.id").cast("bigint")
+    lines = sample_posts.raw_lines(posts(spark, folder), F.col("tweet_id").cast("bigint").alias("number"))
     extra = F.when(
-        number % 10 == 0,
+        F.col("number") % 10 == 0,
         F.array("value", F.lit("  "), F.concat(F.lit('{"id": '), F.col("value")), F.lit("not json")),
     ).otherwise(F.array("value"))
     path = scratch_path(spark, "landed")

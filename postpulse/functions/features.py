@@ -41,7 +41,9 @@ def count_char(text: Column, char: str) -> Column:
 
 def uppercase_ratio(text: Column) -> Column:
     capitals = (F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}+", ""))).cast("double")
-    return F.when(F.length(text) == 0, 0.0).otherwise(F.try_divide(capitals, F.length(text)))
+    # Cheaper than a search: what is ASCII and equal to its lower case has no capitals. The empty text is, too.
+    without = is_ascii(text) & (F.lower(text) == text)
+    return F.when(without, 0.0).otherwise(F.try_divide(capitals, F.length(text)))
 
 
 def has_emoji(text: Column) -> Column:

@@ -12,10 +12,9 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines of text to ``raw`` structs plus the original ``line``. Blank lines, lines that
     are not valid JSON and lines that are no object are skipped."""
     text = F.trim(F.col(column))
-    return (
-        lines.where(F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull())
-        .select(F.col(column).alias("line"), F.from_json(text, RAW).alias("raw"))
-    )
+    valid = lines.where(F.startswith(text, F.lit("{")) & F.try_parse_json(text).isNotNull())
+    # A later filter on a field would be moved below a projection, where it would parse each line once more.
+    return valid.select(F.col(column).alias("line"), F.explode(F.array(F.from_json(text, RAW))).alias("raw"))
 
 
 def ingest_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -70,9 +70,10 @@ def read_tweets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_lines(tweets: DataFrame) -> DataFrame:
-    """The posts as lines of the raw feed, one JSON object each, in a column ``value``."""
+def raw_lines(tweets: DataFrame, *kept: Column) -> DataFrame:
+    """The posts as lines of the raw feed, one JSON object each, in a column ``value`` after those ``kept``."""
     return tweets.select(
+        *kept,
         F.to_json(
             F.struct(
                 F.col("tweet_id").cast("bigint").alias("id"),

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from postpulse.config import Settings, TextConfig
-from postpulse.functions import encoding
+from postpulse.functions import encoding, features
 from postpulse.operators.cleaning import add_clean_text, add_features, clean_dataframe, coerce_types, fill_missing
 
 
@@ -163,3 +165,22 @@ def test_text_work_needs_no_shuffle_and_python_only_for_nfc(spark, data):
 
     assert "ArrowEvalPython" in plan(TextConfig())
     assert "EvalPython" not in plan(TextConfig(normalize_nfc=False))
+
+
+def test_cheap_tests_agree_with_the_full_ones(spark):
+    """Texts that cheap tests leave out would not have changed: capitals, mis-decoded text, unusual characters."""
+    rng = random.Random(5)
+    chars = "aZ é\n\x00\x1f\x7f\x80\x9f\xa0ÃÂâôõ" + encoding.CP1252_CHARS + "ʻʼ中🙂𝐀İKſｆ"
+    texts = ["", None, *chars, *("".join(rng.choices(chars, k=rng.randrange(1, 6))) for _ in range(3000))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    capitals = F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))
+    got = df.select(
+        "t", features.uppercase_ratio(t).alias("ratio"), F.when(F.length(t) == 0, 0.0).otherwise(capitals / F.length(t)).alias("want_ratio"),
+        F.regexp_like(t, F.lit(encoding.LEAD_THEN_CHAR)).alias("lead"),
+        F.regexp_like(F.translate(t, encoding.CP1252_CHARS, encoding.LATIN1_CONTROLS), F.lit(encoding.LEAD_THEN_TAIL)).alias("want_lead"),
+        F.regexp_like(t, F.lit(encoding.UNUSUAL)).alias("unusual"),
+    ).collect()
+    assert [r.ratio for r in got] == [r.want_ratio for r in got] and [r.lead for r in got] == [r.want_lead for r in got]
+    odd = lambda c: (c < " " and c != "\n") or "\x7f" <= c <= "\x9f" or c >= "ʼ"
+    assert [r.unusual for r in got] == [None if r.t is None else any(map(odd, r.t)) for r in got]

@@ -149,3 +149,10 @@ def test_two_writers(spark, tmp_path):
     tables.publish({"t": df.where("false")}, "k", ["b"])
     assert [tuple(r) for r in tables.read("t").collect()] == [("a", 1)] and tables.versions() == [1, 2]
     assert tables.read("t", keys=["b"]).count() == 0 and tables.read("t", tables.version(1), ["b"]).first().v == 2
+
+
+def test_lines_are_parsed_once_for_all_fields(spark, feed):
+    """A filter on a field of the raw feed does not parse the line again."""
+    flat = jsonl.flatten_tweets(jsonl.ingest_jsonl(spark, feed)).where(F.col("timestamp").isNotNull())
+    plan = flat.select("tweet_id", "timestamp", "content")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and plan.count("parseJson") == 1
