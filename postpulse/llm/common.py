@@ -22,6 +22,9 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: Returns free memory to the system, where the C library can.
 TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
+#: Bits of a key filter for each key and in a chunk, and the most chunks: 8 MB.
+KEY_BITS, CHUNK_BITS, MOST_CHUNKS = 16, 1 << 16, 1 << 10
+
 ID, HASH = "_id", "_tx"
 KEY = [ID, HASH]
 
@@ -81,6 +84,48 @@ def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class KeyFilter:
+    """A Bloom filter of distinct keys, dealt into chunks of 8 kB, to tell rows apart without a shuffle.
+
+    The driver holds two bytes for each key, and 8 MB at most, where a broadcast of the keys takes a hundred for each. Beyond that, more
+    rows pass that have none of the keys. The filter says only that a row may have one of them, or has none.
+    """
+
+    def __init__(self, keys: DataFrame):
+        self.chunks = max(1, min(MOST_CHUNKS, -(-keys.count() * KEY_BITS // CHUNK_BITS)))
+        words = CHUNK_BITS // 64
+        chunk, bits = self._places(keys.columns)
+        found = keys.select(chunk.alias("chunk"), F.explode(F.array(*bits)).alias("bit"))
+        found = found.select("chunk", F.shiftright("bit", 6).alias("word"), _one("bit").alias("bits"))
+        empty = keys.sparkSession.range(self.chunks * words).select(
+            F.floor(F.col("id") / words).alias("chunk"), (F.col("id") % words).alias("word"), F.lit(0).cast("bigint").alias("bits")
+        )
+        filled = found.union(empty).groupBy("chunk", "word").agg(F.bit_or("bits").alias("bits"))
+        array = F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda s: s["bits"])
+        self.table = stored(filled.groupBy("chunk").agg(array.alias("words")), "filter")
+
+    def _places(self, columns: list[str]) -> tuple[Column, list[Column]]:
+        """Chunk of a key, and its three bits there."""
+        more = F.xxhash64(F.lit("bits"), *columns)
+        return F.pmod(F.xxhash64(*columns), F.lit(self.chunks)), [F.shiftright(more, 16 * i).bitwiseAND(F.lit(CHUNK_BITS - 1)) for i in range(3)]
+
+    def rows(self, df: DataFrame, columns: list[str], held: bool = True) -> DataFrame:
+        """The rows of ``df`` whose ``columns``, of the types that the keys have, may be a key; without ``held`` all others."""
+        chunk, words = free_name(df, "_chunk"), free_name(df, "_words")
+        table = self.table.select(F.col("chunk").alias(chunk), F.col("words").alias(words))
+        own, bits = self._places(columns)
+        on = own == F.col(chunk)
+        for bit in bits:
+            on &= F.get(words, F.shiftright(bit, 6).cast("int")).bitwiseAND(_one(bit)) != 0
+        return df.join(F.broadcast(table), on, "left_semi" if held else "left_anti")
+
+
+def _one(bit: Column | str) -> Column:
+    """The number with this bit of 64 set."""
+    bit = F.col(bit) if isinstance(bit, str) else bit
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(F.lit(63)).cast("int"))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let texts travel to Python in batches of a few megabytes: what a task holds at once follows the batch. Smaller settings are left alone."""
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):

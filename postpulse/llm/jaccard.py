@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import free_name, map_texts, shuffle_partitions, stored, tidied
+from postpulse.llm.common import KeyFilter, free_name, map_texts, release, shuffle_partitions, stored, tidied
 
 WIDTH = 4
 PERCENT = 85
@@ -43,8 +43,6 @@ LONG_LISTS = 200_000
 LEAST_LONG = 32
 #: Share of the shingles whose lists are counted; well above the share 1 - t that is merged.
 UNIVERSE = 0.35
-#: Ids that are broadcast to find the texts of families; beyond it, texts are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 #: Words whose hashes a worker remembers.
 MEMORY = 150_000
 #: Documents of a block.
@@ -151,9 +149,17 @@ def long_lists(texts: DataFrame, width: int, bound: int = LONG_LISTS, least: int
         return pd.DataFrame({"value": values[many].astype(np.int64), "n": n[many]})
 
     sent = texts.select("text").mapInPandas(tidied(send, forget), "bucket int, values binary, times binary")
-    lists = sent.groupBy("bucket").applyInPandas(count, "value bigint, n bigint")
-    rows = lists.orderBy(F.desc("n"), "value").limit(bound).collect()  # at most ``bound`` rows
-    return np.array([r.value for r in rows][::-1], np.uint64)
+    lists = stored(sent.groupBy("bucket").applyInPandas(count, "value bigint, n bigint"), "lengths")
+    # How many lists have each length tells where to cut; one task then sees little more than ``bound`` rows, and the driver ``bound`` as numbers.
+    each = lists.groupBy("n").agg(F.count("*").alias("times")).toArrow().sort_by([("n", "descending")])
+    so_far = np.cumsum(each["times"].to_numpy())
+    cut = each["n"].to_numpy()[min(int(np.searchsorted(so_far, bound)), len(each) - 1)] if len(each) else least
+    rows = lists.where(F.col("n") >= int(cut)).orderBy(F.desc("n"), "value").limit(bound).toArrow()
+    values, n = rows["value"].to_numpy(), rows["n"].to_numpy()
+    found = values[np.lexsort((values, -n))][::-1].astype(np.uint64)
+    del rows, values, n
+    release()
+    return found
 
 
 def merged_lists(texts: DataFrame, long: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -299,8 +305,8 @@ def family_links(members: DataFrame, texts: DataFrame, width: int, percent: int,
     dealt = blocks.select("root", "doc", "_own", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
         "root", "doc", "_own", F.least("_own", "_other").alias("_x"), F.greatest("_own", "_other").alias("_y")
     )
-    if members.count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(members.select("doc")), "doc", "left_semi")
+    # Only texts that may belong to a family are shuffled.
+    texts = KeyFilter(members.select("doc")).rows(texts, ["doc"])
     dealt = dealt.join(texts, "doc").dropDuplicates(["root", "doc", "_x", "_y"])
 
     def search(group: pd.DataFrame) -> pd.DataFrame:

@@ -21,11 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postpulse.llm.common import HASH, ID, KEY, free_name, keyed, stored
+from postpulse.llm.common import HASH, ID, KEY, KeyFilter, free_name, keyed, stored
 
 GRAMS = 2
-#: Keys of touched documents that are broadcast; beyond it, texts are joined by a shuffle.
-BROADCAST_KEYS = 2_000_000
 WINDOW = 3
 #: Words of the shortest passage that ``op1_line_dedup`` removes.
 LEAST = 8
@@ -142,14 +140,9 @@ def drop_repeated_runs(
 
 def _without(docs: DataFrame, gone: DataFrame, keep_empty: bool) -> DataFrame:
     gone = stored(gone, "gone")
-    # Lines of the touched documents only.
-    touched = stored(gone.select(*KEY).distinct(), "touched")
-    small = touched.count() <= BROADCAST_KEYS
-    if small:
-        touched = F.broadcast(touched)
-    texts = keyed(docs)
-    same = texts[ID].eqNullSafe(touched[ID]) & (texts[HASH] == touched[HASH])
-    lines = texts.join(touched, same, "left_semi").select(*KEY, F.posexplode(F.split("_text", "\n")).alias("i", "x"))
+    # Lines of the touched documents, and of the few others that pass the filter of their keys.
+    touched = KeyFilter(stored(gone.select(*KEY).distinct(), "touched"))
+    lines = touched.rows(keyed(docs), KEY).select(*KEY, F.posexplode(F.split("_text", "\n")).alias("i", "x"))
     # Repeated rows give their lines once.
     lines = lines.dropDuplicates([*KEY, "i"])
     marks = gone.select(F.col(ID).alias("_gid"), F.col(HASH).alias("_gtx"), F.col("i").alias("_gi"))
@@ -161,15 +154,16 @@ def _without(docs: DataFrame, gone: DataFrame, keep_empty: bool) -> DataFrame:
     kept = marked.withColumn("cut", F.coalesce(F.last("own", ignorenulls=True).over(upto), F.lit(False)))
     left = F.array_sort(F.collect_list(F.when(~F.col("cut"), F.struct("i", "x"))))
     rest = kept.groupBy(*KEY).agg(
-        F.array_join(F.transform(left, lambda s: s["x"]), "\n").alias("_rest")
-    ).select(F.col(ID).alias("_rid"), F.col(HASH).alias("_rtx"), "_rest")
+        F.array_join(F.transform(left, lambda s: s["x"]), "\n").alias("_rest"), F.max("own").alias("_cut")
+    ).where("_cut").select(F.col(ID).alias("_rid"), F.col(HASH).alias("_rtx"), "_rest")
     name = free_name(docs, "_row_hash")
     rows = docs.withColumn(name, F.xxhash64("text"))
-    on_touched = rows["doc_id"].eqNullSafe(touched[ID]) & (rows[name] == touched[HASH])
-    # Untouched rows stay where they are while the keys of the touched ones fit a broadcast.
-    whole, changed = rows.join(touched, on_touched, "left_anti"), rows.join(touched, on_touched, "left_semi")
-    joined = changed.join(rest, changed["doc_id"].eqNullSafe(rest["_rid"]) & (changed[name] == rest["_rtx"]))
+    # Rows that the filter leaves out stay where they are.
+    whole, others = touched.rows(rows, ["doc_id", name], held=False), touched.rows(rows, ["doc_id", name])
+    joined = others.join(rest, others["doc_id"].eqNullSafe(rest["_rid"]) & (others[name] == rest["_rtx"]), "left")
+    untouched = rest["_rtx"].isNull()
     if not keep_empty:
-        joined = joined.where(filled(rest["_rest"]))
-    new = joined.select(*[rest["_rest"].alias(c) if c == "text" else changed[c] for c in docs.columns])
+        joined = joined.where(untouched | filled(rest["_rest"]))
+    text = F.when(untouched, others["text"]).otherwise(rest["_rest"]).alias("text")
+    new = joined.select(*[text if c == "text" else others[c] for c in docs.columns])
     return whole.drop(name).union(new)
